@@ -241,3 +241,16 @@ def with_ctes(body: str, *needs: str) -> str:
         visit(n)
     parts = ",\n".join(f"{n} as ({CTES[n][0]}\n)" for n in order)
     return f"with {parts}\n{body}"
+
+
+CTES["tf"] = ("""
+select s.date, s.weekly_sales, s.store, s.dept, f.temperature, f.fuel_price, f.markdown1, f.markdown2, f.markdown3,
+  f.markdown4, f.markdown5, f.cpi, f.unemployment,
+  coalesce(lower(trim(coalesce(cast(s.is_holiday as varchar), cast(f.is_holiday as varchar)))) in ('true', '1', 'yes'),
+           false) is_holiday,
+  st.store_type, st.size, cast(year(s.date) as int) as "year", cast(month(s.date) as int) as "month",
+  cast(weekofyear(s.date) as int) as week_of_year, cast(dayofyear(s.date) as int) as day_of_year
+from raw_sales s left join raw_features f on s.store = f.store and s.date = f.date
+left join raw_stores st on s.store = st.store
+where s.store is not null and s.dept is not null and s.date is not null and s.weekly_sales is not null""",
+              ("raw_sales", "raw_features", "raw_stores"))

@@ -280,3 +280,59 @@ select count(*) candidate_rows, cast(count_if(is_anomaly) as bigint) flagged_row
 from fact_anomalies""", "fact_anomalies")
 def _anomaly_kpis(w: Warehouse) -> DataFrame:
     return scoring.anomaly_kpis(scoring.anomaly_queue(w.fact_anomalies, w.fact_sales))
+
+
+# -- model frames -----------------------------------------------------------
+def _tf(w: Warehouse) -> DataFrame:
+    from ..operators import features
+
+    return features.training_frame(w.raw["sales"], w.raw["stores"], w.raw["features"])
+
+
+@register("training_frame", "select * from tf", "tf")
+def _training_frame(w: Warehouse) -> DataFrame:
+    return _tf(w)
+
+
+@register("next_week_rows", """
+select cast(date + 7 as date) date, weekly_sales, store, dept, temperature, fuel_price, markdown1, markdown2,
+  markdown3, markdown4, markdown5, cpi, unemployment, is_holiday, store_type, size,
+  cast(year(date + 7) as int) as "year", cast(month(date + 7) as int) as "month",
+  cast(weekofyear(date + 7) as int) as week_of_year, cast(dayofyear(date + 7) as int) as day_of_year
+from (select *, row_number() over (partition by store, dept order by date desc, weekly_sales desc nulls last) rn
+      from tf) l where rn = 1""", "tf")
+def _next_week_rows(w: Warehouse) -> DataFrame:
+    from ..operators import features
+
+    return features.next_week_rows(_tf(w))
+
+
+@register("time_split_sizes", """
+select cast(max(case when small then n else k end) as bigint) training_rows,
+  min(case when small or rn <= k then date end) train_start, max(case when small or rn <= k then date end) train_end,
+  cast(max(case when small then n else n - k end) as bigint) validation_rows,
+  min(case when small or rn > k then date end) validation_start,
+  max(case when small or rn > k then date end) validation_end
+from (select date, row_number() over (order by date, store, dept, weekly_sales) rn from tf) r,
+  (select n, n < 10 small, least(greatest(1, cast(floor(n * 0.8) as bigint)), n - 1) k
+   from (select count(*) n from tf) c) k""", "tf")
+def _time_split_sizes(w: Warehouse) -> DataFrame:
+    from ..operators import features
+
+    return features.split_summary(_tf(w))
+
+
+@register("forest_forecast")
+def _forest_forecast(w: Warehouse) -> DataFrame:
+    """Train on the chronological 80 %, score every row and the next week (rows check)."""
+    from ..operators import forest
+
+    frame = _tf(w)
+    return forest.forecast_output(frame, forest.train(frame))
+
+
+@register("holdout_metrics")
+def _holdout_metrics(w: Warehouse) -> DataFrame:
+    from ..operators import forest
+
+    return forest.metrics_frame(forest.train(_tf(w)))
