@@ -254,3 +254,25 @@ from raw_sales s left join raw_features f on s.store = f.store and s.date = f.da
 left join raw_stores st on s.store = st.store
 where s.store is not null and s.dept is not null and s.date is not null and s.weekly_sales is not null""",
               ("raw_sales", "raw_features", "raw_stores"))
+
+
+CTES["dirty_sales"] = ("""
+select cast(store_id as varchar) "Store", cast(dept_id as varchar) "Dept",
+  case when r % 17 = 0 then 'bad' else cast(sales_date as varchar) end "Date",
+  case when r % 13 = 0 then 'NA' else cast(weekly_sales as varchar) end "Weekly_Sales",
+  case when r % 19 = 0 then 'yes' else cast(is_holiday as varchar) end "IsHoliday"
+from (select *, store_id * 31 + dept_id * 7 + cast(cast(sales_date - date '1995-01-02' as int) / 7 as int) r
+      from a_sales) s""", ("a_sales",))
+CTES["dirty_features"] = ("""
+select cast(store_id as varchar) "Store", case when r % 17 = 0 then 'bad' else cast(feature_date as varchar) end "Date",
+  case when r % 11 = 0 then 'n/a' else cast(temperature as varchar) end "Temperature",
+  cast(fuel_price as varchar) "Fuel_Price",
+  case when r % 13 = 0 then 'NA' else cast(markdown1 as varchar) end "MarkDown1",
+  cast(markdown2 as varchar) "MarkDown2", cast(markdown3 as varchar) "MarkDown3", cast(markdown4 as varchar) "MarkDown4",
+  cast(cpi as varchar) "CPI", cast(unemployment as varchar) "Unemployment", cast(is_holiday as varchar) "IsHoliday"
+from (select *, store_id * 31 + cast(cast(feature_date - date '1995-01-02' as int) / 7 as int) r from a_features) f""",
+                          ("a_features",))
+
+
+def int_sql(x: str) -> str:
+    return f"try_cast(round(try_cast({x} as double)) as int)"

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast_reads as fr
 from ..operators import kpis, scoring
+from . import oracle as _o
 from .oracle import mavg, msum, rank_sql, with_ctes, wape_sql
 from .warehouse import Warehouse
 
@@ -336,3 +337,41 @@ def _holdout_metrics(w: Warehouse) -> DataFrame:
     from ..operators import forest
 
     return forest.metrics_frame(forest.train(_tf(w)))
+
+
+# -- prepare and synthetic sources ------------------------------------------
+@register("prepared_sales", f"""
+select {_o.int_sql('"Store"')} "Store", {_o.int_sql('"Dept"')} "Dept", try_cast("Date" as date) "Date",
+  try_cast("Weekly_Sales" as double) "Weekly_Sales", "IsHoliday" from dirty_sales""", "dirty_sales")
+def _prepared_sales(w: Warehouse) -> DataFrame:
+    from ..operators.prepare import prepare_sales
+    from ..sources.adapter import dirty_sales_source
+
+    return prepare_sales(dirty_sales_source(w.spark, w.sf_dir))
+
+
+@register("prepared_features", f"""
+select {_o.int_sql('"Store"')} "Store", try_cast("Date" as date) "Date", try_cast("Temperature" as double) "Temperature",
+  try_cast("Fuel_Price" as double) "Fuel_Price", coalesce(try_cast("MarkDown1" as double), 0.0) "MarkDown1",
+  coalesce(try_cast("MarkDown2" as double), 0.0) "MarkDown2", coalesce(try_cast("MarkDown3" as double), 0.0) "MarkDown3",
+  coalesce(try_cast("MarkDown4" as double), 0.0) "MarkDown4", 0.0 "MarkDown5", try_cast("CPI" as double) "CPI",
+  try_cast("Unemployment" as double) "Unemployment", "IsHoliday" from dirty_features""", "dirty_features")
+def _prepared_features(w: Warehouse) -> DataFrame:
+    from ..operators.prepare import prepare_features
+    from ..sources.adapter import dirty_features_source
+
+    return prepare_features(dirty_features_source(w.spark, w.sf_dir))
+
+
+@register("synthetic_inventory")
+def _synthetic_inventory(w: Warehouse) -> DataFrame:
+    from ..operators.synth import synthetic_inventory
+
+    return synthetic_inventory(w.raw["sales"])
+
+
+@register("synthetic_weather")
+def _synthetic_weather(w: Warehouse) -> DataFrame:
+    from ..operators.synth import synthetic_weather
+
+    return synthetic_weather(w.raw["features"])

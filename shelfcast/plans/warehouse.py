@@ -41,7 +41,9 @@ class Warehouse:
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
         from ..sources.adapter import raw_tables
 
-        return cls(spark, raw_tables(spark, sf_dir))
+        w = cls(spark, raw_tables(spark, sf_dir))
+        w.sf_dir = sf_dir
+        return w
 
     @classmethod
     def from_catalog(cls, spark: SparkSession) -> "Warehouse":

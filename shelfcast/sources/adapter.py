@@ -161,3 +161,46 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "inventory",
     )
     return {"sales": raw_sales, "stores": raw_stores, "features": raw_features, "inventory": raw_inventory}
+
+
+# Dirty string-typed source rows for the prepare step: adapter rows as text,
+# with some values replaced by a rule on the key (fixed moduli).
+DIRTY_NA, DIRTY_DATE, DIRTY_WORD, DIRTY_TEMP = 13, 17, 19, 11
+
+
+def _weeks(date_col: str) -> F.Column:
+    return (F.datediff(F.col(date_col), F.lit(INVENTORY_EPOCH).cast("date")) / 7).cast("int")
+
+
+def dirty_sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as a source CSV would deliver it: text columns, source headers,
+    'NA' sales, unparseable dates and 'yes' holiday words on some rows."""
+    s = sales_frame(spark, sf_dir)
+    r = F.col("store_id") * 31 + F.col("dept_id") * 7 + _weeks("sales_date")
+    return s.select(
+        F.col("store_id").cast("string").alias("Store"),
+        F.col("dept_id").cast("string").alias("Dept"),
+        F.when(r % DIRTY_DATE == 0, F.lit("bad")).otherwise(F.col("sales_date").cast("string")).alias("Date"),
+        F.when(r % DIRTY_NA == 0, F.lit("NA")).otherwise(F.col("weekly_sales").cast("string")).alias("Weekly_Sales"),
+        F.when(r % DIRTY_WORD == 0, F.lit("yes")).otherwise(F.col("is_holiday").cast("string")).alias("IsHoliday"),
+    )
+
+
+def dirty_features_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features as a source file: text columns, MarkDown5 absent, 'NA'
+    markdowns, 'n/a' temperatures and unparseable dates on some rows."""
+    f = features_frame(spark, sf_dir)
+    r = F.col("store_id") * 31 + _weeks("feature_date")
+    return f.select(
+        F.col("store_id").cast("string").alias("Store"),
+        F.when(r % DIRTY_DATE == 0, F.lit("bad")).otherwise(F.col("feature_date").cast("string")).alias("Date"),
+        F.when(r % DIRTY_TEMP == 0, F.lit("n/a")).otherwise(F.col("temperature").cast("string")).alias("Temperature"),
+        F.col("fuel_price").cast("string").alias("Fuel_Price"),
+        F.when(r % DIRTY_NA == 0, F.lit("NA")).otherwise(F.col("markdown1").cast("string")).alias("MarkDown1"),
+        F.col("markdown2").cast("string").alias("MarkDown2"),
+        F.col("markdown3").cast("string").alias("MarkDown3"),
+        F.col("markdown4").cast("string").alias("MarkDown4"),
+        F.col("cpi").cast("string").alias("CPI"),
+        F.col("unemployment").cast("string").alias("Unemployment"),
+        F.col("is_holiday").cast("string").alias("IsHoliday"),
+    )
