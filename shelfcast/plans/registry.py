@@ -375,3 +375,183 @@ def _synthetic_weather(w: Warehouse) -> DataFrame:
     from ..operators.synth import synthetic_weather
 
     return synthetic_weather(w.raw["features"])
+
+
+# -- data quality and pipeline health ---------------------------------------
+def _q():
+    from ..operators import quality
+
+    return quality
+
+
+_CTE_OF = {  # layer.table -> oracle CTE holding it
+    "raw.sales": "raw_sales", "raw.stores": "raw_stores", "raw.features": "raw_features",
+    "raw.inventory": "raw_inventory", "ml.demand_forecasts": "lag_fc", "ml.stockout_risk": "ml_stockout",
+    "ml.sales_anomalies": "ml_anomalies", "staging.stg_sales": "stg_sales", "staging.stg_stores": "stg_stores",
+    "staging.stg_features": "stg_features", "staging.stg_inventory": "stg_inventory",
+    "staging.int_sales_features": "int_sales_features", **{f"marts.{t}": t for t in (
+        "dim_store", "dim_date", "fact_sales", "fact_inventory", "fact_demand", "fact_forecast", "fact_stockout_risk",
+        "fact_anomalies")},
+}
+
+
+def _nn_sql() -> tuple[str, list[str]]:
+    q = _q()
+    parts = [
+        f"select '{t}' check_table, '{c}' check_column, count_if({c} is null) failing_rows from {_CTE_OF[t]}"
+        for t, cols in q.NOT_NULL.items() for c in cols
+    ]
+    body = " union all ".join(parts)
+    return (f"select check_table, check_column, cast(failing_rows as bigint) failing_rows, "
+            f"case when failing_rows = 0 then 'pass' else 'fail' end status from ({body}) u",
+            sorted({_CTE_OF[t] for t in q.NOT_NULL}))
+
+
+def _uq_sql() -> tuple[str, list[str]]:
+    q = _q()
+    parts = [
+        f"select '{t}' check_table, '{c}' check_column, count(*) failing_rows from (select {c} from {_CTE_OF[t]} "
+        f"where {c} is not null group by {c} having count(*) > 1) d"
+        for t, c in q.UNIQUE
+    ]
+    return (f"select check_table, check_column, cast(failing_rows as bigint) failing_rows, "
+            f"case when failing_rows = 0 then 'pass' else 'fail' end status from ({' union all '.join(parts)}) u",
+            sorted({_CTE_OF[t] for t, _ in q.UNIQUE}))
+
+
+def _rel_sql() -> tuple[str, list[str]]:
+    q = _q()
+    parts = [
+        f"select '{ct}' check_table, '{cc}' check_column, '{pt}.{pc}' parent_key, count(*) failing_rows "
+        f"from {_CTE_OF[ct]} c where c.{cc} is not null and not exists "
+        f"(select 1 from {_CTE_OF[pt]} p where p.{pc} = c.{cc})"
+        for ct, cc, pt, pc in q.RELATIONSHIPS
+    ]
+    needs = sorted({_CTE_OF[x] for r in q.RELATIONSHIPS for x in (r[0], r[2])})
+    return (f"select check_table, check_column, parent_key, cast(failing_rows as bigint) failing_rows, "
+            f"case when failing_rows = 0 then 'pass' else 'fail' end status from ({' union all '.join(parts)}) u",
+            needs)
+
+
+def _rc_sql() -> tuple[str, list[str]]:
+    q = _q()
+    parts = [f"select '{n.upper()}' object_name, count(*) row_count from {_CTE_OF[n]}" for n in q.ROW_COUNT_OBJECTS]
+    return " union all ".join(parts), sorted({_CTE_OF[n] for n in q.ROW_COUNT_OBJECTS})
+
+
+def _inv_sql() -> tuple[str, list[str]]:
+    from ..plans.warehouse import Warehouse as _W
+
+    parts = []
+    for name, cte in {**_CTE_OF, "raw.weather": "a_features"}.items():
+        db, t = name.split(".")
+        if name in _W.VIEWS:
+            parts.append(f"select '{db.upper()}' table_schema, '{t.upper()}' table_name, 'VIEW' table_type, "
+                         f"cast(0 as bigint) row_count, cast(null as timestamp) created, cast(null as timestamp) last_altered")
+        else:
+            parts.append(f"select '{db.upper()}' table_schema, '{t.upper()}' table_name, 'BASE TABLE' table_type, "
+                         f"count(*) row_count, {_o.TS} created, {_o.TS} last_altered from {cte}")
+    return " union all ".join(parts), sorted(set(_CTE_OF.values()) | {"a_features"})
+
+
+_NN, _UQ, _REL, _RC, _INV = _nn_sql(), _uq_sql(), _rel_sql(), _rc_sql(), _inv_sql()
+
+
+@register("not_null_report", _NN[0], *_NN[1])
+def _not_null_report(w: Warehouse) -> DataFrame:
+    return _q().not_null_report(w.layer_tables())
+
+
+@register("unique_report", _UQ[0], *_UQ[1])
+def _unique_report(w: Warehouse) -> DataFrame:
+    return _q().unique_report(w.layer_tables())
+
+
+@register("relationship_report", _REL[0], *_REL[1])
+def _relationship_report(w: Warehouse) -> DataFrame:
+    return _q().relationship_report(w.layer_tables())
+
+
+@register("row_count_report", _RC[0], *_RC[1])
+def _row_count_report(w: Warehouse) -> DataFrame:
+    return _q().row_count_report(w.layer_tables())
+
+
+def _inventory(w: Warehouse) -> DataFrame:
+    from ..sources.adapter import ADAPTER_LOADED_AT
+
+    return _q().tables_inventory(w.spark, w.layer_tables(), Warehouse.VIEWS, ADAPTER_LOADED_AT)
+
+
+_EXPECTED = "select * from (values " + ", ".join(
+    f"('{s}', '{t}', '{g}', '{d}', {i})" for (s, t, g, d), i in
+    ((o, {"Raw ingestion": 1, "dbt staging": 2, "dbt marts": 3, "ML outputs": 4, "Model marts": 5}[o[2]])
+     for o in __import__("shelfcast.operators.quality", fromlist=["x"]).EXPECTED_OBJECTS)
+) + ") e(table_schema, table_name, pipeline_stage, description, stage_order)"
+_HEALTH = f"""select e.pipeline_stage, e.table_schema, e.table_name, e.table_schema || '.' || e.table_name object_name,
+  e.description, coalesce(i.table_type, 'MISSING') object_type, cast(coalesce(i.row_count, 0) as bigint) row_count,
+  i.created, i.last_altered,
+  case when i.table_name is null then 'Missing'
+       when i.table_type = 'BASE TABLE' and coalesce(i.row_count, 0) = 0 then 'Empty' else 'Ready' end status,
+  e.stage_order
+from ({_EXPECTED}) e left join ({_INV[0]}) i on e.table_schema = i.table_schema and e.table_name = i.table_name"""
+
+
+@register("platform_summary", f"select * from ({_INV[0]}) i order by table_schema, table_name", *_INV[1])
+def _platform_summary(w: Warehouse) -> DataFrame:
+    return _q().platform_summary(_inventory(w))
+
+
+@register("pipeline_health", f"""select pipeline_stage, table_schema, table_name, object_name, description, object_type,
+  row_count, created, last_altered, status from ({_HEALTH}) h order by stage_order, table_schema, table_name""",
+          *_INV[1])
+def _pipeline_health(w: Warehouse) -> DataFrame:
+    return _q().pipeline_health(_inventory(w))
+
+
+_QUALITY = f"""select table_schema || '.' || table_name object_name, table_type, row_count,
+  case when table_type = 'BASE TABLE' and row_count > 0 then 'Pass' when table_type = 'VIEW' then 'Pass'
+       else 'Review' end status, last_altered
+from ({_INV[0]}) i where table_schema in ('RAW', 'MARTS', 'ML')"""
+
+
+@register("quality_status", _QUALITY, *_INV[1])
+def _quality_status(w: Warehouse) -> DataFrame:
+    return _q().quality_status(_inventory(w))
+
+
+@register("layer_summary", f"""
+select pipeline_stage, cast(count(object_name) as bigint) total_objects,
+  cast(count_if(status = 'Ready') as bigint) ready_objects, cast(count_if(status <> 'Ready') as bigint) review_objects,
+  cast(sum(row_count) as bigint) row_count, max(last_altered) last_altered,
+  case when count_if(status <> 'Ready') = 0 then 'Ready' else cast(count_if(status <> 'Ready') as varchar) || ' to review'
+  end stage_status
+from ({_HEALTH}) h group by pipeline_stage order by min(stage_order)""", *_INV[1])
+def _layer_summary(w: Warehouse) -> DataFrame:
+    q = _q()
+    return q.layer_summary(q.pipeline_health(_inventory(w)))
+
+
+@register("pipeline_kpis", f"""
+select max(last_altered) latest_refresh, cast(count_if(status = 'Ready') as bigint) ready_objects,
+  cast(count_if(status <> 'Ready') as bigint) review_objects, count(*) expected_objects,
+  cast(count_if(object_type = 'BASE TABLE') as bigint) base_tables, cast(coalesce(sum(row_count), 0) as bigint) warehouse_rows
+from ({_HEALTH}) h""", *_INV[1])
+def _pipeline_kpis(w: Warehouse) -> DataFrame:
+    q = _q()
+    return q.pipeline_kpis(q.pipeline_health(_inventory(w)))
+
+
+@register("loaded_table_counts", f"""
+select count(distinct case when table_schema = 'RAW' then table_name end) raw_objects,
+  count(distinct case when table_schema = 'MARTS' then table_name end) mart_objects,
+  count(distinct case when table_schema = 'ML' then table_name end) ml_objects,
+  count(distinct case when table_schema = 'RAW' and row_count > 0 then table_name end) raw_loaded,
+  count(distinct case when table_schema = 'MARTS' and row_count > 0 then table_name end) mart_loaded,
+  (select cast(count_if(status = 'Pass') as bigint) from ({_QUALITY}) q) checks_passing,
+  (select cast(count_if(status <> 'Pass') as bigint) from ({_QUALITY}) q) open_reviews
+from ({_INV[0]}) i""", *_INV[1])
+def _loaded_table_counts(w: Warehouse) -> DataFrame:
+    q = _q()
+    inv = _inventory(w)
+    return q.loaded_table_counts(inv, q.quality_status(inv))

@@ -146,3 +146,27 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    @cached_property
+    def raw_weather(self) -> DataFrame:
+        if "weather" in self.raw:
+            return self.raw["weather"]
+        from ..operators.synth import synthetic_weather
+
+        return synthetic_weather(self.raw["features"])
+
+    VIEWS = {"staging.stg_sales", "staging.stg_stores", "staging.stg_features", "staging.stg_inventory",
+             "staging.int_sales_features"}
+
+    def layer_tables(self) -> dict[str, DataFrame]:
+        """Every object by ``layer.table`` name (quality checks, inventory)."""
+        out = {f"raw.{t}": self.raw[t] for t in ("sales", "stores", "features", "inventory")}
+        out["raw.weather"] = self.raw_weather
+        for t in ("stg_sales", "stg_stores", "stg_features", "stg_inventory", "int_sales_features"):
+            out[f"staging.{t}"] = getattr(self, t)
+        for t, df in self.ml.items():
+            out[f"ml.{t}"] = df
+        for t in ("dim_store", "dim_date", "fact_sales", "fact_inventory", "fact_demand", "fact_forecast",
+                  "fact_stockout_risk", "fact_anomalies"):
+            out[f"marts.{t}"] = getattr(self, t)
+        return out
