@@ -150,3 +150,15 @@ def day_of_week_sunday0(date: str | Column) -> Column:
 
 def no_negative_zero(col: Column) -> Column:
     return col + F.lit(0.0)
+
+
+DISPLAY_ZONE = "America/New_York"  # fixed value: display time zone
+
+
+def local_time_text(ts: str | Column, missing: str = "Not available") -> Column:
+    """UTC wall time shown in New York time, e.g. 'Jan 05, 2024 07:00 PM EST' (B32)."""
+    t = c(ts)
+    local = F.from_utc_timestamp(t.cast("timestamp"), DISPLAY_ZONE)
+    offset_h = (F.unix_timestamp(local) - F.unix_timestamp(t.cast("timestamp"))) / 3600
+    zone = F.when(offset_h == -4, F.lit("EDT")).otherwise(F.lit("EST"))
+    return F.coalesce(F.concat(F.date_format(local, "MMM dd, yyyy hh:mm a"), F.lit(" "), zone), F.lit(missing))

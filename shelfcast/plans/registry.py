@@ -555,3 +555,51 @@ def _loaded_table_counts(w: Warehouse) -> DataFrame:
     q = _q()
     inv = _inventory(w)
     return q.loaded_table_counts(inv, q.quality_status(inv))
+
+
+# -- governed access --------------------------------------------------------
+GOVERNED_STORE_SALES_SQL = """select s.store_id, ds.store_type, ds.store_size,
+  cast(sum(cast(s.weekly_sales as decimal(18,4))) as double) as total_sales,
+  cast(sum(cast(s.weekly_sales as decimal(18,4))) as double) / count(s.weekly_sales) as avg_weekly_sales,
+  count(*) as sales_records
+from fact_sales as s left join dim_store as ds on s.store_id = ds.store_id
+group by s.store_id, ds.store_type, ds.store_size
+order by total_sales desc, s.store_id"""
+
+
+def _governed_session(w: Warehouse):
+    from ..operators.governed import governed_session
+
+    def marts(iso):
+        wi = Warehouse.from_testdata(iso, w.sf_dir)
+        return {t: wi.table(t) for t in ("dim_store", "dim_date", "fact_sales", "fact_inventory", "fact_demand",
+                                          "fact_forecast", "fact_stockout_risk", "fact_anomalies")}
+
+    return governed_session(w.spark, marts)
+
+
+@register("governed_store_sales", f"select * from ({GOVERNED_STORE_SALES_SQL}) g limit 100", "fact_sales", "dim_store")
+def _governed_store_sales(w: Warehouse) -> DataFrame:
+    from ..operators.governed import governed_sql
+
+    return governed_sql(_governed_session(w), GOVERNED_STORE_SALES_SQL, row_limit=100)
+
+
+@register("result_preview", f"""
+select store_id, store_type, store_size, {_o.sround('total_sales', 4)} total_sales,
+  {_o.sround('avg_weekly_sales', 4)} avg_weekly_sales, sales_records
+from ({_STORES}) s limit 12""", "fact_sales", "dim_store")
+def _result_preview(w: Warehouse) -> DataFrame:
+    from ..operators.governed import preview
+
+    return preview(kpis.store_sales(w.fact_sales, w.dim_store), 12)
+
+
+@register("weekly_error_rows", f"select * from ({_FTREND}) t where wape is not null", "fact_forecast")
+def _weekly_error_rows(w: Warehouse) -> DataFrame:
+    return fr.weekly_error_rows(fr.forecast_trend(w.fact_forecast, w.fact_sales))
+
+
+@register("anomaly_triage", _QUEUE + " where severity = 'High' and direction = 'Sales spike'", "fact_anomalies")
+def _anomaly_triage(w: Warehouse) -> DataFrame:
+    return scoring.triage(scoring.anomaly_queue(w.fact_anomalies, w.fact_sales), "High", "Sales spike")
