@@ -24,7 +24,7 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None, *needs: str):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: fn(Warehouse.from_testdata(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Warehouse.shared(spark, sf_dir))
         if sql is not None:
             ORACLE[name] = with_ctes(sql, *needs)
         return fn
@@ -571,7 +571,7 @@ def _governed_session(w: Warehouse):
     from ..operators.governed import governed_session
 
     def marts(iso):
-        wi = Warehouse.from_testdata(iso, w.sf_dir)
+        wi = Warehouse.shared(iso, w.sf_dir)
         return {t: wi.table(t) for t in ("dim_store", "dim_date", "fact_sales", "fact_inventory", "fact_demand",
                                           "fact_forecast", "fact_stockout_risk", "fact_anomalies")}
 

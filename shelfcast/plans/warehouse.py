@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts, staging
@@ -38,11 +39,30 @@ class Warehouse:
 
     # -- constructors -------------------------------------------------------
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, persist: bool = False) -> "Warehouse":
         from ..sources.adapter import raw_tables
 
-        w = cls(spark, raw_tables(spark, sf_dir))
+        w = cls(spark, raw_tables(spark, sf_dir, persist))
         w.sf_dir = sf_dir
+        w.persisted = persist
+        return w
+
+    _SHARED: dict[tuple[int, str], "Warehouse"] = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """One persisted test-data warehouse per (Spark application, folder):
+        the raw and model-output layers are materialised once and read by
+        every query, as the catalog tables of a refreshed warehouse are."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        w = cls._SHARED.get(key)
+        if w is None or w.spark.sparkContext._jsc is None:
+            w = cls.from_testdata(spark, sf_dir, persist=True)
+            cls._SHARED[key] = w
+        elif w.spark is not spark:
+            # Another session (e.g. the governed one) builds its own frames;
+            # the shared cache serves their identical plans.
+            w = cls.from_testdata(spark, sf_dir, persist=True)
         return w
 
     @classmethod
@@ -64,6 +84,8 @@ class Warehouse:
         if name in self._tables:
             return self._tables[name]
         df = build()
+        if getattr(self, "persisted", False):
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
         self._tables[name] = df
         return df
 
@@ -117,11 +139,16 @@ class Warehouse:
             from ..operators.forecast_reads import lag_forecast_output
 
             forecasts = lag_forecast_output(self.fact_sales)
-            self._ml = {
+            if getattr(self, "persisted", False):
+                forecasts = forecasts.persist(StorageLevel.MEMORY_AND_DISK)
+            ml = {
                 "demand_forecasts": forecasts,
                 "stockout_risk": scoring.stockout_output(forecasts, self.stg_inventory),
                 "sales_anomalies": scoring.sales_anomaly_output(self.stg_sales),
             }
+            if getattr(self, "persisted", False):
+                ml = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in ml.items()}
+            self._ml = ml
         return self._ml
 
     def has(self, name: str) -> bool:

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,9 +129,17 @@ def inventory_frame(sales: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four raw landing tables in raw contract shape (lazy)."""
+def raw_tables(spark: SparkSession, sf_dir: str, persist: bool = False) -> dict[str, DataFrame]:
+    """The four raw landing tables in raw contract shape (lazy).
+
+    With ``persist`` the weekly sales aggregate (the one expensive part: the
+    lineitem joins) and the tables are kept with MEMORY_AND_DISK, standing in
+    for the materialised raw tables of a loaded warehouse; lost blocks are
+    recomputed from lineage.
+    """
     sales = sales_frame(spark, sf_dir)
+    if persist:
+        sales = sales.persist(StorageLevel.MEMORY_AND_DISK)
     raw_sales = _stamp(
         sales.select(
             F.col("store_id").alias("store"), F.col("dept_id").alias("dept"), F.col("sales_date").alias("date"),
@@ -160,7 +169,10 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ),
         "inventory",
     )
-    return {"sales": raw_sales, "stores": raw_stores, "features": raw_features, "inventory": raw_inventory}
+    out = {"sales": raw_sales, "stores": raw_stores, "features": raw_features, "inventory": raw_inventory}
+    if persist:
+        out = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in out.items()}
+    return out
 
 
 # Dirty string-typed source rows for the prepare step: adapter rows as text,
