@@ -145,3 +145,11 @@ def fact_anomalies(sales_anomalies: DataFrame) -> DataFrame:
 def _ntz(name: str) -> F.Column:
     """Tolerant timestamp parse: already typed values pass, text is parsed, bad -> NULL."""
     return F.col(name).cast("string").try_cast("timestamp_ntz")
+
+
+INT_SALES_FEATURES_SQL = """SELECT s.store_id, s.dept_id, s.sales_date, s.weekly_sales, s.is_holiday, st.store_type,
+  st.store_size, f.temperature, f.fuel_price, f.markdown1, f.markdown2, f.markdown3, f.markdown4, f.markdown5, f.cpi,
+  f.unemployment
+FROM {db}.stg_sales AS s
+LEFT JOIN {db}.stg_stores AS st ON s.store_id = st.store_id
+LEFT JOIN {db}.stg_features AS f ON s.store_id = f.store_id AND s.sales_date = f.feature_date"""
