@@ -39,8 +39,10 @@ APPROVED_MARTS: dict[str, tuple[str, ...]] = {
                        "direction", "model_version"),
 }
 DEFAULT_ROW_LIMIT = 100
-# Leaves that read no stored data: constant rows, VALUES lists, ranges.
-HARMLESS_LEAVES = {"OneRowRelation", "LocalRelation", "Range"}
+# Leaves that read no stored data: constant rows, VALUES lists, ranges, and
+# references to a WITH clause (whose definitions are walked as children of
+# the WithCTE node).
+HARMLESS_LEAVES = {"OneRowRelation", "LocalRelation", "Range", "CTERelationRef"}
 
 
 class GovernedSqlError(ValueError):
