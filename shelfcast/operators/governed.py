@@ -76,14 +76,24 @@ def referenced_views(df: DataFrame, allowed: set[str]) -> set[str]:
     return seen
 
 
-def governed_session(spark: SparkSession, marts: Callable[[SparkSession], dict[str, DataFrame]]) -> SparkSession:
-    """An isolated session whose temp views are the approved columns only."""
+def governed_session(spark: SparkSession, marts: dict[str, DataFrame]) -> SparkSession:
+    """An isolated session whose temp views are the approved columns only.
+
+    The approved projections are published once as application-wide global
+    temp views under a private prefix; the isolated session's own temp views
+    select from them.  Queries that name the global views directly are
+    rejected by the plan walk (they are not the approved temp views).
+    """
+    import uuid
+
     iso = spark.newSession()
     iso.conf.set("spark.sql.runSQLOnFiles", "false")
-    frames = marts(iso)
+    prefix = f"governed_{uuid.uuid4().hex[:12]}"
+    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
     for name, cols in APPROVED_MARTS.items():
-        if name in frames:
-            frames[name].select(*cols).createOrReplaceTempView(name)
+        if name in marts:
+            marts[name].select(*cols).createOrReplaceGlobalTempView(f"{prefix}_{name}")
+            iso.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {db}.{prefix}_{name}")
     return iso
 
 

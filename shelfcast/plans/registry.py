@@ -568,14 +568,14 @@ order by total_sales desc, s.store_id"""
 
 
 def _governed_session(w: Warehouse):
+    """The isolated read session over this warehouse's marts, built once."""
     from ..operators.governed import governed_session
 
-    def marts(iso):
-        wi = Warehouse.shared(iso, w.sf_dir)
-        return {t: wi.table(t) for t in ("dim_store", "dim_date", "fact_sales", "fact_inventory", "fact_demand",
-                                          "fact_forecast", "fact_stockout_risk", "fact_anomalies")}
-
-    return governed_session(w.spark, marts)
+    if getattr(w, "_governed", None) is None:
+        w._governed = governed_session(w.spark, {t: w.table(t) for t in (
+            "dim_store", "dim_date", "fact_sales", "fact_inventory", "fact_demand", "fact_forecast",
+            "fact_stockout_risk", "fact_anomalies")})
+    return w._governed
 
 
 @register("governed_store_sales", f"select * from ({GOVERNED_STORE_SALES_SQL}) g limit 100", "fact_sales", "dim_store")

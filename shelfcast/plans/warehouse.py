@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts, staging
@@ -38,31 +37,36 @@ class Warehouse:
         self._tables = tables or {}
 
     # -- constructors -------------------------------------------------------
+    materialize = None
+
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, persist: bool = False) -> "Warehouse":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, materialize=None) -> "Warehouse":
         from ..sources.adapter import raw_tables
 
-        w = cls(spark, raw_tables(spark, sf_dir, persist))
+        w = cls(spark, raw_tables(spark, sf_dir, materialize))
         w.sf_dir = sf_dir
-        w.persisted = persist
+        w.materialize = materialize
         return w
 
-    _SHARED: dict[tuple[int, str], "Warehouse"] = {}
+    _SHARED: dict[tuple[str, str], "Warehouse"] = {}
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        """One persisted test-data warehouse per (Spark application, folder):
-        the raw and model-output layers are materialised once and read by
-        every query, as the catalog tables of a refreshed warehouse are."""
+        """One materialised test-data warehouse per (Spark application, folder).
+
+        Raw, model-output and mart layers are checkpointed into the shared
+        checkpoint folder the first time they are used and read by every
+        later query, as the stored tables of a refreshed warehouse are: plans
+        over them stay shallow, and a lost executor re-reads stored files
+        instead of recomputing the lineitem joins.
+        """
+        from ..session import cut_lineage
+
         key = (spark.sparkContext.applicationId, sf_dir)
         w = cls._SHARED.get(key)
-        if w is None or w.spark.sparkContext._jsc is None:
-            w = cls.from_testdata(spark, sf_dir, persist=True)
+        if w is None:
+            w = cls.from_testdata(spark, sf_dir, materialize=cut_lineage)
             cls._SHARED[key] = w
-        elif w.spark is not spark:
-            # Another session (e.g. the governed one) builds its own frames;
-            # the shared cache serves their identical plans.
-            w = cls.from_testdata(spark, sf_dir, persist=True)
         return w
 
     @classmethod
@@ -84,8 +88,8 @@ class Warehouse:
         if name in self._tables:
             return self._tables[name]
         df = build()
-        if getattr(self, "persisted", False):
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.materialize:
+            df = self.materialize(df)
         self._tables[name] = df
         return df
 
@@ -139,15 +143,15 @@ class Warehouse:
             from ..operators.forecast_reads import lag_forecast_output
 
             forecasts = lag_forecast_output(self.fact_sales)
-            if getattr(self, "persisted", False):
-                forecasts = forecasts.persist(StorageLevel.MEMORY_AND_DISK)
+            if self.materialize:
+                forecasts = self.materialize(forecasts)
             ml = {
                 "demand_forecasts": forecasts,
                 "stockout_risk": scoring.stockout_output(forecasts, self.stg_inventory),
                 "sales_anomalies": scoring.sales_anomaly_output(self.stg_sales),
             }
-            if getattr(self, "persisted", False):
-                ml = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in ml.items()}
+            if self.materialize:
+                ml = {k: (v if k == "demand_forecasts" else self.materialize(v)) for k, v in ml.items()}
             self._ml = ml
         return self._ml
 
@@ -180,7 +184,8 @@ class Warehouse:
             return self.raw["weather"]
         from ..operators.synth import synthetic_weather
 
-        return synthetic_weather(self.raw["features"])
+        df = synthetic_weather(self.raw["features"])
+        return self.materialize(df) if self.materialize else df
 
     VIEWS = {"staging.stg_sales", "staging.stg_stores", "staging.stg_features", "staging.stg_inventory",
              "staging.int_sales_features"}

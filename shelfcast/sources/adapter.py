@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,17 +128,17 @@ def inventory_frame(sales: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, persist: bool = False) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str, materialize=None) -> dict[str, DataFrame]:
     """The four raw landing tables in raw contract shape (lazy).
 
-    With ``persist`` the weekly sales aggregate (the one expensive part: the
-    lineitem joins) and the tables are kept with MEMORY_AND_DISK, standing in
-    for the materialised raw tables of a loaded warehouse; lost blocks are
-    recomputed from lineage.
+    ``materialize`` (e.g. a checkpoint into the shared checkpoint folder)
+    stores the weekly sales aggregate, the one expensive part (the lineitem
+    joins), before inventory is derived from it, and then each raw table:
+    they stand in for the loaded raw tables of a refreshed warehouse.
     """
     sales = sales_frame(spark, sf_dir)
-    if persist:
-        sales = sales.persist(StorageLevel.MEMORY_AND_DISK)
+    if materialize:
+        sales = materialize(sales)
     raw_sales = _stamp(
         sales.select(
             F.col("store_id").alias("store"), F.col("dept_id").alias("dept"), F.col("sales_date").alias("date"),
@@ -170,8 +169,8 @@ def raw_tables(spark: SparkSession, sf_dir: str, persist: bool = False) -> dict[
         "inventory",
     )
     out = {"sales": raw_sales, "stores": raw_stores, "features": raw_features, "inventory": raw_inventory}
-    if persist:
-        out = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in out.items()}
+    if materialize:
+        out = {k: materialize(v) for k, v in out.items()}
     return out
 
 

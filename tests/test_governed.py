@@ -10,11 +10,8 @@ from conftest import SF_SMALL
 
 @pytest.fixture(scope="module")
 def iso(spark):
-    def marts(s):
-        w = Warehouse.from_testdata(s, SF_SMALL)
-        return {t: w.table(t) for t in ("dim_store", "fact_sales", "fact_demand", "dim_date")}
-
-    return governed_session(spark, marts)
+    w = Warehouse.from_testdata(spark, SF_SMALL)
+    return governed_session(spark, {t: w.table(t) for t in ("dim_store", "fact_sales", "fact_demand", "dim_date")})
 
 
 def test_accepts_reads_and_caps(iso):
@@ -38,6 +35,7 @@ def test_accepts_reads_and_caps(iso):
     "select source_file from fact_sales",
     "select * from fact_sales where store_id in (select store from raw.sales)",
     "select * from identifier('raw.sales')",
+    "select * from global_temp.no_such_view",
     "select 1",
     "",
 ])
