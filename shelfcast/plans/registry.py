@@ -603,3 +603,47 @@ def _weekly_error_rows(w: Warehouse) -> DataFrame:
 @register("anomaly_triage", _QUEUE + " where severity = 'High' and direction = 'Sales spike'", "fact_anomalies")
 def _anomaly_triage(w: Warehouse) -> DataFrame:
     return scoring.triage(scoring.anomaly_queue(w.fact_anomalies, w.fact_sales), "High", "Sales spike")
+
+
+# -- fallbacks served when the model marts are absent (A13) ------------------
+_SHAPE = """select store_id, dept_id, sales_date forecast_date, 0 horizon_days, baseline_forecast predicted_demand,
+  weekly_sales actual_demand, greatest(baseline_forecast * 0.85, 0.0) prediction_interval_lower,
+  baseline_forecast * 1.15 prediction_interval_upper, 'phase_1_5_naive_baseline' model_name,
+  'phase_1_5' model_version, forecast_error, absolute_error from baseline"""
+
+
+@register("forecast_results_fallback", _SHAPE, "baseline")
+def _forecast_results_fallback(w: Warehouse) -> DataFrame:
+    return fr.forecast_results(None, w.fact_sales)
+
+
+@register("forecast_detail_fallback", f"""
+select store_id, dept_id, forecast_date, actual_demand, predicted_demand, forecast_error, absolute_error,
+  horizon_days, model_version from ({_SHAPE}) s
+order by absolute_error desc nulls last, forecast_date, store_id, dept_id limit 250""", "baseline")
+def _forecast_detail_fallback(w: Warehouse) -> DataFrame:
+    return fr.forecast_detail(None, w.fact_sales)
+
+
+@register("filter_options_fallback", """
+select distinct store_id, dept_id, 0 horizon_days from fact_sales order by store_id, dept_id""", "fact_sales")
+def _filter_options_fallback(w: Warehouse) -> DataFrame:
+    return fr.forecast_filter_options(None, w.fact_sales)
+
+
+@register("stockout_queue_proxy", f"""
+select store_id, dept_id, demand_date risk_date, observed_demand predicted_demand, available_inventory,
+  stockout_risk_score, risk_category, recommended_action, 'observed_demand_proxy' model_version from demand_scored
+order by {rank_sql('risk_category')}, stockout_risk_score desc nulls first, risk_date, store_id, dept_id""",
+          "demand_scored")
+def _stockout_queue_proxy(w: Warehouse) -> DataFrame:
+    return scoring.stockout_queue(None, w.fact_demand)
+
+
+@register("risk_distribution_proxy", """
+select c.risk_category, coalesce(n, 0) risk_count
+from (values ('Critical', 0), ('High', 1), ('Medium', 2), ('Low', 3)) c(risk_category, risk_order)
+left join (select risk_category, count(*) n from demand_scored group by risk_category) k
+  on c.risk_category = k.risk_category order by risk_order""", "demand_scored")
+def _risk_distribution_proxy(w: Warehouse) -> DataFrame:
+    return scoring.risk_distribution(scoring.stockout_queue(None, w.fact_demand))
