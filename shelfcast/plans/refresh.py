@@ -74,6 +74,17 @@ def load_raw(spark: SparkSession, landing_dir: str, entities=tuple(RAW_CONTRACTS
     }
 
 
+def load_outputs(spark: SparkSession, output_dir: str, only: tuple[str, ...] = tuple(ML_CONTRACTS),
+                 overwrite: bool = True) -> dict[str, int]:
+    """Model output files -> ml tables: validate all, ensure, typed insert."""
+    paths = validate_sources(spark, output_dir, list(only), ML_CONTRACTS)
+    return {
+        name: catalog.insert(contract_read(spark, path, ML_CONTRACTS[name]), catalog.ML, name,
+                             ML_CONTRACTS[name].columns, overwrite)
+        for name, path in paths.items()
+    }
+
+
 def _raw(spark: SparkSession, name: str) -> DataFrame:
     return catalog.table(spark, catalog.RAW, name)
 

@@ -100,3 +100,24 @@ def stage_entities(frames: dict[str, DataFrame], uri: str, fmt: str = "csv") ->
             write_parquet(df, target)
         out[name] = target
     return out
+
+
+def read_canonical(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sales, stores and features of one landing folder, typed (A2)."""
+    base = data_dir.rstrip("/")
+    return tuple(contract_read(spark, f"{base}/{RAW_CONTRACTS[n].file_name}", RAW_CONTRACTS[n])
+                 for n in ("sales", "stores", "features"))
+
+
+def write_outputs(frames: dict[str, DataFrame], output_dir: str) -> dict[str, str]:
+    """Model output files, one headered CSV folder per output (A10)."""
+    out = {}
+    for name, df in frames.items():
+        out[name] = f"{output_dir.rstrip('/')}/{name}.csv"
+        write_csv(df, out[name])
+    return out
+
+
+def lower_columns(df: DataFrame) -> DataFrame:
+    """Result naming: every column lower case."""
+    return df.toDF(*[c.lower() for c in df.columns])

@@ -79,3 +79,26 @@ def test_streaming_appends_each_file_once(spark, scratch):
     assert got.count() == 3
     assert got.where(F.col("date").isNull() & F.col("weekly_sales").isNull() & F.col("is_holiday")).count() == 1
     assert got.select("source_file").distinct().count() == 2
+
+
+def test_output_files_round_trip(spark, scratch):
+    from shelfcast.plans.refresh import load_outputs
+    from shelfcast.plans.warehouse import Warehouse
+    from shelfcast.sources.files import lower_columns, read_canonical, write_outputs
+
+    w = Warehouse.from_testdata(spark, SF_SMALL)
+    frames = {name: df.toDF(*[c.title() for c in df.columns]) for name, df in w.ml.items()}
+    paths = write_outputs(frames, f"{scratch}/ml_outputs")
+    counts = load_outputs(spark, f"{scratch}/ml_outputs")
+    assert counts == {name: df.count() for name, df in w.ml.items()}
+    back = spark.table("ml.demand_forecasts")
+    assert back.where("horizon_days = 7").count() == w.ml["demand_forecasts"].where("horizon_days = 7").count()
+    assert back.where(F.col("created_at").isNull()).count() == 0
+    assert lower_columns(frames["sales_anomalies"]).columns == list(w.ml["sales_anomalies"].columns)
+    assert len(paths) == 3
+
+    for name in ("sales", "stores", "features"):
+        df = w.raw[name].drop("source_file", "loaded_at")
+        write_csv(df, f"{scratch}/landing/{RAW_CONTRACTS[name].file_name}")
+    sales, stores, feats = read_canonical(spark, f"{scratch}/landing")
+    assert (sales.count(), stores.count(), feats.count()) == tuple(w.raw[n].count() for n in ("sales", "stores", "features"))
