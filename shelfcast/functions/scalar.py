@@ -112,6 +112,20 @@ def money_avg(col: str | Column) -> Column:
     return F.try_divide(money_sum(col), F.count(c(col)).cast("double"))
 
 
+def money_stddev_pop(col: str | Column) -> Column:
+    """Population standard deviation of a money column from exact moments.
+
+    Values are taken at the money scale (4 places) as integers, their count,
+    sum and sum of squares are summed exactly, and only the final
+    ``n * sum(x^2) - sum(x)^2`` is converted to double: one partial
+    aggregate per partition, and the same result on any partitioning.
+    """
+    x = F.round(c(col) * F.lit(10000.0)).cast("bigint").cast("decimal(38,0)")
+    n = F.count(c(col)).cast("decimal(38,0)")
+    spread = n * F.sum(x * x) - F.sum(x) * F.sum(x)
+    return F.try_divide(F.sqrt(spread.cast("double")), F.count(c(col)).cast("double") * F.lit(10000.0))
+
+
 def score_avg(col: str | Column) -> Column:
     """Mean of rounded scores that may hold +inf: inf if any, else the exact mean."""
     x = c(col)

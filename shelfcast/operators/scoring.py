@@ -21,6 +21,7 @@ from ..functions.scalar import (
     RISK_ORDER,
     direction,
     money_avg,
+    money_stddev_pop,
     no_negative_zero,
     recommended_action,
     risk_category,
@@ -152,7 +153,7 @@ def _zscore(value: str) -> F.Column:
 def _stats(value: str) -> dict[str, F.Column]:
     return {
         "__mean": money_avg(value),
-        "__std": F.stddev_pop(value),
+        "__std": money_stddev_pop(value),
         "__min": F.min(value),
         "__max": F.max(value),
     }

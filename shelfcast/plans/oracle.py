@@ -33,6 +33,12 @@ def mavg(expr: str) -> str:
     return f"({msum(expr)} / nullif(cast(count({expr}) as double), 0))"
 
 
+def mstd(expr: str) -> str:
+    x = f"cast(cast(round({expr} * 10000.0) as bigint) as decimal(38,0))"
+    spread = f"(cast(count({expr}) as decimal(38,0)) * sum({x} * {x}) - sum({x}) * sum({x}))"
+    return f"(sqrt(cast({spread} as double)) / nullif(cast(count({expr}) as double) * 10000.0, 0))"
+
+
 def wape_sql(a: str = "actual_demand", p: str = "predicted_demand") -> str:
     num = f"cast(sum(abs(cast({a} as decimal(18,4)) - cast({p} as decimal(18,4)))) as double)"
     den = f"cast(sum(abs(cast({a} as decimal(18,4)))) as double)"
@@ -203,7 +209,7 @@ select store, dept, sales_date, {sround('weekly_sales', 2)} weekly_sales, {sroun
   'zscore_baseline_v1' model_version, {TS} created_at
 from (select s.store_id store, s.dept_id dept, s.sales_date, s.weekly_sales,
   case when g.sd is null or g.sd = 0 or g.mn = g.mx then 0.0 else (s.weekly_sales - g.mean) / g.sd end z
-  from stg_sales s left join (select store_id, dept_id, {mavg('weekly_sales')} mean, stddev_pop(weekly_sales) sd,
+  from stg_sales s left join (select store_id, dept_id, {mavg('weekly_sales')} mean, {mstd('weekly_sales')} sd,
       min(weekly_sales) mn, max(weekly_sales) mx from stg_sales group by store_id, dept_id) g
     on s.store_id is not distinct from g.store_id and s.dept_id is not distinct from g.dept_id) z""",
                      ("stg_sales",)),
@@ -221,7 +227,7 @@ select store_id, dept_id, sales_date, weekly_sales, z anomaly_score, coalesce(ab
   {severity_sql('z')} severity, {direction_sql('z')} direction
 from (select s.store_id, s.dept_id, s.sales_date, s.weekly_sales,
   case when g.sd is null or g.sd = 0 or g.mn = g.mx then 0.0 else (s.weekly_sales - g.mean) / g.sd end z
-  from fact_sales s, (select {mavg('weekly_sales')} mean, stddev_pop(weekly_sales) sd, min(weekly_sales) mn,
+  from fact_sales s, (select {mavg('weekly_sales')} mean, {mstd('weekly_sales')} sd, min(weekly_sales) mn,
     max(weekly_sales) mx from fact_sales) g) z""", ("fact_sales",)),
 }
 
