@@ -12,8 +12,8 @@ operations (joins + grouped aggregation), in the raw landing contracts of
 * features   orders x customer, grouped by (customer nation, order week)
 * inventory  a deterministic function of each sales row, some rows left out
 
-Money is multiplied and summed as exact decimals and cast to double at the
-end.  The adapter's work grows with lineitem/orders: both big joins are
+Money is multiplied and summed exactly (integer units of 1e-4) and turned
+into a double once, at the end.  The adapter's work grows with lineitem/orders: both big joins are
 left to the optimizer (shuffle joins at scale, broadcast when the planner's
 size check allows), and the weekly grouping is partially aggregated before
 its shuffle.
@@ -62,15 +62,20 @@ def sales_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    revenue = F.col("l_extendedprice").cast("decimal(12,2)") * (
-        F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
+    # Revenue in units of 1e-4: cents times whole discount percents, an exact
+    # integer.  The per-group BIGINT sum is exact (ANSI mode raises on
+    # overflow; weekly group totals stay far below it) and aggregates with
+    # primitive buffers, unlike a wide-decimal sum; dividing the exact total
+    # by 10^4 once gives the correctly rounded double.
+    revenue = F.round(F.col("l_extendedprice") * 100).cast("bigint") * (
+        F.lit(100) - F.round(F.col("l_discount") * 100).cast("bigint")
     )
     joined = li.join(su, F.col("l_suppkey") == F.col("s_suppkey")).join(pa, F.col("l_partkey") == F.col("p_partkey"))
     weekly = joined.groupBy(
         F.col("s_nationkey").alias("store_id"),
         (F.col("p_size") % DEPT_BUCKETS + 1).alias("dept_id"),
         _week("l_shipdate").alias("sales_date"),
-    ).agg(F.sum(revenue).cast("double").alias("weekly_sales"))
+    ).agg((F.sum(revenue).cast("double") / F.lit(10000.0)).alias("weekly_sales"))
     return weekly.withColumn("is_holiday", _holiday(F.col("sales_date")))
 
 
