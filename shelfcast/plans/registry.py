@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast_reads as fr
 from ..operators import kpis, scoring
+from ..operators import quality as _quality
 from . import oracle as _o
 from .oracle import mavg, msum, rank_sql, with_ctes, wape_sql
 from .warehouse import Warehouse
@@ -478,15 +479,11 @@ def _row_count_report(w: Warehouse) -> DataFrame:
 
 
 def _inventory(w: Warehouse) -> DataFrame:
-    from ..sources.adapter import ADAPTER_LOADED_AT
-
-    return _q().tables_inventory(w.spark, w.layer_tables(), Warehouse.VIEWS, ADAPTER_LOADED_AT)
+    return w.inventory()
 
 
 _EXPECTED = "select * from (values " + ", ".join(
-    f"('{s}', '{t}', '{g}', '{d}', {i})" for (s, t, g, d), i in
-    ((o, {"Raw ingestion": 1, "dbt staging": 2, "dbt marts": 3, "ML outputs": 4, "Model marts": 5}[o[2]])
-     for o in __import__("shelfcast.operators.quality", fromlist=["x"]).EXPECTED_OBJECTS)
+    f"('{s}', '{t}', '{g}', '{d}', {_quality.STAGE_ORDER[g]})" for s, t, g, d in _quality.EXPECTED_OBJECTS
 ) + ") e(table_schema, table_name, pipeline_stage, description, stage_order)"
 _HEALTH = f"""select e.pipeline_stage, e.table_schema, e.table_name, e.table_schema || '.' || e.table_name object_name,
   e.description, coalesce(i.table_type, 'MISSING') object_type, cast(coalesce(i.row_count, 0) as bigint) row_count,

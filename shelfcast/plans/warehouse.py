@@ -82,7 +82,9 @@ class Warehouse:
         for t in catalog.MART_TABLES:
             if catalog.object_exists(spark, catalog.MARTS, t):
                 tables[t] = spark.table(f"{catalog.MARTS}.{t}")
-        return cls(spark, raw, ml, tables)
+        w = cls(spark, raw, ml, tables)
+        w.catalog_backed = True
+        return w
 
     def _table(self, name: str, build) -> DataFrame:
         if name in self._tables:
@@ -163,6 +165,25 @@ class Warehouse:
                   "fact_anomalies": "sales_anomalies"}.get(name)
         return source is not None and source in self.ml
 
+    def optional(self, name: str) -> DataFrame | None:
+        """The model mart if it can be served, else None (A13 switch)."""
+        return self.table(name) if self.has(name) else None
+
+    catalog_backed = False
+
+    def inventory(self) -> DataFrame:
+        """Object inventory (I5): the session catalog for a refreshed
+        warehouse, the layer frames otherwise."""
+        from ..operators import quality
+
+        if self.catalog_backed:
+            from ..sources import catalog
+
+            return catalog.inventory(self.spark)
+        from ..sources.adapter import ADAPTER_LOADED_AT
+
+        return quality.tables_inventory(self.spark, self.layer_tables(), self.VIEWS, ADAPTER_LOADED_AT)
+
     @property
     def fact_forecast(self) -> DataFrame:
         return self._table("fact_forecast", lambda: marts.fact_forecast(self.ml["demand_forecasts"]))

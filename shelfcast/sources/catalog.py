@@ -87,11 +87,13 @@ def materialise(df: DataFrame, db: str, name: str) -> int:
 
 
 def inventory(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> DataFrame:
-    """Catalog inventory: schema, table, type, row_count, last_altered.
+    """Catalog inventory: schema, table, type, row_count, created,
+    last_altered (I5).
 
     Row counts come from one unioned count job over the base tables (views
-    count 0, as in the reference); ``last_altered`` is the newest data file's
-    modification time taken from the scan metadata in the same job.
+    count 0, as in the reference); ``created`` / ``last_altered`` are the
+    oldest / newest data file's modification time, read from the scan
+    metadata in the same job.
     """
     rows, parts = [], []
     for db in layers:
@@ -103,13 +105,16 @@ def inventory(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> DataFram
             if kind == "BASE TABLE":
                 parts.append(
                     spark.table(f"{db}.{t.name}").select(F.col("_metadata.file_modification_time").alias("m")).agg(
-                        F.count(F.lit(1)).alias("row_count"), F.max("m").cast("timestamp_ntz").alias("last_altered")
-                    ).select(F.lit(db.upper()).alias("s"), F.lit(t.name.upper()).alias("n"), "row_count", "last_altered")
+                        F.count(F.lit(1)).alias("row_count"), F.min("m").cast("timestamp_ntz").alias("created"),
+                        F.max("m").cast("timestamp_ntz").alias("last_altered"),
+                    ).select(F.lit(db.upper()).alias("s"), F.lit(t.name.upper()).alias("n"), "row_count", "created",
+                             "last_altered")
                 )
     schema = "table_schema string, table_name string, table_type string"
     objects = spark.createDataFrame(rows, schema)
     if not parts:
         return objects.select("*", F.lit(0).cast("bigint").alias("row_count"),
+                              F.lit(None).cast("timestamp_ntz").alias("created"),
                               F.lit(None).cast("timestamp_ntz").alias("last_altered"))
     counts = parts[0]
     for p in parts[1:]:
@@ -117,5 +122,5 @@ def inventory(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> DataFram
     j = objects.join(counts, (objects.table_schema == counts.s) & (objects.table_name == counts.n), "left")
     return j.select(
         "table_schema", "table_name", "table_type", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
-        "last_altered",
+        "created", "last_altered",
     ).orderBy("table_schema", "table_name")

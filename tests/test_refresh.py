@@ -70,6 +70,29 @@ def test_refresh_round_trip(spark, scratch):
     got = kpis.executive_metrics(cw.fact_sales, cw.fact_demand).first().asDict()
     want = kpis.executive_metrics(w.fact_sales, w.fact_demand).first().asDict()
     assert got == want
+    # The catalog inventory sees every expected object loaded.
+    from shelfcast import api
+
+    health = {r["object_name"]: r["status"] for r in api.pipeline_health(cw).collect()}
+    assert set(health.values()) == {"Ready"} and len(health) == 20
+    assert {r["status"] for r in api.quality_checks(cw).collect()} == {"Pass"}
     # The model reloads and scores.
     reloaded = forest.load(cfg.model_dir)
     assert reloaded.metrics["model_version"] == forest.model_version(RUN_AT)
+
+
+def test_reads_fall_back_without_model_marts(spark):
+    from shelfcast import api
+
+    w = Warehouse.from_testdata(spark, SF_SMALL)
+    bare = Warehouse(spark, w.raw, ml={})
+    assert {r["model_version"] for r in api.forecast_results(bare).select("model_version").distinct().collect()} == {
+        "phase_1_5"}
+    assert api.stockout_risk_results(bare).select("model_version").distinct().first()[0] == "observed_demand_proxy"
+    assert "severity" in api.anomaly_results(bare).columns
+    assert api.forecast_filter_options(bare).where("horizon_days <> 0").count() == 0
+    m = api.forecast_metrics(bare).first()
+    assert m["forecast_rows"] == m["scored_rows"] == w.fact_sales.count()
+    full = api.forecast_results(w)
+    assert {r[0] for r in full.select("horizon_days").distinct().collect()} == {0, 7}
+    assert len(api.READS) == 17
