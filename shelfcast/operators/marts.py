@@ -52,8 +52,9 @@ def dim_store(stg_stores: DataFrame) -> DataFrame:
 def dim_date(stg_sales: DataFrame, stg_features: DataFrame, stg_inventory: DataFrame) -> DataFrame:
     """Calendar of every date in sales, features and inventory (G1).
 
-    Each input is reduced to its distinct dates before the union, so the
-    shuffle carries one row per (partition, date) instead of every fact row.
+    The distinct is partially aggregated in every input partition before the
+    shuffle, which then carries one row per (partition, date) instead of
+    every fact row.
     """
     dates = (
         stg_sales.select(F.col("sales_date").alias("date_day"))

@@ -103,8 +103,9 @@ _GAMMA = gamma_quantiles(PRECIP_SHAPE)
 def synthetic_weather(features: DataFrame, seed: int = 42) -> DataFrame:
     """One weather row per feature row (H6); raw weather contract.
 
-    Missing temperatures take the median temperature (one global aggregate
-    over the feature table, whose grain is store x week).
+    Missing temperatures take the exact median temperature: one global
+    aggregate whose buffer holds the distinct temperature values, bounded by
+    the measurement's range and two-place precision, not by the row count.
     """
     require_columns(features, ["store", "date", "temperature"], "features for weather generation")
     key = [F.col("store"), F.col("date")]

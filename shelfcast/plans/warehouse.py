@@ -62,7 +62,11 @@ class Warehouse:
         """
         from ..session import cut_lineage
 
-        key = (spark.sparkContext.applicationId, sf_dir)
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # sessions without a local SparkContext handle
+            app = str(id(spark))
+        key = (app, sf_dir)
         w = cls._SHARED.get(key)
         if w is None:
             w = cls.from_testdata(spark, sf_dir, materialize=cut_lineage)
