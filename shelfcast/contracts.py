@@ -190,8 +190,9 @@ def coerce(col: Column, source: T.DataType, target: T.DataType) -> Column:
             return col
         if isinstance(source, (T.TimestampType, T.DateType)):
             return col.cast(target)
-        # Offsets such as +00:00 are honoured, then the UTC wall time is kept.
-        return F.try_to_timestamp(F.trim(col.cast("string"))).cast("timestamp_ntz")
+        # Offsets such as +00:00 are honoured, then the UTC wall time is kept
+        # at second precision.
+        return F.date_trunc("second", F.try_to_timestamp(F.trim(col.cast("string")))).cast("timestamp_ntz")
     return col.cast(target)
 
 

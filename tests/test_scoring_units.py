@@ -115,3 +115,12 @@ def test_empty_stockout_output_keeps_contract(spark):
     fc = spark.createDataFrame([], ML_CONTRACTS["demand_forecasts"].columns)
     out = scoring.stockout_output(fc, None)
     assert out.count() == 0 and out.columns == ML_CONTRACTS["stockout_risk"].names
+
+
+def test_timestamps_to_utc_seconds(spark):
+    df = spark.createDataFrame([("2026-05-21T23:18:11+00:00",), ("2026-05-21T19:18:11.75-04:00",), ("bad",)], "t string")
+    from shelfcast.contracts import coerce
+    from pyspark.sql import types as T
+
+    got = [r[0] for r in df.select(coerce(F.col("t"), T.StringType(), T.TimestampNTZType())).collect()]
+    assert got == [dt.datetime(2026, 5, 21, 23, 18, 11), dt.datetime(2026, 5, 21, 23, 18, 11), None]
