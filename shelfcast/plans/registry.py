@@ -324,20 +324,28 @@ def _time_split_sizes(w: Warehouse) -> DataFrame:
     return features.split_summary(_tf(w))
 
 
+def _trained(w: Warehouse):
+    """The forest trained once per warehouse on the chronological 80 %."""
+    from ..operators import forest
+
+    if getattr(w, "_trained", None) is None:
+        w._trained = forest.train(_tf(w))
+    return w._trained
+
+
 @register("forest_forecast")
 def _forest_forecast(w: Warehouse) -> DataFrame:
-    """Train on the chronological 80 %, score every row and the next week (rows check)."""
+    """Score every observed row and the next week with the trained forest (rows check)."""
     from ..operators import forest
 
-    frame = _tf(w)
-    return forest.forecast_output(frame, forest.train(frame))
+    return forest.forecast_output(_tf(w), _trained(w))
 
 
 @register("holdout_metrics")
 def _holdout_metrics(w: Warehouse) -> DataFrame:
     from ..operators import forest
 
-    return forest.metrics_frame(forest.train(_tf(w)))
+    return forest.metrics_frame(_trained(w))
 
 
 # -- prepare and synthetic sources ------------------------------------------
