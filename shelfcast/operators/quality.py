@@ -106,12 +106,14 @@ def not_null_report(tables: Tables, checks: dict[str, tuple[str, ...]] = NOT_NUL
     for name, cols in checks.items():
         if name not in tables:
             continue
-        counts = tables[name].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        stacked = counts.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("check_column"), F.col(c).alias("failing_rows")) for c in cols
-        ])).alias("s"))
-        parts.append(stacked.select(F.lit(name).alias("check_table"), "s.check_column", "s.failing_rows"))
-    return _union(parts).withColumn("status", _status(F.col("failing_rows")))
+        parts.append(tables[name].agg(F.array(*[
+            F.struct(F.lit(name).alias("check_table"), F.lit(c).alias("check_column"),
+                     F.count_if(F.col(c).isNull()).alias("failing_rows"))
+            for c in cols
+        ]).alias("checks")))
+    s = F.explode("checks")
+    out = _union(parts).select(s.alias("c")).select("c.*")
+    return out.select("*", _status(F.col("failing_rows")).alias("status"))
 
 
 def unique_report(tables: Tables, checks=UNIQUE) -> DataFrame:
@@ -169,12 +171,14 @@ def tables_inventory(spark: SparkSession, tables: Tables, views: set[str], stamp
         db, t = name.split(".")
         is_view = name in views
         ts = F.lit(None).cast("timestamp_ntz") if (is_view or stamp is None) else F.lit(stamp).cast("timestamp_ntz")
-        counted = spark.range(1).select(F.lit(0).alias("row_count")) if is_view else df.agg(
-            F.count(F.lit(1)).alias("row_count"))
-        parts.append(counted.select(
-            F.lit(db.upper()).alias("table_schema"), F.lit(t.upper()).alias("table_name"),
-            F.lit("VIEW" if is_view else "BASE TABLE").alias("table_type"), F.col("row_count").cast("bigint"),
-            ts.alias("created"), ts.alias("last_altered")))
+        cols = [F.lit(db.upper()).alias("table_schema"), F.lit(t.upper()).alias("table_name"),
+                F.lit("VIEW" if is_view else "BASE TABLE").alias("table_type")]
+        if is_view:
+            parts.append(spark.range(1).select(*cols, F.lit(0).cast("bigint").alias("row_count"),
+                                               ts.alias("created"), ts.alias("last_altered")))
+        else:
+            parts.append(df.agg(*cols, F.count(F.lit(1)).alias("row_count"), ts.alias("created"),
+                                ts.alias("last_altered")))
     return _union(parts)
 
 
