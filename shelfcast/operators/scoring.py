@@ -193,10 +193,11 @@ def sales_anomaly_output(stg_sales: DataFrame, threshold: float = DEFAULT_ANOMAL
 def flag_zscore_anomalies(df: DataFrame, value: str, threshold: float = 3.0) -> DataFrame:
     """Global z-score over the whole frame (E5).
 
-    The statistics are scalar subqueries (one aggregate job, merged by the
-    optimizer, its values inlined into the scan); no window without a
-    partition and no join."""
-    j = df.select("*", *[df.select(v).scalar().alias(k) for k, v in _stats(value).items()])
+    The statistics are one struct-valued scalar subquery (a single partial +
+    final aggregate, computed once and inlined into the scan); no window
+    without a partition and no join."""
+    stats = df.select(F.struct(*[v.alias(k) for k, v in _stats(value).items()])).scalar()
+    j = df.select("*", *[stats.getField(k).alias(k) for k in _stats(value)])
     z = _zscore(value)
     return j.select(
         *df.columns, z.alias("anomaly_score"), F.coalesce(F.abs(z) >= threshold, F.lit(False)).alias("is_anomaly")

@@ -21,10 +21,12 @@ from .warehouse import Warehouse
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {}  # name -> warehouse -> DataFrame
 
 
 def register(name: str, sql: str | None = None, *needs: str):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+        BUILDERS[name] = fn
         QUERIES[name] = lambda spark, sf_dir: fn(Warehouse.shared(spark, sf_dir))
         if sql is not None:
             ORACLE[name] = with_ctes(sql, *needs)
