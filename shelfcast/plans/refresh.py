@@ -17,7 +17,6 @@ import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..contracts import ML_CONTRACTS, RAW_CONTRACTS
 from ..operators import features, forest, marts, quality, scoring, staging
@@ -202,5 +201,5 @@ def catalog_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse.from_catalog(spark)
 
 
-__all__ = ["RefreshConfig", "plan_steps", "refresh", "load_raw", "train", "score", "build_marts", "test_marts",
-           "catalog_warehouse", "F"]
+__all__ = ["RefreshConfig", "plan_steps", "refresh", "load_raw", "load_outputs", "train", "score", "build_marts",
+           "test_marts", "catalog_warehouse"]

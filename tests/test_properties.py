@@ -6,7 +6,6 @@ import statistics
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from shelfcast.functions.scalar import risk_category, stockout_score
 from shelfcast.operators import features, scoring

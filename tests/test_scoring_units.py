@@ -3,7 +3,6 @@
 import datetime as dt
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.contracts import cast_to_contract, ML_CONTRACTS, normalise_header, truthy, RAW_CONTRACTS
