@@ -90,11 +90,15 @@ class Warehouse:
         w.catalog_backed = True
         return w
 
+    # Marts whose build shuffles (join, distinct over a union); the others are
+    # projections of stored data and stay views over it.
+    STORED_MARTS = {"fact_demand", "dim_date"}
+
     def _table(self, name: str, build) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
         df = build()
-        if self.materialize:
+        if self.materialize and name in self.STORED_MARTS:
             df = self.materialize(df)
         self._tables[name] = df
         return df
