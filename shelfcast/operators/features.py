@@ -130,13 +130,15 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
 def split_summary(frame: DataFrame, test_size: float = 0.2) -> DataFrame:
     """Sizes and date spans of the two parts, one row (E4 report)."""
     sp = chronological_split(frame, test_size)
-    t = sp.train.agg(F.count(F.lit(1)).alias("training_rows"), F.min("date").alias("train_start"),
-                     F.max("date").alias("train_end"))
-    v = sp.test.agg(F.count(F.lit(1)).alias("validation_rows"), F.min("date").alias("validation_start"),
-                    F.max("date").alias("validation_end"))
-    return t.select(
-        "training_rows", "train_start", "train_end",
-        v.select("validation_rows").scalar().alias("validation_rows"),
-        v.select("validation_start").scalar().alias("validation_start"),
-        v.select("validation_end").scalar().alias("validation_end"),
+    parts = sp.train.select("date", F.lit(True).alias("train")).unionByName(
+        sp.test.select("date", F.lit(False).alias("train")))
+
+    def on(side: bool, agg):
+        return agg(F.when(F.col("train") == side, F.col("date")))
+
+    return parts.agg(
+        F.count_if(F.col("train")).alias("training_rows"),
+        on(True, F.min).alias("train_start"), on(True, F.max).alias("train_end"),
+        F.count_if(~F.col("train")).alias("validation_rows"),
+        on(False, F.min).alias("validation_start"), on(False, F.max).alias("validation_end"),
     )

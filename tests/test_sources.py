@@ -102,3 +102,25 @@ def test_output_files_round_trip(spark, scratch):
         write_csv(df, f"{scratch}/landing/{RAW_CONTRACTS[name].file_name}")
     sales, stores, feats = read_canonical(spark, f"{scratch}/landing")
     assert (sales.count(), stores.count(), feats.count()) == tuple(w.raw[n].count() for n in ("sales", "stores", "features"))
+
+
+def test_small_side_broadcasts_only_under_the_bound(spark):
+    from shelfcast.plans.joins import estimated_bytes, small_side
+
+    small = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    big = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert estimated_bytes(small) is not None
+    assert "broadcast" in small_side(small)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in small_side(big, limit_bytes=1024)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_ensure_table_checks_existing_columns(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    catalog.ensure_table(spark, "ml", "t_ensure", schema)
+    catalog.ensure_table(spark, "ml", "t_ensure", schema)  # idempotent
+    assert spark.table("ml.t_ensure").columns == ["a", "b"]
+    wider = T.StructType([*schema.fields, T.StructField("c", T.DoubleType())])
+    with pytest.raises(ValueError):
+        catalog.ensure_table(spark, "ml", "t_ensure", wider)
