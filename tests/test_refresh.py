@@ -70,6 +70,18 @@ def test_refresh_round_trip(spark, scratch):
     got = kpis.executive_metrics(cw.fact_sales, cw.fact_demand).first().asDict()
     want = kpis.executive_metrics(w.fact_sales, w.fact_demand).first().asDict()
     assert got == want
+    # Facts bucketed by (store_id, dept_id): the (store, dept, date) join of
+    # sales and demand shuffles neither side (only the distinct counts do).
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = kpis.executive_metrics(cw.fact_sales, cw.fact_demand)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     # The catalog inventory sees every expected object loaded.
     from shelfcast import api
 
