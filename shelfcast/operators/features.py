@@ -89,41 +89,43 @@ def split_index(n: int, test_size: float) -> int:
 def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int = 10) -> Split:
     """First ``int(n * (1 - test_size))`` rows by (date, store, dept, rest) train.
 
-    No global sort or single-partition window: a per-date histogram (one row
-    per date) finds the boundary date, a per-(store, dept) histogram of that
-    date finds the boundary key, and only the rows of that one key are
+    No global sort or single-partition window.  The boundary is found by
+    descending one ordering column at a time: a histogram of dates (one row
+    per date) gives the boundary date, a histogram of stores within that
+    date the boundary store, a histogram of departments within that store
+    the boundary key.  Each collected histogram is bounded by one
+    dimension's cardinality.  Only the rows of the one boundary key are
     ranked.  Under ``min_rows`` rows both parts are the whole frame.
     """
-    per_date = sorted(frame.groupBy("date").count().collect(), key=lambda r: r["date"])
-    n = sum(r["count"] for r in per_date)
-    if n < min_rows:
-        return Split(frame, frame, n, n)
+    order = ["date", *KEYS]
+    need, fixed, n = None, [], None
+    for col in order:
+        scope = frame
+        for c, v in fixed:
+            scope = scope.where(F.col(c) == F.lit(v))
+        hist = sorted(scope.groupBy(col).count().collect(), key=lambda r: r[col])
+        if n is None:
+            n = sum(r["count"] for r in hist)
+            if n < min_rows:
+                return Split(frame, frame, n, n)
+            need = split_index(n, test_size)
+        before = 0
+        for row in hist:
+            if before + row["count"] >= need:
+                fixed.append((col, row[col]))
+                need -= before
+                break
+            before += row["count"]
     k = split_index(n, test_size)
-    before = 0
-    for row in per_date:
-        if before + row["count"] >= k:
-            boundary_date, need = row["date"], k - before
-            break
-        before += row["count"]
-    on_date = frame.where(F.col("date") == F.lit(boundary_date))
-    per_key = sorted(on_date.groupBy(*KEYS).count().collect(), key=lambda r: (r["store"], r["dept"]))
-    before = 0
-    for row in per_key:
-        if before + row["count"] >= need:
-            b_store, b_dept, need_in_key = row["store"], row["dept"], need - before
-            break
-        before += row["count"]
-
-    d, key = F.col("date"), F.struct("store", "dept")
-    b_key = F.struct(F.lit(b_store).alias("store"), F.lit(b_dept).alias("dept"))
-    is_boundary = (d == F.lit(boundary_date)) & (F.col("store") == b_store) & (F.col("dept") == b_dept)
-    earlier = (d < F.lit(boundary_date)) | ((d == F.lit(boundary_date)) & (key < b_key))
-    later = (d > F.lit(boundary_date)) | ((d == F.lit(boundary_date)) & (key > b_key))
+
+    key = F.struct(*[F.col(c) for c in order])
+    b_key = F.struct(*[F.lit(v).alias(c) for c, v in fixed])
+    is_boundary = key == b_key
     ranked = frame.where(is_boundary).withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(*KEYS, "date").orderBy(*[F.col(c) for c in frame.columns]))
+        "__rn", F.row_number().over(Window.partitionBy(*order).orderBy(*[F.col(c) for c in frame.columns]))
     )
-    train = frame.where(earlier).unionByName(ranked.where(F.col("__rn") <= need_in_key).drop("__rn"))
-    test = frame.where(later).unionByName(ranked.where(F.col("__rn") > need_in_key).drop("__rn"))
+    train = frame.where(key < b_key).unionByName(ranked.where(F.col("__rn") <= need).drop("__rn"))
+    test = frame.where(key > b_key).unionByName(ranked.where(F.col("__rn") > need).drop("__rn"))
     return Split(train, test, k, n - k)
 
 
