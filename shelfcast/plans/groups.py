@@ -7,8 +7,8 @@ helpers here avoid that:
   shuffle) joined back to the rows, the statistics side broadcast only
   under a size check;
 * "previous row in the group" splits each group into calendar chunks, runs
-  the window inside each chunk and bridges chunk edges through a small
-  per-chunk aggregate;
+  the window inside each chunk and takes each chunk's first row, with the
+  previous chunk's last value, from a per-chunk aggregate (no join);
 * "latest row per group" is a ``max_by`` aggregation, also partial.
 """
 
@@ -20,9 +20,15 @@ from pyspark.sql import functions as F
 from .joins import small_side
 
 
-def attach_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
-    """Add per-group aggregates as columns of every row (left join on keys)."""
-    agg = df.groupBy(*keys).agg(*[v.alias(k) for k, v in stats.items()])
+def attach_group_stats(
+    df: DataFrame, keys: list[str], stats: dict[str, Column], source: DataFrame | None = None
+) -> DataFrame:
+    """Add per-group aggregates as columns of every row (left join on keys).
+
+    The aggregates are computed over ``source`` (default ``df``): pass the
+    plain input when ``df`` is derived from it by costlier steps.
+    """
+    agg = (df if source is None else source).groupBy(*keys).agg(*[v.alias(k) for k, v in stats.items()])
     renamed = agg.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *stats)
     cond = None
     for k in keys:
@@ -42,29 +48,35 @@ def previous_in_group(
 ) -> DataFrame:
     """``lag(value)`` over ``keys`` ordered by ``order`` without one task per group.
 
-    ``chunk`` must be monotone in the order (e.g. the year of the date).  Rows
-    are windowed per (keys, chunk); the first row of a chunk takes the last
-    value of the nearest earlier chunk of its group, found on the per-chunk
-    aggregate (one row per group and chunk).
+    ``chunk`` must be monotone in the order (e.g. the first order column).
+    Rows after the first of a (group, chunk) take their lag from a window
+    inside that chunk.  The first row of each chunk comes from the
+    per-chunk aggregate (one row per group and chunk: the chunk's first
+    row, found by ``min_by``, and its last value), whose own lag over the
+    group's chunks gives the previous chunk's last value.  A hot group is
+    spread over its chunks; the window over chunks holds one row per chunk
+    of a group (bounded by the calendar when the chunk is a date).  No join:
+    the two parts are unioned.  Rows equal in the whole ordering are
+    interchangeable, so the window and ``min_by`` agree on ties.
     """
-    ordering = F.struct(*[F.col(o) for o in order])
-    framed = df.withColumn("__p_chunk", chunk).withColumn("__p_ord", ordering)
-    w = Window.partitionBy(*keys, "__p_chunk").orderBy(*[F.col(o) for o in order])
-    framed = framed.withColumn("__p_lag", F.lag(value).over(w)).withColumn("__p_rn", F.row_number().over(w))
+    others = [c for c in df.columns if c not in keys]
+    full = [*order, *[c for c in others if c not in order]]
+    rank = F.struct(*[F.col(c) for c in full])
+    framed = df.withColumn("__p_chunk", chunk)
 
-    lasts = framed.groupBy(*keys, "__p_chunk").agg(F.max_by(F.col(value), F.col("__p_ord")).alias("__p_last"))
+    w = Window.partitionBy(*keys, "__p_chunk").orderBy(*[F.col(c) for c in full])
+    inner = framed.select(*df.columns, F.lag(value).over(w).alias(out), F.row_number().over(w).alias("__p_rn"))
+    inner = inner.where(F.col("__p_rn") > 1).drop("__p_rn")
+
+    chunks = framed.groupBy(*keys, "__p_chunk").agg(
+        F.min_by(F.struct(*[F.col(c) for c in others]), rank).alias("__p_first"),
+        F.max_by(F.col(value), rank).alias("__p_last"),
+    )
     wc = Window.partitionBy(*keys).orderBy("__p_chunk")
-    bridges = lasts.select(
-        *[F.col(k).alias(f"__b_{k}") for k in keys],
-        F.col("__p_chunk").alias("__b_chunk"),
-        F.lag("__p_last").over(wc).alias("__p_prev_last"),
+    firsts = chunks.select(
+        *keys, *[F.col(f"__p_first.{c}").alias(c) for c in others], F.lag("__p_last").over(wc).alias(out)
     )
-    cond = framed["__p_chunk"].eqNullSafe(bridges["__b_chunk"])
-    for k in keys:
-        cond = cond & framed[k].eqNullSafe(bridges[f"__b_{k}"])
-    joined = framed.join(small_side(bridges), cond, "left")
-    result = joined.withColumn(out, F.when(F.col("__p_rn") == 1, F.col("__p_prev_last")).otherwise(F.col("__p_lag")))
-    return result.drop("__p_chunk", "__p_ord", "__p_lag", "__p_rn", "__p_prev_last", "__b_chunk", *[f"__b_{k}" for k in keys])
+    return inner.unionByName(firsts.select(*df.columns, out))
 
 
 def latest_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -30,6 +30,24 @@ def test_previous_in_group_equals_window_lag(spark):
     assert got.count() == df.count()
 
 
+def test_previous_in_group_date_chunks_with_hot_group_and_ties(spark):
+    rnd = random.Random(11)
+    rows = []
+    for w in range(60):  # group (0, 0) holds most rows, several per date, some tied
+        d = dt.date(2010, 12, 3) + dt.timedelta(days=7 * w)
+        for _ in range(rnd.randint(1, 6)):
+            rows.append((0, 0, d, rnd.choice([None, 1.0, 2.0, rnd.random() * 100])))
+    rows += [(1, 2, dt.date(2011, 1, 7) + dt.timedelta(days=7 * w), float(w)) for w in range(0, 30, 3)]
+    rows += [(None, 2, dt.date(2011, 1, 7), 5.0), (None, 2, dt.date(2011, 1, 14), 6.0), (1, 2, None, 7.0)]
+    df = spark.createDataFrame(rows, "store_id int, dept_id int, sales_date date, weekly_sales double")
+    keys = ["store_id", "dept_id"]
+    order = ["sales_date", "weekly_sales"]
+    got = previous_in_group(df, keys, order, "weekly_sales", "prev", F.col("sales_date"))
+    want = df.withColumn("prev", F.lag("weekly_sales").over(Window.partitionBy(*keys).orderBy(*order)))
+    assert got.count() == df.count()
+    assert got.select(*df.columns, "prev").exceptAll(want).count() == 0
+
+
 def test_latest_per_group(spark):
     df = _frame(spark)
     got = latest_per_group(df, ["store_id", "dept_id"], ["sales_date", "weekly_sales"])
