@@ -86,7 +86,45 @@ def split_index(n: int, test_size: float) -> int:
     return min(max(1, int(n * (1 - test_size))), n - 1)
 
 
-def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int = 10) -> Split:
+# Rows of the boundary key ranked in one window task; above this the key's
+# rows are ranked by a range-partitioned sort spread over many tasks.
+ONE_TASK_ROWS = 2_000_000
+
+
+def global_rank(df: DataFrame, cols: list[str], rows: int, per_task: int = ONE_TASK_ROWS) -> DataFrame:
+    """``df`` with ``__rn``, the 1-based position of each row in the order of
+    ``cols`` (ascending, NULLs first), without one task holding all rows.
+
+    Rows are range-partitioned on ``cols`` and sorted inside each partition;
+    the sorted frame, tagged with ``monotonically_increasing_id`` (partition
+    index in the upper bits, position below), is checkpointed so the
+    partition bounds stay fixed; the per-partition counts (one row per
+    partition) give each partition's offset.  Rows equal in all of ``cols``
+    are interchangeable.
+    """
+    from ..session import cut_lineage
+
+    parts = max(2, -(-rows // per_task) * 2)
+    order = [F.col(c).asc_nulls_first() for c in cols]
+    tagged = cut_lineage(
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        .withColumn("__id", F.monotonically_increasing_id())
+    )
+    pid = F.shiftright(F.col("__id"), 33)
+    counts = sorted(tuple(r) for r in tagged.groupBy(pid.alias("p")).count().collect())
+    offsets, run = {}, 0
+    for p, n in counts:
+        offsets[p] = run
+        run += n
+    offset = F.lit(0).cast("bigint")
+    for p, o in offsets.items():
+        offset = F.when(pid == F.lit(p), F.lit(o).cast("bigint")).otherwise(offset)
+    pos = F.col("__id") - F.shiftleft(pid, 33)
+    return tagged.withColumn("__rn", offset + pos + F.lit(1)).drop("__id")
+
+
+def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int = 10,
+                        one_task_rows: int = ONE_TASK_ROWS) -> Split:
     """First ``int(n * (1 - test_size))`` rows by (date, store, dept, rest) train.
 
     No global sort or single-partition window.  The boundary is found by
@@ -95,10 +133,12 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
     date the boundary store, a histogram of departments within that store
     the boundary key.  Each collected histogram is bounded by one
     dimension's cardinality.  Only the rows of the one boundary key are
-    ranked.  Under ``min_rows`` rows both parts are the whole frame.
+    ranked: in one window task up to ``one_task_rows`` rows, else by
+    ``global_rank`` over many tasks.  Under ``min_rows`` rows both parts are
+    the whole frame.
     """
     order = ["date", *KEYS]
-    need, fixed, n = None, [], None
+    need, fixed, n, b_rows = None, [], None, 0
     for col in order:
         scope = frame
         for c, v in fixed:
@@ -113,6 +153,7 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
         for row in hist:
             if before + row["count"] >= need:
                 fixed.append((col, row[col]))
+                b_rows = row["count"]
                 need -= before
                 break
             before += row["count"]
@@ -121,9 +162,12 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
     key = F.struct(*[F.col(c) for c in order])
     b_key = F.struct(*[F.lit(v).alias(c) for c, v in fixed])
     is_boundary = key == b_key
-    ranked = frame.where(is_boundary).withColumn(
-        "__rn", F.row_number().over(Window.partitionBy(*order).orderBy(*[F.col(c) for c in frame.columns]))
-    )
+    if b_rows <= one_task_rows:
+        ranked = frame.where(is_boundary).withColumn(
+            "__rn", F.row_number().over(Window.partitionBy(*order).orderBy(*[F.col(c) for c in frame.columns]))
+        )
+    else:
+        ranked = global_rank(frame.where(is_boundary), frame.columns, b_rows, one_task_rows)
     train = frame.where(key < b_key).unionByName(ranked.where(F.col("__rn") <= need).drop("__rn"))
     test = frame.where(key > b_key).unionByName(ranked.where(F.col("__rn") > need).drop("__rn"))
     return Split(train, test, k, n - k)

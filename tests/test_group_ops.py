@@ -67,6 +67,22 @@ def test_chronological_split_matches_sort(spark):
     assert sorted(map(tuple, sp.test.collect())) == sorted(ordered[k:])
 
 
+def test_chronological_split_hot_boundary_key_ranked_over_many_tasks(spark):
+    rnd = random.Random(5)
+    d0 = dt.date(2012, 1, 6)
+    rows = [(d0, rnd.choice([None, 1.0, 2.0, rnd.random()]), 1, 1) for _ in range(400)]  # one hot key
+    rows += [(d0 - dt.timedelta(days=7), float(i), i % 3, 0) for i in range(40)]
+    rows += [(d0 + dt.timedelta(days=7), float(i), 2, i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "date date, weekly_sales double, store int, dept int")
+    sp = features.chronological_split(df, 0.3, one_task_rows=50)
+    key = lambda r: (r[0], r[2], r[3], r[1] is not None, r[1] or 0.0)  # NULLs first, as Spark sorts
+    ordered = sorted(rows, key=key)
+    k = features.split_index(len(rows), 0.3)
+    assert sp.train_rows == k and sp.test_rows == len(rows) - k
+    assert sorted(map(tuple, sp.train.collect()), key=key) == ordered[:k]
+    assert sorted(map(tuple, sp.test.collect()), key=key) == ordered[k:]
+
+
 def test_split_sizes():
     assert features.split_index(10, 0.2) == 8
     assert features.split_index(11, 0.99) == 1
