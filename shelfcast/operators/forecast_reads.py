@@ -31,7 +31,7 @@ def baseline_forecast(fact_sales: DataFrame) -> DataFrame:
     The mean is over all weeks of the group, future ones included (T16).
     """
     s = fact_sales.select("store_id", "dept_id", "sales_date", "weekly_sales")
-    lagged = previous_in_group(s, KEYS, ["sales_date", "weekly_sales"], "weekly_sales", "__lag", chunk=F.col("sales_date"))
+    lagged = previous_in_group(s, KEYS, ["sales_date", "weekly_sales"], "weekly_sales", "__lag")
     lagged = attach_group_stats(
         lagged, KEYS, {"__mean": F.try_divide(money_sum("weekly_sales"), F.count("weekly_sales").cast("double"))},
         source=s,

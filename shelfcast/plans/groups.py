@@ -44,7 +44,7 @@ def previous_in_group(
     order: list[str],
     value: str,
     out: str,
-    chunk: Column,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """``lag(value)`` over ``keys`` ordered by ``order`` without one task per group.
 
@@ -58,21 +58,38 @@ def previous_in_group(
     of a group (bounded by the calendar when the chunk is a date).  No join:
     the two parts are unioned.  Rows equal in the whole ordering are
     interchangeable, so the window and ``min_by`` agree on ties.
+
+    ``chunk=None`` chunks by the first order column.  When the rows are
+    just (keys, that column, value) ordered by (column, value), a chunk's
+    first row is its NULL value if it has one, else its minimum, and its
+    last value is the maximum: plain aggregates, hash-aggregated with no
+    map-side sort.
     """
     others = [c for c in df.columns if c not in keys]
     full = [*order, *[c for c in others if c not in order]]
     rank = F.struct(*[F.col(c) for c in full])
-    framed = df.withColumn("__p_chunk", chunk)
+    framed = df.withColumn("__p_chunk", F.col(order[0]) if chunk is None else chunk)
+    wc = Window.partitionBy(*keys).orderBy("__p_chunk")
 
     w = Window.partitionBy(*keys, "__p_chunk").orderBy(*[F.col(c) for c in full])
     inner = framed.select(*df.columns, F.lag(value).over(w).alias(out), F.row_number().over(w).alias("__p_rn"))
     inner = inner.where(F.col("__p_rn") > 1).drop("__p_rn")
 
+    if chunk is None and order[1:] == [value] and sorted(others) == sorted(order):
+        v = F.col(value)
+        chunks = framed.groupBy(*keys, "__p_chunk").agg(
+            F.when(F.count_if(v.isNull()) > 0, F.lit(None)).otherwise(F.min(v)).alias(value),
+            F.max(v).alias("__p_last"),
+        )
+        firsts = chunks.select(
+            *keys, F.col("__p_chunk").alias(order[0]), value, F.lag("__p_last").over(wc).alias(out)
+        )
+        return inner.unionByName(firsts.select(*df.columns, out))
+
     chunks = framed.groupBy(*keys, "__p_chunk").agg(
         F.min_by(F.struct(*[F.col(c) for c in others]), rank).alias("__p_first"),
         F.max_by(F.col(value), rank).alias("__p_last"),
     )
-    wc = Window.partitionBy(*keys).orderBy("__p_chunk")
     firsts = chunks.select(
         *keys, *[F.col(f"__p_first.{c}").alias(c) for c in others], F.lag("__p_last").over(wc).alias(out)
     )

@@ -42,10 +42,11 @@ def test_previous_in_group_date_chunks_with_hot_group_and_ties(spark):
     df = spark.createDataFrame(rows, "store_id int, dept_id int, sales_date date, weekly_sales double")
     keys = ["store_id", "dept_id"]
     order = ["sales_date", "weekly_sales"]
-    got = previous_in_group(df, keys, order, "weekly_sales", "prev", F.col("sales_date"))
     want = df.withColumn("prev", F.lag("weekly_sales").over(Window.partitionBy(*keys).orderBy(*order)))
-    assert got.count() == df.count()
-    assert got.select(*df.columns, "prev").exceptAll(want).count() == 0
+    for chunk in (F.col("sales_date"), None):  # min_by path and the plain-aggregate path
+        got = previous_in_group(df, keys, order, "weekly_sales", "prev", chunk)
+        assert got.count() == df.count()
+        assert got.select(*df.columns, "prev").exceptAll(want).count() == 0
 
 
 def test_latest_per_group(spark):
