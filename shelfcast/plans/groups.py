@@ -9,7 +9,8 @@ helpers here avoid that:
 * "previous row in the group" splits each group into calendar chunks, runs
   the window inside each chunk and takes each chunk's first row, with the
   previous chunk's last value, from a per-chunk aggregate (no join);
-* "latest row per group" is a ``max_by`` aggregation, also partial.
+* "latest row per group" narrows each group to its rows at the greatest
+  order value (hash aggregate + semi join) before a ``max_by``.
 """
 
 from __future__ import annotations
@@ -97,9 +98,23 @@ def previous_in_group(
 
 
 def latest_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` tuple per group (ties: greatest whole row)."""
+    """The row with the greatest ``order`` tuple per group (ties: greatest whole row).
+
+    The greatest first order value per group is a hash aggregate (partial
+    before the shuffle); a null-safe semi join on (keys, that value) keeps
+    only each group's rows at it, and ``max_by`` of the whole row picks
+    among those few rows.  So the struct-valued (sort-based) aggregate never
+    sees the whole frame.
+    """
     others = [c for c in df.columns if c not in keys]
+    first = order[0]
+    top = df.groupBy(*keys).agg(F.max(first).alias("__l_top"))
+    top = top.select(*[F.col(k).alias(f"__l_{k}") for k in keys], "__l_top")
+    cond = df[first].eqNullSafe(top["__l_top"])
+    for k in keys:
+        cond = cond & df[k].eqNullSafe(top[f"__l_{k}"])
+    candidates = df.join(small_side(top), cond, "left_semi")
     row = F.struct(*[F.col(c) for c in others])
     rank = F.struct(*[F.col(o) for o in order], row)
-    picked = df.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
+    picked = candidates.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
     return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])

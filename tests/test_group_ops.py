@@ -57,6 +57,19 @@ def test_latest_per_group(spark):
     assert got.select(*df.columns).exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+def test_latest_per_group_nulls_ties_and_hot_group(spark):
+    d = dt.date(2012, 3, 2)
+    rows = [(1, 1, d + dt.timedelta(days=7 * (i % 9)), float(i % 4)) for i in range(300)]  # hot group, ties
+    rows += [(1, 2, None, 3.0), (1, 2, None, 1.0), (None, 2, d, 5.0), (None, 2, None, 9.0), (2, None, None, None)]
+    rows += [(3, 3, d, None), (3, 3, d, 2.0), (3, 3, None, 8.0)]
+    df = spark.createDataFrame(rows, "store_id int, dept_id int, sales_date date, weekly_sales double")
+    got = latest_per_group(df, ["store_id", "dept_id"], ["sales_date", "weekly_sales"])
+    w = Window.partitionBy("store_id", "dept_id").orderBy(F.col("sales_date").desc(), F.col("weekly_sales").desc())
+    want = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    assert got.count() == want.count() == 5
+    assert got.select(*df.columns).exceptAll(want).count() == 0
+
+
 def test_chronological_split_matches_sort(spark):
     rows = [(dt.date(2012, 1, 6) + dt.timedelta(days=7 * (i % 5)), float(i), i % 4, i % 3) for i in range(37)]
     df = spark.createDataFrame(rows, "date date, weekly_sales double, store int, dept int")
