@@ -65,8 +65,9 @@ def training_frame(sales: DataFrame, stores: DataFrame, features: DataFrame) ->
 
 def next_week_rows(frame: DataFrame) -> DataFrame:
     """Latest row per (store, dept), dated a week later, calendar recomputed;
-    every other feature is carried over from that week (E3, T15)."""
-    latest = latest_per_group(frame, KEYS, ["date", TARGET])
+    every other feature is carried over from that week (E3, T15).  The
+    frame is a join, so it is aggregated in one pass, not narrowed first."""
+    latest = latest_per_group(frame, KEYS, ["date", TARGET], narrow=False)
     moved = latest.withColumn("date", F.date_add("date", NEXT_WEEK_DAYS))
     for k, v in calendar_columns("date").items():
         moved = moved.withColumn(k, v)

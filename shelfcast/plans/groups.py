@@ -97,16 +97,24 @@ def previous_in_group(
     return inner.unionByName(firsts.select(*df.columns, out))
 
 
-def latest_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def latest_per_group(df: DataFrame, keys: list[str], order: list[str], narrow: bool = True) -> DataFrame:
     """The row with the greatest ``order`` tuple per group (ties: greatest whole row).
 
-    The greatest first order value per group is a hash aggregate (partial
-    before the shuffle); a null-safe semi join on (keys, that value) keeps
-    only each group's rows at it, and ``max_by`` of the whole row picks
-    among those few rows.  So the struct-valued (sort-based) aggregate never
-    sees the whole frame.
+    With ``narrow`` (for a ``df`` that is cheap to read twice: a stored
+    table or a scan), the greatest first order value per group is a hash
+    aggregate (partial before the shuffle); a null-safe semi join on (keys,
+    that value) keeps only each group's rows at it, and ``max_by`` of the
+    whole row picks among those few rows, so the struct-valued (sort-based)
+    aggregate never sees the whole frame.  Without it (``df`` is a costly
+    derived frame, e.g. a join), ``max_by`` runs over ``df`` directly,
+    partially aggregated, and ``df`` is computed once.
     """
     others = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in others])
+    rank = F.struct(*[F.col(o) for o in order], row)
+    if not narrow:
+        picked = df.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
+        return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
     first = order[0]
     top = df.groupBy(*keys).agg(F.max(first).alias("__l_top"))
     top = top.select(*[F.col(k).alias(f"__l_{k}") for k in keys], "__l_top")
@@ -114,7 +122,5 @@ def latest_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
     for k in keys:
         cond = cond & df[k].eqNullSafe(top[f"__l_{k}"])
     candidates = df.join(small_side(top), cond, "left_semi")
-    row = F.struct(*[F.col(c) for c in others])
-    rank = F.struct(*[F.col(o) for o in order], row)
     picked = candidates.groupBy(*keys).agg(F.max_by(row, rank).alias("__row"))
     return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])

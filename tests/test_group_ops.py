@@ -63,11 +63,12 @@ def test_latest_per_group_nulls_ties_and_hot_group(spark):
     rows += [(1, 2, None, 3.0), (1, 2, None, 1.0), (None, 2, d, 5.0), (None, 2, None, 9.0), (2, None, None, None)]
     rows += [(3, 3, d, None), (3, 3, d, 2.0), (3, 3, None, 8.0)]
     df = spark.createDataFrame(rows, "store_id int, dept_id int, sales_date date, weekly_sales double")
-    got = latest_per_group(df, ["store_id", "dept_id"], ["sales_date", "weekly_sales"])
     w = Window.partitionBy("store_id", "dept_id").orderBy(F.col("sales_date").desc(), F.col("weekly_sales").desc())
     want = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
-    assert got.count() == want.count() == 5
-    assert got.select(*df.columns).exceptAll(want).count() == 0
+    for narrow in (True, False):
+        got = latest_per_group(df, ["store_id", "dept_id"], ["sales_date", "weekly_sales"], narrow=narrow)
+        assert got.count() == want.count() == 5
+        assert got.select(*df.columns).exceptAll(want).count() == 0
 
 
 def test_chronological_split_matches_sort(spark):
