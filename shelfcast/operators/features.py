@@ -112,14 +112,13 @@ def global_rank(df: DataFrame, cols: list[str], rows: int, per_task: int = ONE_T
         .withColumn("__id", F.monotonically_increasing_id())
     )
     pid = F.shiftright(F.col("__id"), 33)
-    counts = sorted(tuple(r) for r in tagged.groupBy(pid.alias("p")).count().collect())
-    offsets, run = {}, 0
-    for p, n in counts:
-        offsets[p] = run
-        run += n
-    offset = F.lit(0).cast("bigint")
-    for p, o in offsets.items():
-        offset = F.when(pid == F.lit(p), F.lit(o).cast("bigint")).otherwise(offset)
+    counts = dict(tuple(r) for r in tagged.groupBy(pid.alias("p")).count().collect())
+    offsets, run = [], 0
+    for p in range(max(counts, default=-1) + 1):  # empty partitions have no count
+        offsets.append(run)
+        run += counts.get(p, 0)
+    table = F.array(*[F.lit(o).cast("bigint") for o in offsets]) if offsets else F.array(F.lit(0).cast("bigint"))
+    offset = F.element_at(table, (pid + F.lit(1)).cast("int"))
     pos = F.col("__id") - F.shiftleft(pid, 33)
     return tagged.withColumn("__rn", offset + pos + F.lit(1)).drop("__id")
 
