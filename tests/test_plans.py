@@ -48,3 +48,21 @@ def test_scan_pruning_and_pushdown(spark):
     plan = _plan(filter_keys(fs, store_id=3))
     scan = [line for line in plan.splitlines() if "supplier" in line][0]
     assert "EqualTo(s_nationkey,3)" in scan
+
+
+def test_lag_baseline_has_one_join_and_no_sort_aggregate(spark):
+    """The lag adds no join (chunk heads come from hash aggregates), its
+    windows are partitioned by (group, date) or by group over per-date rows,
+    and the only join it adds attaches the group mean."""
+    from shelfcast.operators import forecast_reads
+    from shelfcast.plans.warehouse import Warehouse
+
+    w = Warehouse.from_testdata(spark, SF_SMALL)
+    plan = _plan(forecast_reads.baseline_forecast(w.fact_sales))
+    assert "SortAggregate" not in plan
+    joins = [l for l in plan.splitlines() if re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[", l)]
+    assert sum("__g_" in l for l in joins) == 1
+    assert not any("__p_" in l or "__b_" in l for l in joins)
+    windows = [l for l in plan.splitlines() if re.match(r"\s*[:+\- ]*Window \[", l)]
+    assert len(windows) == 2
+    assert any("__p_chunk" in l.split("], [")[-2] for l in windows)
