@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,10 +59,23 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
         except Exception:  # static conf on an already running session
             pass
+    find_package(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver runs it.
+
+    Serves local sessions and nodes that hold the code at the same path; on
+    other clusters ship it with ``--py-files`` as usual.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
