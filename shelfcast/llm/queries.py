@@ -10,12 +10,17 @@ from .language_id import op5_language_id
 from .line_dedup import op7_line_dedup
 from .mixing import op4_mix_sources
 from .oracle import SQL
+from .packing import op10_pack_sequences
 from .quality_rules import op3_quality_rules
 from .secret_scan import op1_secret_scan
+from .token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_quality_rules, op4_mix_sources, op5_language_id, op7_line_dedup)
+    for f in (
+        op1_secret_scan, op2_token_files, op3_quality_rules, op4_mix_sources, op5_language_id, op7_line_dedup,
+        op10_pack_sequences,
+    )
 }
 
 ORACLE: dict[str, str] = dict(SQL)
