@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from .common import read_table, shared_path
+from .common import read_table, shared_path, stored
 from .wordcache import encoder
 
 MAGIC = b"S8B1"
@@ -193,6 +193,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     parts = ids.groupBy("part").agg(F.sum("n").alias("n"))  # one row a file partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(F.col("part").alias("__part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    parts = stored(parts, "token-parts")  # its real size decides whether it is broadcast
     placed = shards.join(small_side(parts), F.col("part") == F.col("__part")).select(
         (F.col("__before") + F.col("before")).alias("start"), "doc_ids", "lengths", "shard")
 
