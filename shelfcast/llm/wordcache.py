@@ -24,8 +24,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-REMEMBERED = 800_000
-SLICE_CHARS = 8_000_000
+REMEMBERED = 500_000
+SLICE_CHARS = 6_000_000
 LINE = 200
 
 PUNCTUATION = '.,;:!?*&$%#|)]"'  # what may end a word; no apostrophe
