@@ -11,14 +11,18 @@ Documents equal word for word are one node.  In each bucket the node of
 greatest support (the sizes of all its buckets) is compared with every other
 one; rows that fail are dealt again by pairs of buckets, where dissimilar
 documents that merely share a passage part, and compared with the best
-supported among them, until no two unequal rows wait together.  So a bucket
-of n rows costs n comparisons a round, never n * n, and a bucket with a third
-of all rows is only an aggregate and a join on its key.
+supported among them, for ``ROUNDS`` rounds in all.  So a bucket of n rows
+costs n comparisons a round, never n * n, and a bucket with a third of all
+rows is only an aggregate and a join on its key.  A link is missed only if
+the two agree in no sketch, or if in every bucket and pair of buckets that
+they share some other node has more support and one of the two fails
+against it in each round.
 
 A pair is verified on whole texts: the words are aligned within a band of
-diagonals, and runs of aligned words give the shared shingles in order.  If
-they are 0.8 or more of all, or else the sets of shingles are (a moved
-block), the pair is linked.  Classes are the connected components; a class
+diagonals, and runs of aligned words give the shared shingles in order; 0.8
+or more of all link the pair.  Where the alignment leaves the band or says
+less (moved blocks), or shingles repeat, the sets of shingles decide: linked
+pairs are exactly those of Jaccard similarity 0.8 or more.  Classes are the connected components; a class
 is named by its smallest ``doc_id``.
 
 Defined results: a text without words (null, empty) is a class of its own;
@@ -49,6 +53,7 @@ SIMILARITY = 0.8
 SKETCHES = 12
 MINIMA = 3
 MAX_BAND = 64
+ROUNDS = 3
 SLICE_CHARS = 4_000_000
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -223,17 +228,17 @@ def aligned_shingles(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether two texts, as word hashes, are near duplicates."""
     sa, sb = max(len(a) - WORDS + 1, 1), max(len(b) - WORDS + 1, 1)
-    if min(len(a), len(b)) >= WORDS:
+    x = np.unique(shingles(a, np.array([len(a)]))[0])
+    y = np.unique(shingles(b, np.array([len(b)]))[0])
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    if len(x) == sa and len(y) == sb and min(len(a), len(b)) >= WORDS:  # no shingle repeats: an alignment is proof
         # As many words may differ as replace (1 - least) / (1 + least) of all shingles one by one.
         band = min(MAX_BAND, WORDS + int((sa + sb) * (1 - least) / (1 + least) / 2))
         shared = aligned_shingles(a, b, band)
         if shared is not None and shared >= least * (sa + sb - shared):
             return True
-    x = np.unique(shingles(a, np.array([len(a)]))[0])
-    y = np.unique(shingles(b, np.array([len(b)]))[0])
-    if min(len(x), len(y)) < least * max(len(x), len(y)):
-        return False
-    shared = len(np.intersect1d(x, y, assume_unique=True))
+    shared = len(np.intersect1d(x, y, assume_unique=True))  # moved blocks, repeated shingles, wide edits
     return shared >= least * (len(x) + len(y) - shared)
 
 
@@ -260,7 +265,7 @@ def _star(rows: DataFrame) -> DataFrame:
     return rows.join(centre.select("bucket", F.col("best.node").alias("centre")), "bucket")
 
 
-def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
+def links(nodes: DataFrame, texts_of: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Verified (a, b) links of (node, d, t, keys) nodes; ``texts_of`` has (d, t, text)."""
     each = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     # Support: the sizes of all buckets of a node.
@@ -274,8 +279,8 @@ def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
     texts = texts_of.join(small_side(wanted), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")))
     texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
 
-    found, met, first = None, None, True
-    while True:
+    met = None
+    for turn in range(rounds):
         star = _star(rows).where("node <> centre")
         pair = star.select("bucket", "node", "support", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         pair = stored(pair, "near-pairs")
@@ -284,18 +289,17 @@ def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
             new = new.join(met.select("a", "b"), ["a", "b"], "left_anti")
         done = stored(verified(new, texts), "near-verified")
         met = done if met is None else stored(met.unionByName(done), "near-met")
-        found = met.where("ok").select("a", "b")
         failed = pair.join(met, ["a", "b"]).where(~F.col("ok")).select("bucket", "node", "support")
-        if first:  # deal what failed by pairs of buckets
+        if not turn:  # deal what failed by pairs of buckets
             other = shared.select(F.col("node"), F.struct("band", "key").alias("other"))
             failed = failed.join(other, "node").where(F.col("bucket.band") < F.col("other.band"))
             failed = failed.select(F.struct(
                 F.col("bucket.band").alias("band"), F.col("bucket.key").alias("key"),
                 F.col("other.band").alias("band2"), F.col("other.key").alias("key2")).alias("bucket"), "node", "support")
-            first = False
         rows = stored(failed, "near-rows")
         if not rows.limit(1).count():
-            return found
+            break
+    return met.where("ok").select("a", "b")
 
 
 def classes(docs: DataFrame) -> DataFrame:
