@@ -12,6 +12,7 @@ from .mixing import op4_mix_sources
 from .near_dedup import op9_near_dedup
 from .oracle import SQL
 from .packing import op10_pack_sequences
+from .passage_dedup import op6_passage_dedup
 from .quality_rules import op3_quality_rules
 from .secret_scan import op1_secret_scan
 from .token_files import op2_token_files
@@ -20,7 +21,8 @@ from .vector_search import op8_nearest_vectors
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_secret_scan, op2_token_files, op3_quality_rules, op4_mix_sources, op5_language_id, op7_line_dedup,
+        op1_secret_scan, op2_token_files, op3_quality_rules, op4_mix_sources, op5_language_id, op6_passage_dedup,
+        op7_line_dedup,
         op8_nearest_vectors, op9_near_dedup, op10_pack_sequences,
     )
 }
