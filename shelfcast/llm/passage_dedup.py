@@ -47,6 +47,7 @@ CORE = 200
 WINDOW = LENGTH - CORE + 1
 GROUP = 1000
 COLLECTION = 500
+BLOCK = 512
 
 _TABLE = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -118,42 +119,56 @@ def anchor_table(docs: DataFrame) -> DataFrame:
 # -- construction ---------------------------------------------------------
 
 
+def _rank(bwt: np.ndarray, symbol: np.ndarray, place: np.ndarray, symbols: int) -> np.ndarray:
+    """How often each symbol stands before its place: counts of whole blocks, then the rest of one."""
+    blocks = len(bwt) // BLOCK + 1
+    padded = np.zeros(blocks * BLOCK, bwt.dtype)
+    padded[: len(bwt)] = bwt
+    whole = np.repeat(np.arange(blocks, dtype=np.int32) * symbols, BLOCK) + padded
+    before = np.cumsum(np.bincount(whole, minlength=blocks * symbols).reshape(blocks, symbols), axis=0)
+    block = place // BLOCK
+    counted = np.where(block > 0, before[block - 1, symbol], 0)
+    inside = padded.reshape(blocks, BLOCK)[block] == symbol[:, None]
+    return counted + (inside & (np.arange(BLOCK) < (place % BLOCK)[:, None])).sum(axis=1)
+
+
 def suffix_order(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(segment, start) of all non-empty suffixes in sorted order, by columns.
 
     ``bwt`` holds, in the order of the suffixes inserted so far, the symbol
-    in front of each (0 where none is known yet); symbols are bytes plus one.
+    in front of each (0 where none is known yet); symbols number the bytes in use.
     Round j puts the j-th last symbol of every segment in front of its latest
     suffix and inserts the suffix that starts with it.
     """
     m = len(segments)
     sizes = np.array([len(s) for s in segments])
     longest = int(sizes.max(initial=0))
-    columns = np.zeros((longest, m), np.uint16)
+    used = np.unique(np.frombuffer(b"".join(segments), np.uint8))
+    kind = np.uint8 if len(used) < 256 else np.uint16
+    symbol_of = np.zeros(256, kind)
+    symbol_of[used] = np.arange(1, len(used) + 1)
+    symbols = len(used) + 1
+    columns = np.zeros((longest, m), kind)
     for i, s in enumerate(segments):
-        columns[: len(s), i] = np.frombuffer(s, np.uint8)[::-1].astype(np.uint16) + 1
-    bwt = np.zeros(m, np.uint16)  # the empty suffixes, in the segments' order
+        columns[: len(s), i] = symbol_of[np.frombuffer(s, np.uint8)[::-1]]
+    bwt = np.zeros(m, kind)  # the empty suffixes, in the segments' order
     at = np.arange(m)
     live = np.arange(m)
+    count = np.zeros(symbols, np.int64)
     for j in range(longest):
         live = live[sizes[live] > j]
         symbol = columns[j, live]
         bwt[at[live]] = symbol
-        first = np.bincount(bwt, minlength=258)
-        first[0] = 0
-        first = m + np.cumsum(first) - first  # the first suffix of each symbol
-        new = np.empty(len(live), np.int64)
-        for c in np.unique(symbol):
-            of = symbol == c
-            new[of] = first[c] + np.searchsorted(np.flatnonzero(bwt == c), at[live[of]])
-        fresh = np.zeros(len(bwt) + len(live), bool)
-        fresh[new] = True
-        grown = np.zeros(len(fresh), np.uint16)
-        grown[~fresh] = bwt
-        moved = np.flatnonzero(~fresh)
-        done = np.setdiff1d(np.arange(m), live, assume_unique=True)
-        at[done] = moved[at[done]]
+        count += np.bincount(symbol, minlength=symbols)
+        first = m + np.cumsum(count) - count  # the first suffix of each symbol, after the empty ones
+        new = first[symbol] + _rank(bwt, symbol, at[live], symbols)
         at[live] = new
+        grown = np.zeros(len(bwt) + len(live), kind)
+        begin = taken = 0
+        for p in np.sort(new).tolist():  # one sequential pass
+            grown[begin:p] = bwt[taken: taken + p - begin]
+            begin, taken = p + 1, taken + p - begin
+        grown[begin:] = bwt[taken:]
         bwt = grown
     # Walk all segments through the finished transform, column by column.
     order = np.argsort(bwt, kind="stable")
