@@ -8,18 +8,23 @@ one of least hash is an anchor.  Every ``LENGTH``-byte string holds an
 anchor, chosen by its own bytes alone, so equal strings hold equal anchors at
 the same place.  An anchor's context is what all such strings around it
 cover.  Anchors that occur once are done; contexts that are equal as a whole
-are repeated as a whole and stand for each other from there on.
-
-Construction.  The differing contexts of an anchor go to a collection of
-bounded size.  Its Burrows-Wheeler transform is built column by column: each
-round inserts one symbol per context, at the place given by the symbol's
+are repeated as a whole.  Differing contexts of an anchor are cut into parts
+of ``STEP`` string starts each; a part whose common bytes occur once is done,
+parts that are equal as a whole are repeated as a whole, and either kind
+stands for its equals from there on.
+
+Construction.  The differing parts with the same common bytes go to a
+collection of bounded size.  Its Burrows-Wheeler transform is built column by column: each
+round inserts one symbol per part, at the place given by the symbol's
 rank in the transform so far, and rewrites the transform in one sequential
-pass.  Neighbours in the final order whose common prefix is ``LENGTH`` or
-more, at the same distance from the same anchor, are repeated strings.  The
+pass.  The common bytes of a part are one symbol, so a part has fewer than
+``2 * STEP`` columns.  Neighbours in the final order whose common prefix has
+``LENGTH`` bytes are repeated strings; the prefixes are taken from the
+finished order.  The
 sequential files are arrays of the task that holds the collection, since a
-collection is bounded and a task's disk is not shared.  An anchor with more
-than ``GROUP`` differing contexts (a passage in very many documents) takes
-another exact way: its strings are counted by digest.
+collection is bounded and a task's disk is not shared.  Common bytes with
+more than ``GROUP`` differing parts (the edge of a passage in very many
+documents) take another exact way: their strings are counted by digest.
 
 Strings are judged on the input.  Defined results: null or empty text has 0
 bytes and an empty rest; rows with equal ``doc_id`` are told apart by their
@@ -45,8 +50,9 @@ from .common import LAST_ID, read_table, stored
 LENGTH = 400
 CORE = 200
 WINDOW = LENGTH - CORE + 1
+STEP = 29
 GROUP = 1000
-COLLECTION = 500
+COLLECTION = 1000
 BLOCK = 512
 
 _TABLE = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,25 +138,24 @@ def _rank(bwt: np.ndarray, symbol: np.ndarray, place: np.ndarray, symbols: int)
     return counted + (inside & (np.arange(BLOCK) < (place % BLOCK)[:, None])).sum(axis=1)
 
 
-def suffix_order(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(segments: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(segment, start) of all non-empty suffixes in sorted order, by columns.
 
     ``bwt`` holds, in the order of the suffixes inserted so far, the symbol
-    in front of each (0 where none is known yet); symbols number the bytes in use.
+    in front of each (0 where none is known yet), symbols numbered from 1 in their order.
     Round j puts the j-th last symbol of every segment in front of its latest
     suffix and inserts the suffix that starts with it.
     """
     m = len(segments)
     sizes = np.array([len(s) for s in segments])
     longest = int(sizes.max(initial=0))
-    used = np.unique(np.frombuffer(b"".join(segments), np.uint8))
-    kind = np.uint8 if len(used) < 256 else np.uint16
-    symbol_of = np.zeros(256, kind)
-    symbol_of[used] = np.arange(1, len(used) + 1)
+    used, codes = np.unique(np.concatenate([*segments, np.zeros(0, np.int64)]), return_inverse=True)
     symbols = len(used) + 1
+    kind = np.uint8 if symbols <= 256 else np.int32
     columns = np.zeros((longest, m), kind)
-    for i, s in enumerate(segments):
-        columns[: len(s), i] = symbol_of[np.frombuffer(s, np.uint8)[::-1]]
+    end = np.cumsum(sizes)
+    for i, e in enumerate(end):
+        columns[: sizes[i], i] = codes[e - sizes[i]: e][::-1] + 1
     bwt = np.zeros(m, kind)  # the empty suffixes, in the segments' order
     at = np.arange(m)
     live = np.arange(m)
@@ -185,25 +190,19 @@ def suffix_order(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return segment[m:], start[m:]
 
 
-def repeated_starts(segments: list[bytes], groups: np.ndarray, left: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, start) of the strings that two segments of a group share at
-    the same distance from their anchors."""
+def repeated_starts(segments: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, start) of the strings of ``length`` symbols that occur twice or more."""
     segment, start = suffix_order(segments)
     sizes = np.array([len(s) for s in segments])
     long = sizes[segment] - start >= length
     segment, start = segment[long], start[long]
     if not len(segment):
         return segment, start
-    flat = np.frombuffer(b"".join(segments), np.uint8)
     begin = (np.cumsum(sizes) - sizes)[segment] + start
-    same = np.zeros(len(segment), bool)  # shares ``length`` symbols with the one before
-    view = np.lib.stride_tricks.sliding_window_view(flat, length)
-    for a in range(1, len(segment), 20_000):
-        part = slice(a, min(a + 20_000, len(segment)))
-        same[part] = (view[begin[part]] == view[begin[part.start - 1: part.stop - 1]]).all(axis=1)
-    run = np.cumsum(~same)
-    frame = pd.DataFrame({"run": run, "group": groups[segment], "at": start - left[segment]})
-    many = frame.groupby(["run", "group", "at"])["run"].transform("size").to_numpy() > 1
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate(segments), length)
+    same = np.zeros(len(segment) + 1, bool)  # has ``length`` symbols in common with the one before
+    same[1:-1] = (view[begin[1:]] == view[begin[:-1]]).all(axis=1)
+    many = same[:-1] | same[1:]
     return segment[many], start[many]
 
 
@@ -213,63 +212,132 @@ def _spans(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(starts[np.r_[0, cut + 1]].tolist(), (starts[np.r_[cut, len(starts) - 1]] + length).tolist(), strict=True))
 
 
-_FOUND = "key long, digest binary, a int, b int"
+_FOUND = "core long, part binary, a int, b int"
 
 
 def _collection(rows: pd.DataFrame) -> pd.DataFrame:
-    segment, start = repeated_starts(
-        rows["bytes"].to_list(), rows["key"].to_numpy(), rows["left"].to_numpy())
+    """Repeated strings of the parts of some cores.
+
+    A part is its bytes before the core, one symbol for the core and its
+    bytes behind it; a string of ``LENGTH`` bytes is one of ``STEP`` symbols.
+    """
+    core = np.unique(rows["core"].to_numpy(), return_inverse=True)[1] + 256
+    segments = [
+        np.concatenate([np.frombuffer(x[:n], np.uint8), [c], np.frombuffer(x[n:], np.uint8)]).astype(np.int64)
+        for x, n, c in zip(rows["edges"], rows["left"], core, strict=True)
+    ]
+    segment, start = repeated_starts(segments, STEP)
     order = np.lexsort((start, segment))
     segment, start = segment[order], start[order]
+    cores, parts = rows["core"].to_numpy(), rows["part"].to_numpy()
     out = []
-    for s in np.unique(segment):
-        own = rows.iloc[s]
-        out += [(own["key"], own["digest"], a, b) for a, b in _spans(start[segment == s], LENGTH)]
-    return pd.DataFrame(out, columns=["key", "digest", "a", "b"])
+    cut = np.flatnonzero(np.diff(segment)) + 1
+    for s, own in zip(segment[np.r_[0, cut]] if len(segment) else (), np.split(start, cut), strict=False):
+        out += [(cores[s], parts[s], a, b) for a, b in _spans(own, LENGTH)]
+    return pd.DataFrame(out, columns=["core", "part", "a", "b"])
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, digest, at, start, string) of every ``LENGTH``-byte string of a context, by digest."""
+    """(core, part, at, start, string): the bytes around the core of every string of a part."""
+    for b in batches:
+        rows = []
+        for i in range(b.num_rows):
+            x, left, core, part = (b[c][i].as_py() for c in ("edges", "left", "core", "part"))
+            rows += [(core, part, s - left, s, x[s: s + STEP - 1]) for s in range(len(x) - STEP + 2)]
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["core", "part", "at", "start", "string"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(core, part, member, a, size, left) of the contexts' parts.
+
+    A part covers the strings that start on ``STEP`` neighbouring places,
+    counted from the anchor; ``core`` is a hash of the bytes that all of
+    them hold, with the anchor and the place, ``part`` a digest of the part.
+    """
     for b in batches:
+        rows: list[tuple[int, bytes, int, int, int, int]] = []
         for i in range(b.num_rows):
-            data, left = b["bytes"][i].as_py(), b["left"][i].as_py()
-            n = max(len(data) - LENGTH + 1, 0)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([b["key"][i].as_py()] * n, pa.int64()), pa.array([b["digest"][i].as_py()] * n, pa.binary()),
-                pa.array(np.arange(n, dtype=np.int32) - left, pa.int32()), pa.array(np.arange(n, dtype=np.int32)),
-                pa.array([hashlib.blake2b(data[s: s + LENGTH], digest_size=16).digest() for s in range(n)], pa.binary()),
-            ], names=["key", "digest", "at", "start", "string"])
+            data = b["text"][i].as_py().encode("utf-8")
+            for m in b["members"][i].as_py():
+                context = data[m["start"]: m["start"] + m["size"]]
+                salt = (m["key"] % 2**64).to_bytes(8, "little")
+                for first in range(CORE - LENGTH, 1, STEP):
+                    a = max(first + m["left"], 0)
+                    last = min(first + STEP - 1, 0) + m["left"]
+                    last = min(last, len(context) - LENGTH)
+                    if last < a:
+                        continue
+                    at = first + STEP - 1 + m["left"]  # where the common bytes start
+                    core = hashlib.blake2b(
+                        context[at: first + m["left"] + LENGTH], digest_size=8, salt=salt, person=(first + LENGTH).to_bytes(2, "little"))
+                    part = context[a: last + LENGTH]
+                    rows.append((
+                        int.from_bytes(core.digest(), "little", signed=True),
+                        hashlib.blake2b(part, digest_size=16, salt=(at - a).to_bytes(2, "little")).digest(),
+                        m["member"], a, len(part), at - a))
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["core", "part", "member", "a", "size", "left"])
 
 
 def repeated_spans(docs: DataFrame, group: int = GROUP, collection: int = COLLECTION) -> DataFrame:
     """(d, t, spans): the repeated byte ranges of each row of (d, t, text)."""
+    of_row = (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t"))
     every = stored(anchor_table(docs), "passage-anchors")
     twice = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "passage-keys")
-    shared = stored(every.join(small_side(twice), "key"), "passage-shared")
+    shared = every.join(small_side(twice), "key")
     contexts = stored(shared.groupBy("key", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("d", "t", "start", "size", "left")).alias("at")), "passage-contexts")
-    per_key = contexts.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = stored(contexts.join(per_key, "key").select(
-        "key", "digest", "members", F.col("at.d").alias("__d"), F.col("at.t").alias("__t"), "at.start", "at.size", "at.left"),
-        "passage-members")
-    texts = docs.join(small_side(members), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")))
-    texts = texts.select("key", "digest", "members", "left", F.substring(
-        F.col("text").cast("binary"), F.col("start") + 1, F.col("size")).alias("bytes"))
-    texts = stored(texts.dropDuplicates(["key", "digest"]), "passage-bytes")
-
-    small = texts.where(F.col("members") <= group)
+        F.count("*").alias("n"), F.min(F.struct("d", "t", "start", "size", "left")).alias("at"))
+        .withColumn("member", F.monotonically_increasing_id()), "passage-contexts")
+    per_key = contexts.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    member = F.struct("member", "key", F.col("at.start").alias("start"), F.col("at.size").alias("size"), F.col("at.left").alias("left"))
+    members = stored(contexts.join(per_key, "key").groupBy(F.col("at.d").alias("__d"), F.col("at.t").alias("__t")).agg(
+        F.collect_list(member).alias("members")), "passage-members")  # the rows of a document, by document
+    texts = docs.join(small_side(members), of_row).dropDuplicates(["d", "t"])
+
+    # Parts of differing contexts that differ again are what is left to compare.
+    parts = stored(texts.select("text", "members").mapInArrow(
+        _parts, "core long, part binary, member long, a int, size int, left int"), "passage-parts")
+    counted = parts.groupBy("core", "part").agg(
+        F.count("*").alias("n"), F.min(F.struct("member", "a", "size", "left")).alias("at"))
+    cores = counted.groupBy("core").agg(F.count("*").alias("parts"), F.sum("n").alias("rows")).where("rows > 1")
+    cores = stored(cores.select("core", "parts"), "passage-cores")
+    counted = stored(counted.join(small_side(cores), "core"), "passage-counted")
+    # One context of each differing part brings its bytes.
+    brings = counted.where("parts > 1").select("core", "part", "parts", F.col("at.left").alias("left"), F.col("at.member").alias("member"),
+                                               F.col("at.a").alias("a"), F.col("at.size").alias("size"))
+    place = contexts.select("member", F.col("at.d").alias("__d"), F.col("at.t").alias("__t"), F.col("at.start").alias("start"))
+    wanted = stored(brings.join(place, "member"), "passage-wanted")
+    data, at, common = F.col("text").cast("binary"), F.col("start") + F.col("a") + 1, LENGTH - STEP + 1
+    edges = F.concat(
+        F.substring(data, at, F.col("left")),
+        F.substring(data, at + F.col("left") + common, F.col("size") - F.col("left") - common))
+    edges_of = docs.join(small_side(wanted), of_row).select("core", "part", "parts", "left", edges.alias("edges"))
+    edges_of = stored(edges_of.dropDuplicates(["core", "part"]), "passage-edges")
+
+    small = edges_of.where(F.col("parts") <= group)
     collections = max(1, -(-small.count() // collection))
-    found = small.groupBy(F.pmod(F.xxhash64("key"), F.lit(collections)).alias("__c")).applyInPandas(_collection, _FOUND)
-    strings = texts.where(F.col("members") > group).mapInArrow(
-        _strings, "key long, digest binary, at int, start int, string binary")
-    often = strings.groupBy("key", "at", "string").agg(F.count("*").alias("n"), F.collect_set("digest").alias("digests"), F.first("start").alias("start"))
-    large = often.where("n > 1").select("key", F.explode("digests").alias("digest"), "at").join(
-        texts.select("key", "digest", "left"), ["key", "digest"]).select(
-        "key", "digest", (F.col("at") + F.col("left")).alias("a"), (F.col("at") + F.col("left") + LENGTH).alias("b"))
-    whole = contexts.where("n > 1").select("key", "digest", F.lit(0).alias("a"), F.col("at.size").alias("b")).where(F.col("b") >= LENGTH)
-    found = stored(found.unionByName(large).unionByName(whole), "passage-found")
-    ranges = shared.join(small_side(found), ["key", "digest"]).select(
-        "d", "t", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
+    found = small.groupBy(F.pmod(F.xxhash64("core"), F.lit(collections)).alias("__c")).applyInPandas(_collection, _FOUND)
+    strings = edges_of.where(F.col("parts") > group).mapInArrow(
+        _strings, "core long, part binary, at int, start int, string binary")
+    often = strings.groupBy("core", "at", "string").agg(F.count("*").alias("n")).where("n > 1")
+    large = strings.join(often.select("core", "at", "string"), ["core", "at", "string"]).select(
+        "core", "part", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
+    whole = counted.where("n > 1").select("core", "part", F.lit(0).alias("a"), F.col("at.size").alias("b"))
+    of_part = stored(found.unionByName(large).unionByName(whole), "passage-found")
+    of_member = parts.join(small_side(cores.select("core")), "core").join(
+        of_part.select("core", "part", F.col("a").alias("from"), F.col("b").alias("to")), ["core", "part"])
+    of_member = of_member.select("member", (F.col("a") + F.col("from")).alias("a"), (F.col("a") + F.col("to")).alias("b"))
+    of_whole = contexts.where("n > 1").where(F.col("at.size") >= LENGTH).select("member", F.lit(0).alias("a"), F.col("at.size").alias("b"))
+    of_context = of_member.unionByName(of_whole).groupBy("member").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+    of_context = stored(contexts.select("member", "key", "digest").join(of_context, "member").select("key", "digest", "ranges"), "passage-ranges")
+    ranges = every.join(small_side(of_context), ["key", "digest"]).select("d", "t", "start", F.explode("ranges").alias("r"))
+    ranges = ranges.select("d", "t", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
     return ranges.groupBy("d", "t").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
