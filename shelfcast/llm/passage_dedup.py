@@ -54,6 +54,7 @@ STEP = 29
 GROUP = 1000
 COLLECTION = 1000
 BLOCK = 512
+BROADCAST_BYTES = 8 << 20
 
 _TABLE = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -92,6 +93,11 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places, h[places]
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a written table of at most ``BROADCAST_BYTES``: in memory it is several times as large."""
+    return small_side(df, BROADCAST_BYTES)
+
+
 def anchor_table(docs: DataFrame) -> DataFrame:
     """(key, digest, d, t, start, size, left) of every anchor: its hash, its
     context's digest, place and size, and the anchor's place in it."""
@@ -168,12 +174,10 @@ def suffix_order(segments: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         first = m + np.cumsum(count) - count  # the first suffix of each symbol, after the empty ones
         new = first[symbol] + _rank(bwt, symbol, at[live], symbols)
         at[live] = new
-        grown = np.zeros(len(bwt) + len(live), kind)
-        begin = taken = 0
-        for p in np.sort(new).tolist():  # one sequential pass
-            grown[begin:p] = bwt[taken: taken + p - begin]
-            begin, taken = p + 1, taken + p - begin
-        grown[begin:] = bwt[taken:]
+        old = np.ones(len(bwt) + len(live), bool)
+        old[new] = False
+        grown = np.zeros(len(old), kind)
+        grown[old] = bwt  # one sequential pass
         bwt = grown
     # Walk all segments through the finished transform, column by column.
     order = np.argsort(bwt, kind="stable")
@@ -290,7 +294,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, collection: int = COLLEC
     of_row = (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t"))
     every = stored(anchor_table(docs), "passage-anchors")
     twice = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "passage-keys")
-    shared = every.join(small_side(twice), "key")
+    shared = every.join(_small(twice), "key")
     contexts = stored(shared.groupBy("key", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("d", "t", "start", "size", "left")).alias("at"))
         .withColumn("member", F.monotonically_increasing_id()), "passage-contexts")
@@ -298,7 +302,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, collection: int = COLLEC
     member = F.struct("member", "key", F.col("at.start").alias("start"), F.col("at.size").alias("size"), F.col("at.left").alias("left"))
     members = stored(contexts.join(per_key, "key").groupBy(F.col("at.d").alias("__d"), F.col("at.t").alias("__t")).agg(
         F.collect_list(member).alias("members")), "passage-members")  # the rows of a document, by document
-    texts = docs.join(small_side(members), of_row).dropDuplicates(["d", "t"])
+    texts = docs.join(_small(members), of_row).dropDuplicates(["d", "t"])
 
     # Parts of differing contexts that differ again are what is left to compare.
     parts = stored(texts.select("text", "members").mapInArrow(
@@ -307,7 +311,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, collection: int = COLLEC
         F.count("*").alias("n"), F.min(F.struct("member", "a", "size", "left")).alias("at"))
     cores = counted.groupBy("core").agg(F.count("*").alias("parts"), F.sum("n").alias("rows")).where("rows > 1")
     cores = stored(cores.select("core", "parts"), "passage-cores")
-    counted = stored(counted.join(small_side(cores), "core"), "passage-counted")
+    counted = stored(counted.join(_small(cores), "core"), "passage-counted")
     # One context of each differing part brings its bytes.
     brings = counted.where("parts > 1").select("core", "part", "parts", F.col("at.left").alias("left"), F.col("at.member").alias("member"),
                                                F.col("at.a").alias("a"), F.col("at.size").alias("size"))
@@ -317,7 +321,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, collection: int = COLLEC
     edges = F.concat(
         F.substring(data, at, F.col("left")),
         F.substring(data, at + F.col("left") + common, F.col("size") - F.col("left") - common))
-    edges_of = docs.join(small_side(wanted), of_row).select("core", "part", "parts", "left", edges.alias("edges"))
+    edges_of = docs.join(_small(wanted), of_row).select("core", "part", "parts", "left", edges.alias("edges"))
     edges_of = stored(edges_of.dropDuplicates(["core", "part"]), "passage-edges")
 
     small = edges_of.where(F.col("parts") <= group)
@@ -330,13 +334,13 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, collection: int = COLLEC
         "core", "part", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
     whole = counted.where("n > 1").select("core", "part", F.lit(0).alias("a"), F.col("at.size").alias("b"))
     of_part = stored(found.unionByName(large).unionByName(whole), "passage-found")
-    of_member = parts.join(small_side(cores.select("core")), "core").join(
+    of_member = parts.join(_small(cores.select("core")), "core").join(
         of_part.select("core", "part", F.col("a").alias("from"), F.col("b").alias("to")), ["core", "part"])
     of_member = of_member.select("member", (F.col("a") + F.col("from")).alias("a"), (F.col("a") + F.col("to")).alias("b"))
     of_whole = contexts.where("n > 1").where(F.col("at.size") >= LENGTH).select("member", F.lit(0).alias("a"), F.col("at.size").alias("b"))
     of_context = of_member.unionByName(of_whole).groupBy("member").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
     of_context = stored(contexts.select("member", "key", "digest").join(of_context, "member").select("key", "digest", "ranges"), "passage-ranges")
-    ranges = every.join(small_side(of_context), ["key", "digest"]).select("d", "t", "start", F.explode("ranges").alias("r"))
+    ranges = every.join(_small(of_context), ["key", "digest"]).select("d", "t", "start", F.explode("ranges").alias("r"))
     ranges = ranges.select("d", "t", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
     return ranges.groupBy("d", "t").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
@@ -349,7 +353,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         text.alias("text"))
     spans = stored(repeated_spans(keyed.select("d", "t", "text")), "passage-spans").select(
         F.col("d").alias("__d"), F.col("t").alias("__t"), "spans")
-    joined = keyed.join(small_side(spans), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")), "left").select(
+    joined = keyed.join(_small(spans), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")), "left").select(
         "doc_id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
