@@ -42,7 +42,7 @@ class ForestParams:
     # 128 bins keep one bin per distinct store and department id (the
     # default 32 cannot); node statistics of up to 512 MB per pass bound the
     # memory of each concurrent task while keeping deep levels to few passes.
-    max_bins: int = 128
+    max_bins: int = 256
     max_memory_mb: int = 512
 
 

@@ -69,6 +69,7 @@ def referenced_views(df: DataFrame, allowed: set[str]) -> set[str]:
                 raise GovernedSqlError(f"relation {ident} is not an approved mart")
             seen.add(name)
             continue
+        check_expressions(node)
         children = _seq(node.children()) + _seq(node.subqueries())
         if not children and kind not in HARMLESS_LEAVES:
             raise GovernedSqlError(f"the query reads {kind}, which is not an approved mart")
@@ -76,6 +77,30 @@ def referenced_views(df: DataFrame, allowed: set[str]) -> set[str]:
     return seen
 
 
+# Expressions that run code from outside Spark's own functions.
+FOREIGN_CODE = ("CallMethodViaReflection", "TryReflect", "ScalaUDF", "ScalaUDAF", "PythonUDF", "PythonUDAF", "PythonUDTF", "HiveSimpleUDF", "HiveGenericUDF")
+
+
+def check_expressions(node) -> None:
+    """Reject foreign code in a plan node's expressions and joins without a condition."""
+    if node.getClass().getSimpleName() == "Join" and node.condition().isEmpty():
+        raise GovernedSqlError("a join needs a condition")
+    stack = _seq(node.expressions())
+    while stack:
+        e = stack.pop()
+        if e.getClass().getSimpleName() in FOREIGN_CODE:
+            raise GovernedSqlError(f"the function {e.prettyName()} is not allowed")
+        stack.extend(_seq(e.children()))
+
+
+def has_own_limit(df: DataFrame) -> bool:
+    """Whether a LIMIT of the caller bounds the rows (only projections stand above it)."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "SubqueryAlias", "WithCTE") and node.children().size():
+        node = node.children().last()
+    return node.getClass().getSimpleName() == "GlobalLimit"
+
+
 def governed_session(spark: SparkSession, marts: dict[str, DataFrame]) -> SparkSession:
     """An isolated session whose temp views are the approved columns only.
 
@@ -98,7 +123,8 @@ def governed_session(spark: SparkSession, marts: dict[str, DataFrame]) -> SparkS
 
 
 def governed_sql(iso: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
-    """Run caller SQL under the rules above; returns a lazy, capped DataFrame."""
+    """Run caller SQL under the rules above; a lazy DataFrame, capped when the
+    caller gives no LIMIT."""
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise GovernedSqlError("empty statement")
@@ -109,7 +135,7 @@ def governed_sql(iso: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMIT
     views = referenced_views(df, set(APPROVED_MARTS))
     if not views:
         raise GovernedSqlError("the query must read at least one approved mart")
-    return df.limit(int(row_limit))
+    return df if has_own_limit(df) else df.limit(int(row_limit))
 
 
 def canned_questions() -> dict[str, Callable]:

@@ -23,6 +23,13 @@ def test_accepts_reads_and_caps(iso):
     assert governed_sql(iso, "select * from dim_store where store_id in (select store_id from fact_sales)").count() > 0
 
 
+def test_keeps_the_callers_limit(iso):
+    many = governed_sql(iso, "select store_id from fact_sales").count()
+    assert many == 100
+    assert governed_sql(iso, "select store_id from fact_sales limit 150").count() == 150
+    assert governed_sql(iso, "select store_id from fact_sales order by weekly_sales limit 3").count() == 3
+
+
 @pytest.mark.parametrize("sql", [
     "drop table fact_sales",
     "delete from fact_sales",
@@ -38,6 +45,11 @@ def test_accepts_reads_and_caps(iso):
     "select * from global_temp.no_such_view",
     "select 1",
     "",
+    "select reflect('java.lang.System', 'getProperty', 'user.home') from dim_store",
+    "select java_method('java.lang.System', 'getenv', 'HOME') from dim_store",
+    "select * from dim_store where try_reflect('java.lang.System', 'lineSeparator') is null",
+    "select count(*) from fact_sales s cross join fact_sales t",
+    "select count(*) from fact_sales s, fact_sales t",
 ])
 def test_rejects(iso, spark, sql):
     spark.sql("create database if not exists raw")
