@@ -8,22 +8,24 @@ sketches give each document as many buckets (at a similarity of 0.8 a pair
 misses all of them with a chance of about 2e-4).
 
 Documents equal word for word are one node.  In each bucket the node of
-greatest support (the sizes of all its buckets) is compared with every other
-one; rows that fail are dealt again by pairs of buckets, where dissimilar
-documents that merely share a passage part, and compared with the best
-supported among them, for ``ROUNDS`` rounds in all.  So a bucket of n rows
-costs n comparisons a round, never n * n, and a bucket with a third of all
-rows is only an aggregate and a join on its key.  A link is missed only if
-the two agree in no sketch, or if in every bucket and pair of buckets that
-they share some other node has more support and one of the two fails
-against it in each round.
+greatest support (the sizes of all its buckets), its pivot, is compared with
+every other one, which also gives each row's distance from the pivot.
+Shingle-set distance (1 - Jaccard) is a metric, so two rows of a bucket whose
+distances from its pivot differ by more than 0.2 can't be a link, nor can two
+whose numbers of shingles differ by more than a fifth.  What neither bound
+excludes is compared in rounds: in each round every bucket that still holds
+two classes compares some more of its rows, drawn by hash, with all rows of
+other classes, and lays them aside; classes are joined after each round.
+Rounds go on until no bucket holds two classes, so two documents that agree
+in a sketch end in one class, are compared, or are excluded by a bound.
+A link is missed only if the two agree in no sketch.
 
 A pair is verified on whole texts: the words are aligned within a band of
 diagonals, and runs of aligned words give the shared shingles in order; 0.8
 or more of all link the pair.  Where the alignment leaves the band or says
 less (moved blocks), or shingles repeat, the sets of shingles decide: linked
-pairs are exactly those of Jaccard similarity 0.8 or more.  Classes are the connected components; a class
-is named by its smallest ``doc_id``.
+pairs are exactly those of Jaccard similarity 0.8 or more.  Classes are the
+connected components; a class is named by its smallest ``doc_id``.
 
 Defined results: a text without words (null, empty) is a class of its own;
 a text of one to four words is one shingle; a null ``doc_id`` orders last and
@@ -45,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from .common import LAST_ID, read_table, stored
+from .common import LAST_ID, read_table, stored, uniform
 from .components import components
 
 WORDS = 5
@@ -53,7 +55,7 @@ SIMILARITY = 0.8
 SKETCHES = 12
 MINIMA = 3
 MAX_BAND = 64
-ROUNDS = 3
+GROWTH = 4  # rows drawn in a bucket: GROWTH in round 1, GROWTH ** 2 in round 2, ...
 SLICE_CHARS = 4_000_000
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -136,7 +138,8 @@ def _row_key() -> list[Column]:
 
 
 def sketch_table(docs: DataFrame) -> DataFrame:
-    """(d, t, node, keys) of each row; ``node`` is a digest of its words, null without words."""
+    """(d, t, node, n, keys) of each row; ``node`` is a digest of its words, null
+    without words, ``n`` the number of its different shingles."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,7 +151,8 @@ def sketch_table(docs: DataFrame) -> DataFrame:
                     chars += len(texts[end])
                     end += 1
                 hashes, count = word_hashes(texts[begin:end])
-                keys = iter(sketches(*shingles(hashes, count)).tolist())
+                found, total = shingles(hashes, count)
+                keys = iter(sketches(found, total).tolist())
                 stop = np.cumsum(count)
                 node = [
                     hashlib.blake2b(hashes[e - n: e].tobytes(), digest_size=16).digest() if n else None
@@ -156,11 +160,12 @@ def sketch_table(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([
                     b["d"].slice(begin, end - begin), b["t"].slice(begin, end - begin), pa.array(node, pa.binary()),
+                    pa.array([len(np.unique(found[e - m: e])) for e, m in zip(np.cumsum(total), total, strict=True)], pa.int64()),
                     pa.array([next(keys) if n else None for n in count], pa.list_(pa.int64())),
-                ], names=["d", "t", "node", "keys"])
+                ], names=["d", "t", "node", "n", "keys"])
                 begin = end
 
-    return docs.select(*_row_key(), "text").mapInArrow(sketch, "d long, t long, node binary, keys array<long>")
+    return docs.select(*_row_key(), "text").mapInArrow(sketch, "d long, t long, node binary, n long, keys array<long>")
 
 
 # -- verification ---------------------------------------------------------
@@ -225,81 +230,96 @@ def aligned_shingles(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
     return shared
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether two texts, as word hashes, are near duplicates."""
+def distance(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    """Shingle-set distance of two texts, as word hashes; of a link an upper
+    bound of at most ``1 - least``."""
     sa, sb = max(len(a) - WORDS + 1, 1), max(len(b) - WORDS + 1, 1)
     x = np.unique(shingles(a, np.array([len(a)]))[0])
     y = np.unique(shingles(b, np.array([len(b)]))[0])
-    if min(len(x), len(y)) < least * max(len(x), len(y)):
-        return False
-    if len(x) == sa and len(y) == sb and min(len(a), len(b)) >= WORDS:  # no shingle repeats: an alignment is proof
+    close = min(len(x), len(y)) >= least * max(len(x), len(y))
+    if close and len(x) == sa and len(y) == sb and min(len(a), len(b)) >= WORDS:  # no shingle repeats: an alignment is proof
         # As many words may differ as replace (1 - least) / (1 + least) of all shingles one by one.
         band = min(MAX_BAND, WORDS + int((sa + sb) * (1 - least) / (1 + least) / 2))
         shared = aligned_shingles(a, b, band)
         if shared is not None and shared >= least * (sa + sb - shared):
-            return True
+            return min(1 - shared / (sa + sb - shared), 1 - least)
     shared = len(np.intersect1d(x, y, assume_unique=True))  # moved blocks, repeated shingles, wide edits
-    return shared >= least * (len(x) + len(y) - shared)
+    both = len(x) + len(y) - shared
+    if shared >= least * both:
+        return min(1 - shared / both, 1 - least)
+    return max(1 - shared / both, np.nextafter(1 - least, 1))
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether two texts, as word hashes, are near duplicates."""
+    return distance(a, b, least) <= 1 - least
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, ok) of the pairs, compared on whole texts."""
+    """(a, b, dist, ok) of the pairs, compared on whole texts."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
+            dist = []
             for i in range(batch.num_rows):
                 hashes, count = word_hashes([batch["ta"][i].as_py(), batch["tb"][i].as_py()])
-                ok.append(similar(hashes[: count[0]], hashes[count[0]:]))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+                dist.append(float(distance(hashes[: count[0]], hashes[count[0]:])))
+            ok = [d <= 1 - SIMILARITY for d in dist]
+            yield pa.RecordBatch.from_arrays(
+                [batch["a"], batch["b"], pa.array(dist, pa.float64()), pa.array(ok, pa.bool_())], names=["a", "b", "dist", "ok"])
 
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a binary, b binary, ok boolean")
+    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(
+        compare, "a binary, b binary, dist double, ok boolean")
 
 
-def _star(rows: DataFrame) -> DataFrame:
-    """(key..., node, centre) of rows (bucket, node, support): each bucket's
-    best supported node beside every row of it."""
-    centre = rows.groupBy("bucket").agg(F.max(F.struct("support", "node")).alias("best"), F.count("*").alias("size")).where("size > 1")
-    return rows.join(centre.select("bucket", F.col("best.node").alias("centre")), "bucket")
+def _labelled(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with the class so far of each node, of buckets with two classes or more."""
+    labels = components(linked)
+    rows = rows.drop("label").join(small_side(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = rows.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"))
+    return rows.drop("size").join(open_.where("l0 <> l1").select("bucket", "size"), "bucket")
 
 
-def links(nodes: DataFrame, texts_of: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Verified (a, b) links of (node, d, t, keys) nodes; ``texts_of`` has (d, t, text)."""
-    each = nodes.select("node", F.posexplode("keys").alias("band", "key"))
+def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
+    """Verified (a, b) links of (node, d, t, n, keys) nodes whose components are
+    the classes; ``texts_of`` has (d, t, text)."""
+    each = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
     # Support: the sizes of all buckets of a node.
     sizes = each.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(each.join(sizes, ["band", "key"]), "near-buckets")
     support = shared.groupBy("node").agg(F.sum("size").alias("support"))
-    rows = stored(shared.join(support, "node").select(
-        F.struct("band", "key").alias("bucket"), "node", "support"), "near-rows")
+    rows = shared.join(support, "node").select(F.struct("band", "key").alias("bucket"), "node", "n", "support")
+    pivot = rows.groupBy("bucket").agg(F.max(F.struct("support", "node")).alias("best"))
+    rows = stored(rows.join(pivot.select("bucket", F.col("best.node").alias("pivot")), "bucket").drop("support"), "near-rows")
 
     wanted = stored(nodes.join(support.select("node"), "node", "left_semi").select(F.col("d").alias("__d"), F.col("t").alias("__t"), "node"), "near-wanted")
     texts = texts_of.join(small_side(wanted), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")))
     texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
 
-    met = None
-    for turn in range(rounds):
-        star = _star(rows).where("node <> centre")
-        pair = star.select("bucket", "node", "support", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        pair = stored(pair, "near-pairs")
-        new = pair.select("a", "b").distinct()
-        if met is not None:
-            new = new.join(met.select("a", "b"), ["a", "b"], "left_anti")
-        done = stored(verified(new, texts), "near-verified")
-        met = done if met is None else stored(met.unionByName(done), "near-met")
-        failed = pair.join(met, ["a", "b"]).where(~F.col("ok")).select("bucket", "node", "support")
-        if not turn:  # deal what failed by pairs of buckets
-            other = shared.select(F.col("node"), F.struct("band", "key").alias("other"))
-            failed = failed.join(other, "node").where(F.col("bucket.band") < F.col("other.band"))
-            failed = failed.select(F.struct(
-                F.col("bucket.band").alias("band"), F.col("bucket.key").alias("key"),
-                F.col("other.band").alias("band2"), F.col("other.key").alias("key2")).alias("bucket"), "node", "support")
-        rows = stored(failed, "near-rows")
+    # Every row against its bucket's pivot; the pivot is done then.
+    rows = rows.where("node <> pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
+    met = stored(verified(rows.select("a", "b").distinct(), texts), "near-verified")
+    rows = rows.join(met, ["a", "b"]).select("bucket", "node", "n", "dist")
+    turn = 1
+    while True:
+        rows = stored(_labelled(rows, met.where("ok")), "near-rows")
         if not rows.limit(1).count():
-            break
-    return met.where("ok").select("a", "b")
+            return met.where("ok").select("a", "b")
+        drawn = uniform(F.col("node"), F.col("bucket"), seed=9) * F.col("size") < float(GROWTH**turn)
+        # A later draw of a bucket holds every earlier one, less what was laid aside.
+        centre = rows.where(drawn).select(
+            "bucket", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("dist").alias("cdist"), F.col("label").alias("clabel"))
+        pair = rows.join(centre, "bucket").where(
+            (F.col("label") != F.col("clabel"))
+            & (F.least("n", "cn") >= SIMILARITY * F.greatest("n", "cn"))
+            & (F.abs(F.col("dist") - F.col("cdist")) <= 1 - SIMILARITY + 1e-9))
+        new = pair.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        new = new.join(met.select("a", "b"), ["a", "b"], "left_anti")
+        met = stored(met.unionByName(verified(new, texts)), "near-met")
+        rows = rows.where(~drawn)
+        turn += 1
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -307,8 +327,8 @@ def classes(docs: DataFrame) -> DataFrame:
     ``__kept``, whether the row is the one that stands for its class."""
     table = stored(sketch_table(docs), "near-sketches")
     nodes = stored(table.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("d", "t")).alias("first"), F.first("keys").alias("keys")
-    ).select("node", F.col("first.d").alias("d"), F.col("first.t").alias("t"), "keys"), "near-nodes")
+        F.min(F.struct("d", "t")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")
+    ).select("node", F.col("first.d").alias("d"), F.col("first.t").alias("t"), "n", "keys"), "near-nodes")
     linked = links(nodes, docs.select(*_row_key(), F.coalesce(F.col("text"), F.lit("")).alias("text")))
     labels = components(linked)
     named = nodes.join(labels, "node", "left").select("node", "d", "t", F.coalesce("label", "node").alias("label"))
