@@ -22,7 +22,8 @@ A link is missed only if the two agree in no sketch.
 
 A pair is verified on whole texts: the words are aligned within a band of
 diagonals, and runs of aligned words give the shared shingles in order; 0.8
-or more of all link the pair.  Where the alignment leaves the band or says
+or more of all link the pair.  Pairs whose sets of shingles share less, which
+bounds every alignment, aren't aligned.  Where the alignment leaves the band or says
 less (moved blocks), or shingles repeat, the sets of shingles decide: linked
 pairs are exactly those of Jaccard similarity 0.8 or more.  Classes are the
 connected components; a class is named by its smallest ``doc_id``.
@@ -230,40 +231,50 @@ def aligned_shingles(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
     return shared
 
 
-def distance(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Shingle-set distance of two texts, as word hashes; of a link an upper
-    bound of at most ``1 - least``."""
+def _parts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, different shingles in order) of a text."""
+    hashes, count = word_hashes([text])
+    return hashes, np.unique(shingles(hashes, count)[0])
+
+
+def distance(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, least: float = SIMILARITY) -> float:
+    """Shingle-set distance of two texts, given as word hashes and different shingles; of a link an upper
+    bound of at most ``1 - least``.
+
+    An alignment shares no more shingles than the sets do, so what the sets
+    exclude isn't aligned.
+    """
+    most = len(np.intersect1d(x, y, assume_unique=True))
+    both = len(x) + len(y) - most
+    if most < least * both:
+        return max(1 - most / both, float(np.nextafter(1 - least, 1)))
     sa, sb = max(len(a) - WORDS + 1, 1), max(len(b) - WORDS + 1, 1)
-    x = np.unique(shingles(a, np.array([len(a)]))[0])
-    y = np.unique(shingles(b, np.array([len(b)]))[0])
-    close = min(len(x), len(y)) >= least * max(len(x), len(y))
-    if close and len(x) == sa and len(y) == sb and min(len(a), len(b)) >= WORDS:  # no shingle repeats: an alignment is proof
+    if len(x) == sa and len(y) == sb and min(len(a), len(b)) >= WORDS:  # no shingle repeats: an alignment is proof
         # As many words may differ as replace (1 - least) / (1 + least) of all shingles one by one.
         band = min(MAX_BAND, WORDS + int((sa + sb) * (1 - least) / (1 + least) / 2))
         shared = aligned_shingles(a, b, band)
         if shared is not None and shared >= least * (sa + sb - shared):
             return min(1 - shared / (sa + sb - shared), 1 - least)
-    shared = len(np.intersect1d(x, y, assume_unique=True))  # moved blocks, repeated shingles, wide edits
-    both = len(x) + len(y) - shared
-    if shared >= least * both:
-        return min(1 - shared / both, 1 - least)
-    return max(1 - shared / both, np.nextafter(1 - least, 1))
+    return min(1 - most / both, 1 - least)  # moved blocks, repeated shingles, wide edits
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether two texts, as word hashes, are near duplicates."""
-    return distance(a, b, least) <= 1 - least
+    x, y = (np.unique(shingles(w, np.array([len(w)]))[0]) for w in (a, b))
+    return distance(a, x, b, y, least) <= 1 - least
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, dist, ok) of the pairs, compared on whole texts."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, right = None, None
         for batch in batches:
             dist = []
             for i in range(batch.num_rows):
-                hashes, count = word_hashes([batch["ta"][i].as_py(), batch["tb"][i].as_py()])
-                dist.append(float(distance(hashes[: count[0]], hashes[count[0]:])))
+                if (key := batch["b"][i].as_py()) != last:  # the join often leaves equal b side by side
+                    last, right = key, _parts(batch["tb"][i].as_py())
+                dist.append(float(distance(*_parts(batch["ta"][i].as_py()), *right)))
             ok = [d <= 1 - SIMILARITY for d in dist]
             yield pa.RecordBatch.from_arrays(
                 [batch["a"], batch["b"], pa.array(dist, pa.float64()), pa.array(ok, pa.bool_())], names=["a", "b", "dist", "ok"])

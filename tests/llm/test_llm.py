@@ -172,6 +172,28 @@ def test_near_duplicates(docs):
         assert r["__class"] == i or i in (1, 2)
 
 
+def test_near_duplicates_lose_no_link(spark):
+    """Chains of edits: the classes are those of all pairs of similarity 0.8."""
+    rng = random.Random(11)
+    texts, common = [], words(rng, 120).split()
+    for _ in range(6):
+        own = common[:80] + words(rng, 60).split()
+        for _ in range(25):  # each a small edit of the one before
+            own = list(own)
+            own[rng.randrange(len(own))] = words(rng, 1, "xyz") + "q"
+            texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = [{tuple(w[i: i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert {r.doc_id: r["__class"] for r in near_dedup.classes(docs).collect()} == dict(enumerate(label))
+    assert 1 < len(set(label)) < len(texts)
+
+
 def test_alignment():
     rng = random.Random(2)
     for _ in range(100):
