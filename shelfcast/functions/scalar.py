@@ -116,14 +116,21 @@ def money_stddev_pop(col: str | Column) -> Column:
     """Population standard deviation of a money column from exact moments.
 
     Values are taken at the money scale (4 places) as integers, their count,
-    sum and sum of squares are summed exactly, and only the final
-    ``n * sum(x^2) - sum(x)^2`` is converted to double: one partial
-    aggregate per partition, and the same result on any partitioning.
+    sum and sum of squares are summed exactly: one partial aggregate per
+    partition, and the same result on any partitioning.  With the whole
+    quotient q and remainder r of sum and count, the squares around q are
+    ``sum(x^2) - 2 q sum(x) + n q^2`` and those around the mean ``r^2 / n``
+    less, so no total is squared and only the last division is in doubles.
     """
     x = F.round(c(col) * F.lit(10000.0)).cast("bigint").cast("decimal(38,0)")
-    n = F.count(c(col)).cast("decimal(38,0)")
-    spread = n * F.sum(x * x) - F.sum(x) * F.sum(x)
-    return F.try_divide(F.sqrt(spread.cast("double")), F.count(c(col)).cast("double") * F.lit(10000.0))
+    n = F.nullif(F.count(c(col)), F.lit(0)).cast("decimal(38,0)")
+    total = F.sum(x)
+    q = F.call_function("div", total, n).cast("decimal(38,0)")
+    r = total - q * n
+    around = F.sum(x * x) - q * total - q * r  # n * q^2 = q * (total - r)
+    size = n.cast("double")
+    spread = around.cast("double") - (r * r).cast("double") / size
+    return F.sqrt(F.greatest(spread, F.lit(0.0)) / size) / F.lit(10000.0)
 
 
 def score_avg(col: str | Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import truthy
@@ -87,8 +87,7 @@ def split_index(n: int, test_size: float) -> int:
     return min(max(1, int(n * (1 - test_size))), n - 1)
 
 
-# Rows of the boundary key ranked in one window task; above this the key's
-# rows are ranked by a range-partitioned sort spread over many tasks.
+# Rows of the boundary key that one task of the range-partitioned sort takes.
 ONE_TASK_ROWS = 2_000_000
 
 
@@ -133,8 +132,7 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
     date the boundary store, a histogram of departments within that store
     the boundary key.  Each collected histogram is bounded by one
     dimension's cardinality.  Only the rows of the one boundary key are
-    ranked: in one window task up to ``one_task_rows`` rows, else by
-    ``global_rank`` over many tasks.  Under ``min_rows`` rows both parts are
+    ranked, by ``global_rank`` with ``one_task_rows`` rows a task.  Under ``min_rows`` rows both parts are
     the whole frame.
     """
     order = ["date", *KEYS]
@@ -162,29 +160,29 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
     key = F.struct(*[F.col(c) for c in order])
     b_key = F.struct(*[F.lit(v).alias(c) for c, v in fixed])
     is_boundary = key == b_key
-    if b_rows <= one_task_rows:
-        ranked = frame.where(is_boundary).withColumn(
-            "__rn", F.row_number().over(Window.partitionBy(*order).orderBy(*[F.col(c) for c in frame.columns]))
-        )
-    else:
-        ranked = global_rank(frame.where(is_boundary), frame.columns, b_rows, one_task_rows)
+    ranked = global_rank(frame.where(is_boundary), frame.columns, b_rows, one_task_rows)
     train = frame.where(key < b_key).unionByName(ranked.where(F.col("__rn") <= need).drop("__rn"))
     test = frame.where(key > b_key).unionByName(ranked.where(F.col("__rn") > need).drop("__rn"))
     return Split(train, test, k, n - k)
 
 
-def split_summary(frame: DataFrame, test_size: float = 0.2) -> DataFrame:
-    """Sizes and date spans of the two parts, one row (E4 report)."""
-    sp = chronological_split(frame, test_size)
-    parts = sp.train.select("date", F.lit(True).alias("train")).unionByName(
-        sp.test.select("date", F.lit(False).alias("train")))
+def split_summary(frame: DataFrame, test_size: float = 0.2, min_rows: int = 10) -> DataFrame:
+    """Sizes and date spans of the two parts, one row (E4 report).
 
-    def on(side: bool, agg):
-        return agg(F.when(F.col("train") == side, F.col("date")))
-
-    return parts.agg(
-        F.count_if(F.col("train")).alias("training_rows"),
-        on(True, F.min).alias("train_start"), on(True, F.max).alias("train_end"),
-        F.count_if(~F.col("train")).alias("validation_rows"),
-        on(False, F.min).alias("validation_start"), on(False, F.max).alias("validation_end"),
-    )
+    Both follow from the histogram of dates (one row per date, so bounded by
+    the calendar): the parts' rows are not ranked for it.
+    """
+    hist = sorted(frame.groupBy("date").count().collect(), key=lambda r: r["date"])
+    n = sum(r["count"] for r in hist)
+    train, test = (n, n) if n < min_rows else (split_index(n, test_size), n - split_index(n, test_size))
+    spans, run = {"train": [], "test": []}, 0
+    for row in hist:
+        if run < train:
+            spans["train"].append(row["date"])
+        if n < min_rows or run + row["count"] > train:
+            spans["test"].append(row["date"])
+        run += row["count"]
+    first, last = ({k: (v[i] if v else None) for k, v in spans.items()} for i in (0, -1))
+    return frame.sparkSession.createDataFrame(
+        [(train, first["train"], last["train"], test, first["test"], last["test"])],
+        "training_rows long, train_start date, train_end date, validation_rows long, validation_start date, validation_end date")

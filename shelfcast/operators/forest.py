@@ -43,6 +43,7 @@ class ForestParams:
     # default 32 cannot); node statistics of up to 512 MB per pass bound the
     # memory of each concurrent task while keeping deep levels to few passes.
     max_bins: int = 256
+    partitions: int = 32  # of the training rows; raise it with the data, the model depends on it
     max_memory_mb: int = 512
 
 
@@ -125,12 +126,10 @@ def train(frame: DataFrame, params: ForestParams | None = None, trained_at: _dt.
     params = params or ForestParams()
     trained_at = (trained_at or _dt.datetime.now(_dt.timezone.utc)).replace(microsecond=0, tzinfo=None)
     prepared = _prepare(frame)
-    # Training makes one pass per tree level: spread the rows over every
-    # core of the cluster first, then store them in the checkpoint folder.
-    slots = prepared.sparkSession.sparkContext.defaultParallelism
-    if prepared.rdd.getNumPartitions() < slots:
-        prepared = prepared.repartition(slots)
-    prepared = cut_lineage(prepared)
+    # MLlib draws its bags per partition: the same rows in the same partitions
+    # and order whatever the cluster, stored in the checkpoint folder.
+    place = ["store", "dept", "date"]
+    prepared = cut_lineage(prepared.repartition(params.partitions, *place).sortWithinPartitions(*place, *[c for c in prepared.columns if c not in place]))
     split = chronological_split(prepared, params.test_size)
     zero, modes = _fills(split.train)
     model = build_pipeline(params, zero, modes).fit(_fill(split.train, zero, modes))

@@ -3,8 +3,9 @@
 Random draws come from ``xxhash64`` of the row key, the seed and a stream
 number, so a row gets the same draws however the data is partitioned or
 re-executed after a lost executor (``F.rand`` depends on partitioning).
-Normals use Box-Muller; the Gamma draw uses an inverse-CDF table built from
-the shape parameter at import and interpolated inside the expression.
+Normals use Box-Muller; the Gamma draw uses a table of quantiles built from
+the shape parameter at import, even in the logarithm of the tail's
+probability, and interpolated inside the expression.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ PRECIP_SHAPE, PRECIP_SCALE, PRECIP_MAX = 1.2, 0.08, 1.5
 SNOW_BELOW_TEMPERATURE = 35.0
 SNOW_SHARE = (0.2, 1.1)
 GAMMA_TABLE_SIZE = 1024
+GAMMA_TAIL = 30.0  # -log of the least tail probability in the table
 
 _UNIT = float(1 << 53)
 
@@ -49,22 +51,22 @@ def normal(mean: float, sd: float, seed: int, stream: int, *key: Column) -> Colu
 
 
 def gamma_quantiles(shape: float, size: int = GAMMA_TABLE_SIZE) -> list[float]:
-    """Quantiles of Gamma(shape, 1) at i / (size - 1), by the series of the
-    regularised lower incomplete gamma function on a fine grid."""
-    x = np.linspace(0.0, 30.0, 30001)[1:]
+    """Quantiles of Gamma(shape, 1) where the tail holds exp(-GAMMA_TAIL * i / (size - 1)),
+    by the series of the regularised lower incomplete gamma function on a fine grid."""
+    x = np.linspace(0.0, 40.0, 40001)[1:]
     n = np.arange(0, 200)
     # P(a, x) = x^a e^-x / Gamma(a + 1) * sum_n x^n / ((a + 1) ... (a + n))
     log_terms = np.cumsum(np.log(x[:, None] / (shape + 1 + n[None, :-1])), axis=1)
     series = 1.0 + np.exp(log_terms).sum(axis=1)
     cdf = np.exp(shape * np.log(x) - x - math.lgamma(shape + 1)) * series
     cdf = np.minimum(np.maximum.accumulate(cdf), 1.0)
-    probs = np.linspace(0.0, 1.0, size)
+    probs = -np.expm1(-np.linspace(0.0, GAMMA_TAIL, size))
     q = np.interp(probs, np.concatenate([[0.0], cdf]), np.concatenate([[0.0], x]))
     return [float(v) for v in q]
 
 
 def table_lookup(table: list[float], u: Column) -> Column:
-    """Linear interpolation in an evenly spaced table at u in [0, 1)."""
+    """Linear interpolation in an evenly spaced table at u in [0, 1]."""
     arr = F.array(*[F.lit(v) for v in table])
     pos = u * F.lit(len(table) - 1)
     i = F.floor(pos).cast("int")
@@ -74,6 +76,11 @@ def table_lookup(table: list[float], u: Column) -> Column:
     return lo + (hi - lo) * frac
 
 
+def gamma_draw(u: Column) -> Column:
+    """The draw of Gamma(PRECIP_SHAPE, 1) at u in [0, 1)."""
+    return table_lookup(_GAMMA, F.least(-F.log(F.lit(1.0) - u) / F.lit(GAMMA_TAIL), F.lit(1.0)))
+
+
 def synthetic_inventory(sales: DataFrame, seed: int = 42, low_inventory_share: float = LOW_INVENTORY_SHARE) -> DataFrame:
     """One inventory row per sales row (H5); raw inventory contract."""
     require_columns(sales, ["store", "dept", "date", "weekly_sales"], "sales for inventory generation")
@@ -113,7 +120,7 @@ def synthetic_weather(features: DataFrame, seed: int = 42) -> DataFrame:
     median = features.select(F.median(temp)).scalar()
     filled = F.coalesce(temp, median)
     precip = F.round(
-        F.least(F.greatest(F.lit(PRECIP_SCALE) * table_lookup(_GAMMA, uniform(seed, 11, *key)), F.lit(0.0)),
+        F.least(F.greatest(F.lit(PRECIP_SCALE) * gamma_draw(uniform(seed, 11, *key)), F.lit(0.0)),
                 F.lit(PRECIP_MAX)), 2)
     out = features.select("store", F.col("date").try_cast("date").alias("date"), filled.alias("temperature"),
                           precip.alias("precipitation"))

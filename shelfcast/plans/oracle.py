@@ -35,8 +35,12 @@ def mavg(expr: str) -> str:
 
 def mstd(expr: str) -> str:
     x = f"cast(cast(round({expr} * 10000.0) as bigint) as decimal(38,0))"
-    spread = f"(cast(count({expr}) as decimal(38,0)) * sum({x} * {x}) - sum({x}) * sum({x}))"
-    return f"(sqrt(cast({spread} as double)) / nullif(cast(count({expr}) as double) * 10000.0, 0))"
+    n, total = f"cast(nullif(count({expr}), 0) as decimal(38,0))", f"sum({x})"
+    q = f"cast(cast({total} as hugeint) // cast({n} as hugeint) as decimal(38,0))"
+    r = f"({total} - {q} * {n})"
+    around = f"(sum({x} * {x}) - {q} * {total} - {q} * {r})"
+    spread = f"(cast({around} as double) - cast({r} * {r} as double) / cast({n} as double))"
+    return f"(sqrt(greatest({spread}, 0.0) / cast({n} as double)) / 10000.0)"
 
 
 def wape_sql(a: str = "actual_demand", p: str = "predicted_demand") -> str:

@@ -57,8 +57,9 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         try:
             spark.conf.set(key, value)
-        except Exception:  # static conf on an already running session
-            pass
+        except Exception:  # fixed on an already running session
+            if str(spark.conf.get(key, None)).lower() != value.lower():
+                raise
     find_package(spark)
     checkpoint_dir(spark)
     return spark

@@ -123,3 +123,15 @@ def test_timestamps_to_utc_seconds(spark):
 
     got = [r[0] for r in df.select(coerce(F.col("t"), T.StringType(), T.TimestampNTZType())).collect()]
     assert got == [dt.datetime(2026, 5, 21, 23, 18, 11), dt.datetime(2026, 5, 21, 23, 18, 11), None]
+
+
+def test_stddev_of_large_totals(spark):
+    """n^2 * x^2 beyond 38 digits, and values that differ by little."""
+    from pyspark.sql import functions as F
+    from shelfcast.functions.scalar import money_stddev_pop
+
+    big = spark.range(12).select(F.lit(9e13).alias("x"))
+    assert big.agg(money_stddev_pop("x")).first()[0] == 0.0
+    near = spark.range(1000).select((F.lit(5e8) + F.col("id") % 2).alias("x"))
+    assert near.agg(money_stddev_pop("x")).first()[0] == 0.5
+    assert spark.range(0).select(F.col("id").cast("double").alias("x")).agg(money_stddev_pop("x")).first()[0] is None

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfcast.operators.synth import synthetic_inventory, synthetic_weather
+from shelfcast.operators.synth import PRECIP_SHAPE, gamma_draw, synthetic_inventory, synthetic_weather
 from shelfcast.plans.warehouse import Warehouse
 
 from conftest import SF_CHECK
@@ -34,3 +34,19 @@ def test_weather_properties(spark):
               F.count_if(F.col("temperature").isNull()).alias("nulls")).first()
     assert r["n"] == feats.count() and r["lo"] >= 0 and r["hi"] <= 1.5
     assert r["warm_snow"] == 0 and r["nulls"] == 0
+
+
+def test_gamma_quantiles(spark):
+    from math import gamma
+
+    import numpy as np
+
+    n = 200_000
+    x = np.sort(spark.range(n).select(gamma_draw(F.col("id") / F.lit(float(n))).alias("x")).toPandas().x.to_numpy())
+    want = np.sort(np.random.default_rng(1).gamma(PRECIP_SHAPE, 1.0, 2_000_000))
+    for p in (0.05, 0.25, 0.5, 0.9, 0.99, 0.999):
+        assert abs(x[int(p * n)] / want[int(p * len(want))] - 1) < 0.05
+    assert abs(x.mean() - PRECIP_SHAPE) < 0.01
+    far = 12.5  # 1.0 inch of rain: a tail of about 4 / 400,000
+    tail = far ** (PRECIP_SHAPE - 1) * np.exp(-far) / gamma(PRECIP_SHAPE)
+    assert (x >= far).mean() < 3 * tail + 1e-5
