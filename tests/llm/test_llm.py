@@ -194,6 +194,37 @@ def test_near_duplicates_lose_no_link(spark):
     assert 1 < len(set(label)) < len(texts)
 
 
+def test_moved_and_repeated_blocks_share_a_sketch():
+    """Pairs whose sets of shingles say 0.8: none is without a common bucket."""
+    rng, missed = random.Random(4), 0
+    for k in range(300):
+        a = [words(rng, 1) + str(rng.random()) for _ in range(200)]
+        half = a[100:] + a[:100]
+        six = [a[i: i + 40] for i in range(0, 200, 40)]
+        rng.shuffle(six)
+        b = [half, sum(six, []), a + a[20:60] * (k % 5 + 1)][k % 3]
+        for _ in range(2):
+            b[rng.randrange(len(b))] = f"edit{rng.random()}"
+        if k % 10 == 9:  # short: one word more
+            a, b = a[:8], a[:9]
+        keys = []
+        for t in (a, b):
+            found, n = near_dedup.shingles(*near_dedup.word_hashes([" ".join(t)]))
+            keys.append({(i, x) for i, x in enumerate([*near_dedup.sketches(found, n)[0].tolist(), *near_dedup.set_sketches(found, n)[0]])})
+        same = near_dedup.similar(*(near_dedup.word_hashes([" ".join(t)])[0] for t in (a, b)))
+        missed += same and not keys[0] & keys[1]
+    assert missed == 0
+
+
+def test_near_duplicates_moved_and_repeated(spark):
+    rng, texts = random.Random(6), []
+    for _ in range(40):  # a text, its halves swapped, a passage of it three times more
+        w = words(rng, 200, "abcdefghijklmnopqrstuvwxyz").split()
+        texts += [" ".join(x) for x in (w, w[100:] + w[:100], w + w[20:60] * 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r["__class"] for r in near_dedup.classes(docs).collect()} == {i: i - i % 3 for i in range(len(texts))}
+
+
 def test_alignment():
     rng = random.Random(2)
     for _ in range(100):
