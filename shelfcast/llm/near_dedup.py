@@ -36,8 +36,10 @@ connected components; a class is named by its smallest ``doc_id``.
 Defined results: a text without words (null, empty) is a class of its own;
 a text of one to four words is one shingle; a null ``doc_id`` orders last and
 stays null in its class's name if it is alone; rows with the same id are
-nodes by their texts; equal rows get equal results; other columns are kept
-by ``classes``; an empty table gives an empty result.
+nodes by their texts; one row stands for a class, also among rows equal in id
+and text (the least by a hash of the other columns, then by the number the
+row got as the table was stored); other columns are kept by ``classes``; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -178,9 +180,18 @@ def _row_key() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("d"), F.xxhash64(text).alias("t")]
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, d, t, o, text, __doc) of each row, stored: ``row`` is its number, ``o`` a hash of the columns
+    besides id and text, ``__doc`` all of ``docs``."""
+    other = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    o = F.xxhash64(F.to_json(F.struct(*other))) if other else F.lit(0).cast("long")
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), *_row_key(), o.alias("o"), "text", doc.alias("__doc")), "near-rows")
+
+
 def sketch_table(docs: DataFrame) -> DataFrame:
-    """(d, t, node, n, keys) of each row; ``node`` is a digest of its words, null
-    without words, ``n`` the number of its different shingles."""
+    """(row, d, t, o, node, n, keys) of each of the ``numbered`` rows; ``node`` is a digest of its
+    words, null without words, ``n`` the number of its different shingles."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -200,13 +211,14 @@ def sketch_table(docs: DataFrame) -> DataFrame:
                     for e, n in zip(stop, count, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays([
-                    b["d"].slice(begin, end - begin), b["t"].slice(begin, end - begin), pa.array(node, pa.binary()),
+                    *(b[c].slice(begin, end - begin) for c in ("row", "d", "t", "o")), pa.array(node, pa.binary()),
                     pa.array([len(np.unique(found[e - m: e])) for e, m in zip(np.cumsum(total), total, strict=True)], pa.int64()),
                     pa.array([next(keys) if n else None for n in count], pa.list_(pa.int64())),
-                ], names=["d", "t", "node", "n", "keys"])
+                ], names=["row", "d", "t", "o", "node", "n", "keys"])
                 begin = end
 
-    return docs.select(*_row_key(), "text").mapInArrow(sketch, "d long, t long, node binary, n long, keys array<long>")
+    return docs.select("row", "d", "t", "o", "text").mapInArrow(
+        sketch, "row long, d long, t long, o long, node binary, n long, keys array<long>")
 
 
 # -- verification ---------------------------------------------------------
@@ -334,8 +346,8 @@ def _labelled(rows: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
-    """Verified (a, b) links of (node, d, t, n, keys) nodes whose components are
-    the classes; ``texts_of`` has (d, t, text)."""
+    """Verified (a, b) links of (node, best, n, keys) nodes whose components are
+    the classes; ``texts_of`` has (row, text)."""
     each = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
     # Support: the sizes of all buckets of a node.
     sizes = each.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
@@ -345,9 +357,9 @@ def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
     pivot = rows.groupBy("bucket").agg(F.max(F.struct("support", "node")).alias("best"))
     rows = stored(rows.join(pivot.select("bucket", F.col("best.node").alias("pivot")), "bucket").drop("support"), "near-rows")
 
-    wanted = stored(nodes.join(support.select("node"), "node", "left_semi").select(F.col("d").alias("__d"), F.col("t").alias("__t"), "node"), "near-wanted")
-    texts = texts_of.join(small_side(wanted), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")))
-    texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
+    wanted = stored(nodes.join(support.select("node"), "node", "left_semi").select(F.col("best.row").alias("__row"), "node"), "near-wanted")
+    texts = texts_of.join(small_side(wanted), F.col("row") == F.col("__row"))
+    texts = stored(texts.select("node", "text"), "near-texts")
 
     # Every row against its bucket's pivot; the pivot is done then.
     rows = rows.where("node <> pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
@@ -376,25 +388,23 @@ def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """``docs`` with ``__class``, the smallest id of the row's class, and
     ``__kept``, whether the row is the one that stands for its class."""
-    table = stored(sketch_table(docs), "near-sketches")
-    nodes = stored(table.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("d", "t")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")
-    ).select("node", F.col("first.d").alias("d"), F.col("first.t").alias("t"), "n", "keys"), "near-nodes")
-    linked = links(nodes, docs.select(*_row_key(), F.coalesce(F.col("text"), F.lit("")).alias("text")))
+    rows = numbered(docs)
+    table = stored(sketch_table(rows), "near-sketches").where("node is not null")
+    nodes = stored(table.groupBy("node").agg(
+        F.min(F.struct("d", "t", "o", "row")).alias("best"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-nodes")
+    linked = links(nodes, rows.select("row", F.coalesce(F.col("text"), F.lit("")).alias("text")))
     labels = components(linked)
-    named = nodes.join(labels, "node", "left").select("node", "d", "t", F.coalesce("label", "node").alias("label"))
-    best = named.groupBy("label").agg(F.min(F.struct("d", "t")).alias("best"))
-    named = stored(named.join(best, "label").select("node", "best"), "near-classes")
-    rows = table.where("node is not null").select("d", "t", "node").distinct().join(named, "node").select(
-        F.col("d").alias("__d"), F.col("t").alias("__t"), "best")
-    own = docs.columns
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("__doc"), *_row_key())
-    joined = keyed.join(small_side(stored(rows, "near-rows")), (F.col("d") == F.col("__d")) & (F.col("t") == F.col("__t")), "left")
-    name = F.coalesce(F.col("best.d"), F.col("d"))
+    named = nodes.join(labels, "node", "left").select("node", "best", F.coalesce("label", "node").alias("label"))
+    best = named.groupBy("label").agg(F.min("best").alias("best"))
+    named = stored(named.drop("best").join(best, "label").select("node", "best.d", "best.row"), "near-classes")
+    named = named.select("node", F.col("d").alias("__d"), F.col("row").alias("__best"))
+    of = stored(table.select(F.col("row").alias("__row"), "node").join(named, "node").drop("node"), "near-of")
+    joined = rows.join(small_side(of), F.col("row") == F.col("__row"), "left")
+    name = F.coalesce("__d", "d")
     return joined.select(
-        *[F.col(f"__doc.`{c}`").alias(c) for c in own],
+        *[F.col("text") if c == "text" else F.col(f"__doc.`{c}`").alias(c) for c in docs.columns],
         F.when(name != LAST_ID, name).alias("__class"),
-        (F.col("best").isNull() | ((F.col("best.d") == F.col("d")) & (F.col("best.t") == F.col("t")))).alias("__kept"),
+        (F.col("__best").isNull() | (F.col("__best") == F.col("row"))).alias("__kept"),
     )
 
 

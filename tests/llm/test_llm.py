@@ -225,6 +225,19 @@ def test_near_duplicates_moved_and_repeated(spark):
     assert {r.doc_id: r["__class"] for r in near_dedup.classes(docs).collect()} == {i: i - i % 3 for i in range(len(texts))}
 
 
+def test_near_duplicates_keep_one_row(spark):
+    """Repeated rows and null ids: one row stays of each class."""
+    rng = random.Random(9)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    rows = [(None, a, s) for s in "xyxzx"] + [(5, b, "x")] * 4 + [(None, b, "x")] * 3 + [(7, c, "y"), (7, c, "x")] + [(None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = near_dedup.classes(docs).collect()
+    assert len(got) == len(rows)
+    kept = collections.Counter((r.doc_id, r.text) for r in got if r["__kept"])
+    assert kept == {(None, a): 1, (5, b): 1, (7, c): 1, (None, None): 1}
+    assert {(r.text, r["__class"]) for r in got} == {(a, None), (b, 5), (c, 7), (None, None)}
+
+
 def test_alignment():
     rng = random.Random(2)
     for _ in range(100):
