@@ -1,17 +1,23 @@
 """Packing with a controlled mixture: deficit round-robin over source queues.
 
-Documents are encoded where they are read and written in chunks of about
-``CHUNK_IDS`` ids (whole documents, any sources).  A chunk is then packed on
+Documents are encoded where they are read and written with the running sum of
+their source's ids.  A document's place in its source's ids, as a share of
+them, says its chunk: each of the ``all ids / CHUNK_IDS`` chunks takes the same
+range of every source (whole documents), so it holds all sources at their
+shares, up to a document a source, however the input is clustered.  A chunk is
+then packed on
 its own: its documents wait in one queue a source, and windows of
 ``WINDOW_SEQUENCES`` sequences are filled by deficit round-robin.  In a
 round every waiting source earns its target share of the room left in the
 window and hands over as many ids as its deficit allows, cutting a document
 where the deficit or the window ends; the rest of the deficit is carried to
 the next window.  A source whose queue is empty earns nothing, and the
-others fill its place.  The stream is cut every ``LENGTH`` ids, so only the
-last sequence of a chunk is padded (at most one in ``CHUNK_IDS / LENGTH``).
+others fill its place, so the end of a chunk is what its documents exceed the
+shares by.  The stream is cut every ``LENGTH`` ids, so only the last sequence
+of a chunk is padded: one a table up to 1.5 ``CHUNK_IDS``, else at most one in
+``CHUNK_IDS / LENGTH / 1.5`` or so, whatever the input's partitions.
 
-Between chunks and partitions the deficits are carried by running sums: a
+Between chunks the deficits are carried by running sums: a
 source starts a chunk with its share of all ids before the chunk less its
 own ids before it.  Targets are the sources' shares of all ids, so that
 every queue lasts; other targets may be given.
@@ -19,7 +25,8 @@ every queue lasts; other targets may be given.
 Defined results: null or empty text has the end id only; a null source is a
 queue like any other; repeated rows are packed each; other columns are
 ignored; an empty table gives an empty result.  Which documents share a
-chunk follows the input's partitions.
+chunk follows the input's order; a source of few documents, or one longer than
+a chunk, isn't in every chunk.
 """
 
 from __future__ import annotations
@@ -43,13 +50,7 @@ CHUNK_IDS = 2_000_000
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 
-CHUNK_SCHEMA = (
-    "part long, chunk long, before long, doc_ids array<long>, sources array<string>, lengths array<long>, ids binary"
-)
-_ARROW = pa.schema([
-    ("part", pa.int64()), ("chunk", pa.int64()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-    ("sources", pa.list_(pa.string())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()),
-])
+ENCODED_SCHEMA = "part long, row long, doc_id long, source string, before long, n long, ids binary"
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 )
@@ -113,71 +114,71 @@ def sequences(pieces: list[Piece], length: int) -> list[tuple[int, int, int, int
     return out
 
 
-def write_chunks(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID, chunk_ids: int = CHUNK_IDS) -> None:
-    """Encode ``docs`` (doc_id, text, source) and write their chunks at ``path``."""
+def write_encoded(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID) -> None:
+    """Encode ``docs`` (doc_id, text, source) at ``path``; ``before`` counts the source's ids earlier in the partition."""
 
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number, before, held = TaskContext.get().partitionId(), 0, 0, 0
-        rows: list[tuple[int | None, str | None, np.ndarray]] = []
+        part, row = TaskContext.get().partitionId(), 0
+        so_far: dict[str | None, int] = {}
         end = np.array([end_id], np.uint16)
-
-        def close() -> pa.RecordBatch:
-            nonlocal number, before, held
-            out = pa.RecordBatch.from_pylist([{
-                "part": part, "chunk": (part << 20) + number, "before": before,
-                "doc_ids": [r[0] for r in rows], "sources": [r[1] for r in rows], "lengths": [len(r[2]) for r in rows],
-                "ids": np.concatenate([r[2] for r in rows]).astype("<u2").tobytes(),
-            }], schema=_ARROW)
-            number, before, held = number + 1, before + held, 0
-            rows.clear()
-            return out
-
         for b in batches:
             encoded = encoder(vocabulary, False).encode(b["text"].to_pylist())
-            for doc_id, source, x in zip(b["doc_id"].to_pylist(), b["source"].to_pylist(), encoded, strict=True):
-                rows.append((doc_id, source, np.concatenate([x, end])))
-                held += len(x) + 1
-                if held >= chunk_ids:
-                    yield close()
-        if rows:
-            yield close()
+            before, n = [], []
+            for source, x in zip(b["source"].to_pylist(), encoded, strict=True):
+                n.append(len(x) + 1)
+                before.append(so_far.get(source, 0))
+                so_far[source] = before[-1] + n[-1]
+            ids = [np.concatenate([x, end]).astype("<u2").tobytes() for x in encoded]
+            rows = range(row, row + b.num_rows)
+            row += b.num_rows
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part] * b.num_rows, pa.int64()), pa.array(rows, pa.int64()), b["doc_id"], b["source"],
+                pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
+            ], names=[f.split()[0] for f in ENCODED_SCHEMA.split(", ")])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"))
-    plain.mapInArrow(chunks, CHUNK_SCHEMA).write.option("compression", "none").parquet(path)
+    plain.mapInArrow(encode, ENCODED_SCHEMA).write.option("compression", "none").parquet(path)
+
+
+def dealt(encoded: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """``encoded`` with ``chunk``: equal ranges of each source's ids."""
+    own = stored(encoded.groupBy("part", "source").agg(F.sum("n").alias("own")), "pack-parts")
+    chunks = max(1, round((own.agg(F.sum("own")).first()[0] or 0) / chunk_ids))
+    by_source = Window.partitionBy("source")  # one row an input partition
+    earlier = by_source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    places = stored(own.select(
+        F.col("part").alias("__p"), F.col("source").alias("__s"), F.sum("own").over(by_source).alias("__all"),
+        F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("__before")), "pack-places")
+    at = (F.col("__before") + F.col("before")) / F.col("__all")
+    joined = encoded.join(small_side(places), (F.col("part") == F.col("__p")) & F.col("source").eqNullSafe(F.col("__s")))
+    return joined.withColumn("chunk", F.least(F.floor(at * chunks), F.lit(chunks - 1)).cast("long")).drop("__p", "__s", "__all", "__before")
 
 
-def chunk_shares(chunks: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+def chunk_shares(documents: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """(chunk, queue): for each source of a chunk its share and the deficit it starts with.
 
-    ``targets`` (source, share) replaces the sources' shares of all ids.
+    ``documents`` has (chunk, source, n); ``targets`` (source, share) replaces
+    the sources' shares of all ids.
     """
-    each = chunks.select("part", "chunk", F.explode(F.arrays_zip("sources", "lengths")).alias("d"))
-    own = stored(each.groupBy("part", "chunk", F.col("d.sources").alias("source")).agg(F.sum("d.lengths").alias("n")), "pack-counts")
+    own = stored(documents.groupBy("chunk", "source").agg(F.sum("n").alias("n")), "pack-counts")
     if targets is None:
         by_source = own.groupBy("source").agg(F.sum("n").alias("n"))
         everything = own.agg(F.sum("n").alias("all"))
         targets = by_source.crossJoin(F.broadcast(everything)).select("source", (F.col("n") / F.col("all")).alias("share"))
     before = (Window.unboundedPreceding, -1)
-    parts = own.groupBy("part").agg(F.sum("n").alias("n"))  # one row an input partition
-    parts = parts.select(F.col("part").alias("__p"), F.coalesce(
-        F.sum("n").over(Window.orderBy("part").rowsBetween(*before)), F.lit(0)).alias("all_before"))
-    by_part = own.groupBy("part", "source").agg(F.sum("n").alias("n")).select(
-        F.col("part").alias("__q"), F.col("source").alias("__s"),
-        F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(*before)), F.lit(0)).alias("own_before"))
-    in_part = own.withColumn("own_in_part", F.coalesce(
-        F.sum("n").over(Window.partitionBy("part", "source").orderBy("chunk").rowsBetween(*before)), F.lit(0)))
+    whole = own.groupBy("chunk").agg(F.sum("n").alias("n"))  # one row a chunk
+    whole = whole.select(F.col("chunk").alias("__c"), F.coalesce(
+        F.sum("n").over(Window.orderBy("chunk").rowsBetween(*before)), F.lit(0)).alias("all_before"))
+    # A source absent from a chunk has no ids in it, so its running sum needs no row there.
+    summed = own.withColumn("own_before", F.coalesce(
+        F.sum("n").over(Window.partitionBy("source").orderBy("chunk").rowsBetween(*before)), F.lit(0)))
     t = targets.select(F.col("source").alias("__t"), "share")
-    counted = (
-        in_part.join(small_side(parts), F.col("part") == F.col("__p"))
-        .join(by_part, (F.col("part") == F.col("__q")) & F.col("source").eqNullSafe(F.col("__s")))
-        .join(small_side(t), F.col("source").eqNullSafe(F.col("__t")), "left")
-        .join(chunks.select(F.col("chunk").alias("__c"), "before"), F.col("chunk") == F.col("__c"))
-    )
+    counted = summed.join(small_side(whole), F.col("chunk") == F.col("__c")).join(
+        small_side(t), F.col("source").eqNullSafe(F.col("__t")), "left")
     share = F.coalesce("share", F.lit(0.0))
-    deficit = share * (F.col("all_before") + F.col("before")) - F.col("own_before") - F.col("own_in_part")
-    entry = F.struct("source", share.alias("share"), deficit.alias("deficit"))
+    entry = F.struct("source", share.alias("share"), (share * F.col("all_before") - F.col("own_before")).alias("deficit"))
     return counted.groupBy("chunk").agg(F.collect_list(entry).alias("queues"))
 
 
@@ -185,32 +186,33 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, window_sequence
          chunk_ids: int = CHUNK_IDS, targets: DataFrame | None = None) -> DataFrame:
     """The pieces of all ``docs`` (doc_id, text, source)."""
     spark = docs.sparkSession
-    path = shared_path(spark, "pack-chunks")
-    write_chunks(docs, vocabulary, path, chunk_ids=chunk_ids)
-    chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
-    shares = stored(chunk_shares(chunks, targets), "pack-shares").withColumnRenamed("chunk", "__chunk")
-    ready = chunks.join(small_side(shares), F.col("chunk") == F.col("__chunk")).select(
-        "chunk", "doc_ids", "sources", "lengths", "ids", "queues")
+    path = shared_path(spark, "pack-encoded")
+    write_encoded(docs, vocabulary, path)
+    documents = dealt(spark.read.schema(ENCODED_SCHEMA).parquet(path), chunk_ids)
+    shares = stored(chunk_shares(documents.select("chunk", "source", "n"), targets), "pack-shares").withColumnRenamed("chunk", "__chunk")
+    doc = F.struct("part", "row", "doc_id", "source", "n", "ids")
+    chunks = documents.repartition("chunk").groupBy("chunk").agg(F.sort_array(F.collect_list(doc)).alias("docs"))
+    ready = chunks.join(small_side(shares), F.col("chunk") == F.col("__chunk")).select("chunk", "docs", "queues")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                row = {c: b[c][i].as_py() for c in ("chunk", "doc_ids", "sources", "lengths", "queues")}
-                ids = memoryview(np.frombuffer(b["ids"][i].as_py(), "<u2").astype("<u4").tobytes())
-                lengths = row["lengths"]
-                shares = {q["source"]: q["share"] for q in row["queues"]}
-                carried = {q["source"]: q["deficit"] for q in row["queues"]}
-                order = round_robin(row["sources"], lengths, shares, carried, length * window_sequences)
+                chunk, queues = b["chunk"][i].as_py(), b["queues"][i].as_py()
+                _, _, doc_ids, sources, lengths, ids = (x.to_pylist() for x in b["docs"][i].values.flatten())
+                ids = memoryview(np.frombuffer(b"".join(ids), "<u2").astype("<u4").tobytes())
+                shares = {q["source"]: q["share"] for q in queues}
+                carried = {q["source"]: q["deficit"] for q in queues}
+                order = round_robin(sources, lengths, shares, carried, length * window_sequences)
                 cut = sequences(order, length)
                 first = np.cumsum([0, *lengths])
                 crc = [zlib.crc32(ids[4 * (first[d] + s): 4 * (first[d] + s + n)]) for d, s, n, _, _ in cut]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["doc_ids"][c[0]] for c in cut], pa.int64()),
+                    pa.array([doc_ids[c[0]] for c in cut], pa.int64()),
                     pa.array([c[1] for c in cut], pa.int64()), pa.array([c[2] for c in cut], pa.int64()),
                     pa.array(crc, pa.int64()), pa.array([lengths[c[0]] for c in cut], pa.int64()),
-                    pa.array([(row["chunk"] << 20) + c[3] for c in cut], pa.int64()),
+                    pa.array([(chunk << 20) + c[3] for c in cut], pa.int64()),
                     pa.array([c[4] for c in cut], pa.int64()),
-                    pa.array([row["sources"][c[0]] for c in cut], pa.string()),
+                    pa.array([sources[c[0]] for c in cut], pa.string()),
                 ], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
 
     return ready.mapInArrow(pieces, PIECE_SCHEMA)

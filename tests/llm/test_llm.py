@@ -307,6 +307,35 @@ def test_packing(docs, rows):
         assert (g.offset.to_numpy() == np.cumsum(g.length) - g.length).all() and g.length.sum() <= 2048
 
 
+def test_packing_mixes_a_table_sorted_by_source(spark):
+    """Windows hold every source near its share of all ids, whatever the input's order."""
+    rng = random.Random(12)
+    rows = [(i, words(rng, rng.randint(20, 60)), "abc"[0 if i < 1000 else 1 if i < 1800 else 2]) for i in range(3000)]
+    rows[1] = rows[2] = rows[0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).sortWithinPartitions("source")
+    docs = docs.repartitionByRange(6, "source")
+    out = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), length=256, window_sequences=8, chunk_ids=60_000).toPandas()
+    share = out.groupby("source").length.sum() / out.length.sum()
+    out["chunk"] = out.sequence_id // 2**20
+    out["window"] = out.sequence_id % 2**20 // 8
+    off = []
+    for _, chunk in out.groupby("chunk"):
+        last = chunk.window.max()
+        for w, g in chunk.groupby("window"):
+            if w < last - 1:  # the end of a chunk is what it holds above the shares
+                off.append(max(abs(g[g.source == s].length.sum() / g.length.sum() - share[s]) for s in "abc"))
+    print(len(off), max(off), np.mean(off))
+    assert len(off) > 20 and max(off) < 0.1 and np.mean(off) < 0.02
+    padded = (out.groupby("sequence_id").length.sum() < 256).sum()
+    assert padded <= 2 * out.chunk.nunique()
+
+
+def test_packing_small_partitions_pad_once(spark):
+    docs = spark.createDataFrame([(i, "some words of text " * 5, "a") for i in range(64)], "doc_id long, text string, source string")
+    out = packing.pack(docs.repartition(16), public_tokenizers.path("byte_bpe_50k.json")).toPandas()
+    assert (out.groupby("sequence_id").length.sum() < 2048).sum() == 1
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((400, 16)).astype("f4")
