@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import read_table, stored, word_array
+from shelfcast.llm.common import read_table, stored
 from shelfcast.llm.language_id import identify, train
 from shelfcast.llm.line_dedup import dedup_lines
 from shelfcast.llm.mixing import mix
@@ -43,17 +43,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it.
 
-    Documents equal in id, source and number of words get the same number of
-    copies, the largest of theirs.
+    Rows get a number as the stage's input is stored, so each has its own copies.
     """
-    key = ["doc_id", "source", "size"]
-    copies = stored(mix(docs).groupBy(*key).agg(F.max("copies").alias("copies")).where("copies > 0"), "pipeline-copies")
-    copies = copies.select(*[F.col(c).alias(f"__{c}") for c in key], "copies")
-    sized = docs.withColumn("__words", F.size(word_array(F.col("text"))).cast("long"))
-    taken = sized.join(
-        small_side(copies),
-        F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source"))
-        & (F.col("__words") == F.col("__size")))
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    copies = stored(mix(rows, "__row").where("copies > 0").select(F.col("__row").alias("__of"), "copies"), "pipeline-copies")
+    taken = rows.join(small_side(copies), F.col("__row") == F.col("__of"))
     return taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).drop("__copy")
 
 

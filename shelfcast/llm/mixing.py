@@ -14,12 +14,15 @@ leaves at most one fractional document; the leftovers of all chunks are
 dealt again until a source has one chunk, where the last documents are
 rounded one by one, the larger first, each making up for those before.  A source with a third of all rows is only more chunks.
 Each level is written to the shared folder, so a lost executor repeats one
-level's part at most.  All draws are hashes of the document and the level:
-reruns agree.
+level's part at most.  A document is told from others by its id, source, size,
+a hash of its text and, among rows equal in those, a number counted in two
+steps (inside an input partition, and the equal rows of those before).  All
+draws and chunks are hashes of that key and the level: reruns agree, and equal
+rows are drawn each on their own.
 
 Defined results: null text has size 0, a document of size 0 takes 0 words;
 null sources form one source, last in order; a null ``doc_id`` is an id like
-any other; rows equal in id, source and size are interchangeable.  An empty
+any other; rows equal in id, source and text are interchangeable.  An empty
 table gives an empty result; if all sizes are 0 all targets are 0.
 """
 
@@ -35,6 +38,7 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 CHUNK = 64
 SEED = 20
+KEY = ("doc_id", "source", "size", "t", "number")  # of a row; without the number, equal rows share it
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -68,7 +72,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return shared.select("source", "source_size", F.coalesce(target, F.col("limit")).alias("target"))
 
 
-_DOC = "struct<doc_id:bigint,source:string,size:bigint,source_size:bigint,target:double>"
+_DOC = "struct<doc_id:bigint,source:string,size:bigint,source_size:bigint,target:double,t:bigint,number:bigint,row:bigint>"
 _ROW = f"struct<doc:{_DOC},draw:double,p:double>"
 
 
@@ -133,7 +137,7 @@ def _land(rows: Column) -> Column:
 
 def _level(rows: DataFrame, level: int) -> DataFrame:
     """One level of the tree: the fractional rows dealt to chunks and rounded."""
-    key = [F.col("doc.doc_id"), F.col("doc.source"), F.col("doc.size")]
+    key = [F.col(f"doc.{c}") for c in KEY]
     chunk = F.pmod(F.xxhash64(F.lit(SEED + 100 + level), *key), F.col("chunks"))
     item = F.struct(F.col("doc").alias("doc"), uniform(*key, seed=SEED + 200 + level).alias("draw"), F.col("p").alias("p"))
     grouped = rows.groupBy(F.col("doc.source").alias("__source"), chunk.alias("__chunk")).agg(
@@ -144,19 +148,44 @@ def _level(rows: DataFrame, level: int) -> DataFrame:
     return grouped.select(F.when(F.col("chunks") == 1, _land(items)).otherwise(_fold(items)).alias("folded"), "chunks")
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) per row of ``docs``.
+def numbered(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``number``, 0, 1, ... among the rows equal in the rest of ``KEY``.
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are ignored.
+    ``row`` is different everywhere and has the input partition above bit 33.
+    """
+    equal = [c for c in KEY if c != "number"]
+    sizes = sizes.withColumn("part", F.shiftright("row", 33))
+    counts = sizes.groupBy(*equal, "part").agg(F.count("*").alias("rows"))
+    earlier = Window.partitionBy(*equal).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a partition for equal rows; only those that go on in another partition count before it.
+    counts = counts.withColumn("earlier", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).where("earlier > 0")
+    counts = stored(counts.select(*[F.col(c).alias(f"__{c}") for c in (*equal, "part")], "earlier"), "mix-equal")
+    same = F.lit(True)
+    for c in (*equal, "part"):
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    inside = F.row_number().over(Window.partitionBy(*equal, "part").orderBy("row")) - 1
+    ranked = sizes.withColumn("inside", inside).join(small_side(counts), same, "left")
+    return ranked.select(*equal, "row", (F.col("inside") + F.coalesce("earlier", F.lit(0))).cast("long").alias("number"))
+
+
+def mix(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) per row of ``docs``, and ``row`` if given.
+
+    ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are
+    ignored.  ``row`` names a column with a ``monotonically_increasing_id``
+    of each row.
     """
     spark = docs.sparkSession
     sizes = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.size(word_array(F.col("text"))).cast("long").alias("size"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("t"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
     ), "mix-sizes")
     targets = stored(source_targets(sizes), "mix-targets")
+    sizes = stored(numbered(sizes), "mix-numbered")
     t = targets.select(F.col("source").alias("__s"), "source_size", "target")
-    doc = F.struct("doc_id", "source", "size", "source_size", "target")
+    doc = F.struct("doc_id", "source", "size", "source_size", "target", "t", "number", "row")
     ratio = F.col("target") / F.nullif(F.col("source_size"), F.lit(0))
     wanted = sizes.join(small_side(t), F.col("source").eqNullSafe(F.col("__s"))).select(
         doc.alias("doc"), F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.coalesce(ratio, F.lit(0.0))).alias("ratio"))
@@ -186,7 +215,7 @@ def mix(docs: DataFrame) -> DataFrame:
             rows = left.withColumn("chunks", F.ceil(F.col("chunks") / F.lit(CHUNK)).cast("long"))
     ratio = F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.coalesce(ratio, F.lit(0.0)))
     return decided.select("doc.*", "p").select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", *([F.col("row").alias(row)] if row else []),
         (F.floor(ratio) + F.round("p")).cast("long").alias("copies"))
 
 

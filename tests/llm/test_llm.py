@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from shelfcast.llm import language_id, line_dedup, mixing, near_dedup, packing, passage_dedup, quality_rules, secret_scan
 from shelfcast.llm import token_files, vector_search
 from shelfcast.llm.wordcache import WordCache
@@ -103,6 +104,22 @@ def test_mixing(docs, spark):
     assert mixing.mix(docs).count() == 17
 
 
+def test_mixing_of_equal_rows(spark):
+    """Rows without an id, and equal rows, are drawn each on their own: sources meet their targets."""
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).alias("doc_id"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")).alias("source"),
+        F.when(F.col("id") % 2 == 0, F.lit("same words in all of these")).otherwise(F.concat(F.lit("text "), "id", F.lit(" of four"))).alias("text")).repartition(5)
+    target = {r.source: r.target for r in mixing.mix(docs).select("source", "target").distinct().collect()}
+    sizes = docs.select("source", F.size(F.split("text", " ")).alias("n"))
+    assert len(target) == 3 and abs(sum(target.values()) - sizes.agg(F.sum("n")).first()[0]) < 1e-6
+    taken = corpus_pipeline.mix_sources(spark, docs, "").select("source", F.size(F.split("text", " ")).alias("n"))
+    for r in taken.groupBy("source").agg(F.sum("n").alias("n")).collect():
+        assert abs(r.n - target[r.source]) <= 6
+    numbers = mixing.numbered(docs.select("doc_id", "source", F.lit(1).cast("long").alias("size"), F.xxhash64("text").alias("t"), F.monotonically_increasing_id().alias("row")))
+    groups = numbers.groupBy("doc_id", "source", "size", "t").agg(F.sort_array(F.collect_list("number")).alias("own")).collect()
+    assert all(g.own == list(range(len(g.own))) for g in groups) and max(len(g.own) for g in groups) > 300
+
+
 def test_language(spark):
     rng = random.Random(5)
     rows = [(i, words(rng, 40, "abcdefg" if i % 2 else "mnopqrs"), "x" if i % 2 else "y") for i in range(300)] + [(900, None, "x"), (901, "12", None)]
