@@ -4,17 +4,21 @@ Three fixed patterns give the base spans (kinds ``assign``, ``access`` and
 ``hex``); matches are leftmost and non-overlapping per kind, and a match
 that fails its length is dropped after it has used up its characters.
 
-The method adds spans of kinds ``entropy16`` and ``entropy64``: candidate
-strings are runs of base-64 alphabet characters; over a candidate slides a
-window of ``Class.window`` characters of the class, and the window's Shannon
-entropy is kept up to date by the counts of the one character that enters
-and the one that leaves.  Windows at or above the class's threshold are
-merged into one span.  Hexadecimal candidates are judged as the hex class,
-others as the base-64 class, which also asks for digits and both letter
-cases in the window.  The allow list suppresses added spans (never base
-ones): UUIDs, runs of one repeated unit, ascending or descending runs of
-code points, and placeholders.  An added span inside a base span is not
-reported again.
+The method adds spans of kinds ``entropy16``, ``entropy36`` and ``entropy64``:
+candidate strings are runs of base-64 alphabet characters.  In a candidate,
+every maximal run of a class's characters is scored by itself: hexadecimal
+digits in one case, letters of one case with digits, and the whole alphabet.
+Over a run slides a window of ``Class.window`` characters, and the window's
+Shannon entropy is kept up to date by the counts of the one character that
+enters and the one that leaves.  Windows at or above the class's threshold are
+merged into one span.  A base-36 span must hold a digit and a letter, a base-64
+span a digit and both letter cases.  The allow list suppresses added spans
+(never base ones): UUIDs and words with a placeholder in them (``your_`` with
+the short words after it) are cut out of the candidate, and what stands beside
+them is scored; spans that are runs of one repeated unit or ascending or
+descending code points are dropped.  An added span inside a base span or
+another added one is not reported again; of equal ones the narrower class's
+stays.
 
 Spans are code points, end exclusive, of the whole match.  Defined results:
 null or empty text has no span; repeated rows are scanned alike; other
@@ -41,15 +45,13 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs: as long runs of [0-9a-f]+
 ASSIGN_CHARS, ACCESS_CHARS = 6, 20
-KINDS = ("assign", "access", "hex", "entropy16", "entropy64")
+KINDS = ("assign", "access", "hex", "entropy16", "entropy64", "entropy36")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
-ALLOWED = (
-    re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}\Z"),
-    re.compile(r"(.{1,8}?)\1{2,}.{0,8}\Z"),
-    re.compile(r"(?i)(?:.*(?:example|placeholder|changeme|xxxx|your[_-]))"),
-)
+UUID = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}(?![0-9A-Za-z])")
+YOUR = re.compile(r"(?i)(?<![A-Za-z0-9])your[_-](?:[A-Za-z0-9]{1,19}(?![A-Za-z0-9])[_-]?)*")
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|changeme|xxxx")
+REPEATED = re.compile(r"(.{1,8}?)\1{2,}.{0,8}\Z")
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,13 @@ class Class:
 
 
 HEX_CLASS = Class("entropy16", 20, 3.1)
+BASE36_CLASS = Class("entropy36", 20, 3.5)
 BASE64_CLASS = Class("entropy64", 20, 3.7)
+RUNS = (  # narrower classes first
+    (HEX_CLASS, re.compile(r"[0-9a-f]{20,}")), (HEX_CLASS, re.compile(r"[0-9A-F]{20,}")),
+    (BASE36_CLASS, re.compile(r"[0-9a-z]{20,}")), (BASE36_CLASS, re.compile(r"[0-9A-Z]{20,}")),
+    (BASE64_CLASS, CANDIDATE),
+)
 
 # c * log2(c) for the counts in a window.
 _XLOGX = tuple(0.0 if c < 2 else c * math.log2(c) for c in range(65))
@@ -68,8 +76,12 @@ _XLOGX = tuple(0.0 if c < 2 else c * math.log2(c) for c in range(65))
 Span = tuple[int, int, int]  # start, kind index, end
 
 
-def _mixed(window: str) -> bool:
-    return any(c.isdigit() for c in window) and any(c.isupper() for c in window) and any(c.islower() for c in window)
+def _mixed(span: str, cls: Class) -> bool:
+    """Whether a span holds the kinds of characters that its class asks for."""
+    if cls is HEX_CLASS:
+        return True
+    upper, lower = any(c.isupper() for c in span), any(c.islower() for c in span)
+    return any(c.isdigit() for c in span) and (upper and lower if cls is BASE64_CLASS else upper or lower)
 
 
 def _ladder(s: str) -> bool:
@@ -102,8 +114,29 @@ def entropy_spans(s: str, cls: Class) -> list[tuple[int, int]]:
 
 
 def allowed(s: str) -> bool:
-    """Whether the allow list knows a candidate as harmless."""
-    return any(p.match(s) for p in ALLOWED) or _ladder(s)
+    """Whether the allow list knows a span as harmless."""
+    return bool(UUID.fullmatch(s) or REPEATED.match(s)) or _ladder(s)
+
+
+def unlisted(s: str) -> list[tuple[int, int]]:
+    """[start, end) of a candidate's parts between UUIDs and placeholder words."""
+    cuts = [m.span() for p in (UUID, YOUR) for m in p.finditer(s)]
+    end = 0
+    for m in PLACEHOLDER.finditer(s):
+        if m.start() < end:
+            continue
+        start, end = m.span()
+        while start and s[start - 1].isalnum():
+            start -= 1
+        while end < len(s) and s[end].isalnum():
+            end += 1
+        cuts.append((start, end))
+    out, at = [], 0
+    for a, b in sorted(cuts):
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, len(s))]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -117,16 +150,24 @@ def base_spans(text: str) -> list[Span]:
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans of the entropy windows that no base span holds."""
-    out = []
+    out: list[Span] = []
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        hexadecimal = bool(HEX_ONLY.match(s))
-        if allowed(s) or not (hexadecimal or _mixed(s)):
-            continue
-        cls = HEX_CLASS if hexadecimal else BASE64_CLASS
-        for a, b in entropy_spans(s, cls):
-            if hexadecimal or _mixed(s[a:b]):
-                out.append((m.start() + a, KINDS.index(cls.kind), m.start() + b))
+        found = []
+        for first, last in unlisted(m[0]):
+            part = m[0][first:last]
+            for order, (cls, run) in enumerate(RUNS):
+                for r in run.finditer(part):
+                    if not _mixed(r[0], cls):
+                        continue
+                    for a, b in entropy_spans(r[0], cls):
+                        if _mixed(r[0][a:b], cls) and not allowed(r[0][a:b]):
+                            start = m.start() + first + r.start()
+                            found.append((start + a, -(start + b), order))
+        end = 0
+        for a, b, order in sorted(found):
+            if -b > end:  # else inside an earlier one
+                end = -b
+                out.append((a, KINDS.index(RUNS[order][0].kind), end))
     return [x for x in out if not any(y[0] <= x[0] and x[2] <= y[2] for y in base)]
 
 

@@ -79,6 +79,24 @@ def test_entropy_windows():
     assert secret_scan.added_spans(f"key {key} end", []) == [(4, 4, 24)]
 
 
+def test_secrets_of_each_class_in_a_candidate():
+    def found(text):
+        return [(secret_scan.KINDS[k], text[a:b]) for a, k, b in secret_scan.added_spans(text, secret_scan.base_spans(text))]
+
+    upper, lower, base36 = "9F86D081884C7D659A2FEAA0C55AD015", "9f86d081884c7d659a2fea", "3ax6xnjp29jd6fds4gc373sgvjxteol0"
+    key = "q7Zt9Lk2Xw5Rb8Nv3Mc6Yd4Hf1Js0Gp+Ta/UeVoBi"
+    assert found(f"KEY={upper}") == found(upper) == [("entropy16", upper)]
+    assert found(f"id-{lower}") == [("entropy16", lower)]
+    assert found(f"key-{base36} end") == [("entropy36", base36)]
+    assert found(f"K_{base36.upper()}") == [("entropy36", base36.upper())]
+    for before in ("/docs/example/", "your_key=", "example-", "/u/123e4567-e89b-12d3-a456-426614174000/"):
+        got = found(before + key)
+        assert len(got) == 1 and got[0][0] == "entropy64" and got[0][1].endswith(key)
+    for harmless in ("123E4567-e89b-12d3-a456-426614174000", "id=123E4567-e89b-12d3-a456-426614174000", "your_Api-Key-goes-Here-1234", "Ab1" * 12,
+                     "abcdefghijklmnopqrstuvwxyz0123456789", "Q7zt9Lk2Xw5Rb8Nv3EXAMPLEKEY", "the-quick-brown-fox-jumps-over", "x" * 50):
+        assert found(harmless) == []
+
+
 def test_quality_repeats(docs, rows):
     got = {r["__doc"].doc_id: r for r in quality_rules.judge(docs.select("doc_id", "text", "words")).collect()}
     for doc_id, text, *_ in rows:
