@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .importance_sampling import op13_importance_resampling
 from .language_id import op5_language_id
 from .line_dedup import op7_line_dedup
 from .mixing import op4_mix_sources
@@ -22,8 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_token_files, op3_quality_rules, op4_mix_sources, op5_language_id, op6_passage_dedup,
-        op7_line_dedup,
-        op8_nearest_vectors, op9_near_dedup, op10_pack_sequences,
+        op7_line_dedup, op8_nearest_vectors, op9_near_dedup, op10_pack_sequences, op13_importance_resampling,
     )
 }
 
