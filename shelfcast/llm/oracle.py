@@ -79,4 +79,32 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM j GROUP BY rid, doc_id
 """
 
-SQL = {"op3_quality_rules": QUALITY_RULES, "op7_line_dedup": LINE_DEDUP}
+LEXICAL_SEARCH = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper_case, 'abcdefghijklmnopqrstuvwxyz' AS lower_case),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, upper_case, lower_case), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents, letters
+),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_words FROM d WHERE len(words) > 0),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, upper_case, lower_case), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark, letters
+),
+p AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL
+),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), totals
+),
+s AS (
+  SELECT item_id, doc_id,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN w USING (term), totals GROUP BY item_id, doc_id
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM r WHERE place <= 50
+"""
+
+SQL = {"op3_quality_rules": QUALITY_RULES, "op7_line_dedup": LINE_DEDUP, "op12_lexical_search": LEXICAL_SEARCH}
