@@ -23,8 +23,8 @@ else, so the parts between them are encoded on their own.  Decoding looks up
 the bytes of each id; bytes that aren't UTF-8 become U+FFFD as the library
 has it.
 
-Memory: slices of ``SLICE_BYTES`` of text, or the longest text, times a small
-factor.  No shuffle: a lost task is run again on its input partition.
+Memory: slices of ``SLICE_BYTES`` of text (``SLICE_IDS`` ids when decoding),
+or the longest text, times a small factor.  No shuffle: a lost task is run again on its input partition.
 
 Defined results: a null text is empty, an empty text has no ids and decodes
 to the empty text; a null or repeated ``doc_id`` is kept as it is, each row on
@@ -50,7 +50,8 @@ VOCABULARY = "byte_bpe_50k.json"
 WINDOW = 16
 BITS = 8
 REMEMBERED = 32_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+SLICE_IDS = 300_000
 _SPACE, _LETTER, _DIGIT, _SIGN = 1, 2, 3, 4
 
 
@@ -292,6 +293,18 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def _by_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of about ``SLICE_IDS`` ids (at least a row)."""
+    for batch in batches:
+        ends = np.cumsum(batch.column("ids").value_lengths().fill_null(0).to_numpy().astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(ends, before + SLICE_IDS, "right")))
+            yield batch.slice(begin, stop - begin)
+            begin = stop
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` and the ``text`` of its ``ids``, special tokens as their strings."""
     schema = encoded.schema.simpleString()[len("struct<"):-1]
@@ -301,15 +314,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         size = np.array([len(s) for s in spelling], np.int64)
         letters = np.frombuffer(b"".join(spelling), np.uint8)
         at = np.cumsum(size) - size
-        for batch in batches:
-            ids = batch.column("ids").flatten().to_numpy()
-            count = batch.column("ids").value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        for part in _by_ids(batches):
+            ids = part.column("ids").flatten().to_numpy()
+            count = part.column("ids").value_lengths().fill_null(0).to_numpy().astype(np.int64)
             n = size[ids]
-            run_length = np.cumsum(n)
-            data = letters[np.repeat(at[ids] - (run_length - n), n) + np.arange(int(n.sum()))].tobytes()
-            ends = np.concatenate([[0], run_length])[np.cumsum(count)].tolist()
+            stop = np.cumsum(n)
+            data = letters[np.repeat(at[ids] - (stop - n), n) + np.arange(int(n.sum()))].tobytes()
+            ends = np.concatenate([[0], stop])[np.cumsum(count)].tolist()
             texts = [data[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            yield batch.append_column("text", pa.array(texts, pa.string()))
+            yield part.append_column("text", pa.array(texts, pa.string()))
 
     return encoded.mapInArrow(run, f"{schema}, text string")
 
