@@ -10,10 +10,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sources.dates import ISO, observe_rejected, parse_date, spellings, text_dates
+
 S, I, L, D, B, DT, TS = (
     T.StringType(),
     T.IntegerType(),
@@ -165,8 +167,10 @@ def truthy(col: Column) -> Column:
     return F.coalesce(F.lower(F.trim(col.cast("string"))).isin(*TRUTHY_WORDS), F.lit(False))
 
 
-def coerce(col: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Tolerant cast: unparseable values become NULL, NaN becomes NULL."""
+def coerce(col: Column, source: T.DataType, target: T.DataType, spelling: str = "iso") -> Column:
+    """Tolerant cast: unparseable values become NULL, NaN becomes NULL.
+
+    ``spelling`` says how text spells dates (``sources.dates``)."""
     if source == target and not isinstance(target, (T.DoubleType, T.FloatType)):
         return col
     if isinstance(target, T.BooleanType):
@@ -184,7 +188,7 @@ def coerce(col: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.DateType):
         if isinstance(source, (T.TimestampType, T.TimestampNTZType)):
             return col.cast("date")
-        return F.coalesce(col.try_cast("date"), F.try_to_timestamp(col.cast("string")).cast("date"))
+        return parse_date(col, spelling)
     if isinstance(target, T.TimestampNTZType):
         if isinstance(source, T.TimestampNTZType):
             return col
@@ -196,11 +200,28 @@ def coerce(col: Column, source: T.DataType, target: T.DataType) -> Column:
     return col.cast(target)
 
 
-def cast_to_contract(df: DataFrame, contract: Contract, what: str | None = None) -> DataFrame:
-    """Rename -> required-column check -> tolerant cast -> contract order."""
+def date_columns(contract: Contract) -> list[str]:
+    return [f.name for f in contract.columns.fields if isinstance(f.dataType, T.DateType)]
+
+
+def cast_to_contract(df: DataFrame, contract: Contract, what: str | None = None,
+                     date_spellings: dict[str, str] | None = None, rejected: Observation | None = None) -> DataFrame:
+    """Rename -> required-column check -> tolerant cast -> contract order.
+
+    Text dates are read in the spelling that a vote over the column finds
+    (one job), or in those given by ``date_spellings`` (no job; columns not
+    named there are ISO).  ``rejected`` counts, by date column, the values
+    that were not read, in the job that writes the frame.
+    """
     named = normalise_columns(df, contract.names)
     require_columns(named, contract.names, what or contract.file_name)
     types = {f.name: f.dataType for f in named.schema.fields}
+    if date_spellings is None:
+        date_spellings = spellings(named, date_columns(contract))
+    if rejected is not None:
+        text = text_dates(named, date_columns(contract))
+        named = observe_rejected(named, {c: date_spellings.get(c, ISO) for c in text}, rejected)
     return named.select(
-        *[coerce(F.col(f.name), types[f.name], f.dataType).alias(f.name) for f in contract.columns.fields]
+        *[coerce(F.col(f.name), types[f.name], f.dataType, date_spellings.get(f.name, ISO)).alias(f.name)
+          for f in contract.columns.fields]
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import coerce, normalise_columns, require_columns
+from ..sources.dates import ISO, spellings
 
 # Source file names of the public weekly sales data set.
 SOURCE_FILES = {"sales": "train.csv", "stores": "stores.csv", "features": "features.csv"}
@@ -33,14 +34,15 @@ def _types(df: DataFrame) -> dict[str, T.DataType]:
 
 
 def prepare_sales(train: DataFrame) -> DataFrame:
-    """Five required columns; date and numbers coerced."""
+    """Five required columns; date and numbers coerced (B3).  A vote over the
+    column finds how text spells its dates (one job)."""
     df = normalise_columns(train, list(SALES_HEADERS))
     require_columns(df, list(SALES_HEADERS), "train.csv")
-    t = _types(df)
+    t, spelled = _types(df), spellings(df, ["date"])
     typed = {
         "store": coerce(F.col("store"), t["store"], T.IntegerType()),
         "dept": coerce(F.col("dept"), t["dept"], T.IntegerType()),
-        "date": coerce(F.col("date"), t["date"], T.DateType()),
+        "date": coerce(F.col("date"), t["date"], T.DateType(), spelled.get("date", ISO)),
         "weekly_sales": coerce(F.col("weekly_sales"), t["weekly_sales"], T.DoubleType()),
         "is_holiday": F.col("is_holiday"),
     }
@@ -61,13 +63,13 @@ def prepare_features(features: DataFrame) -> DataFrame:
     for c in FEATURE_HEADERS:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(0.0) if c in MARKDOWNS else F.lit(None).cast("string"))
-    t = _types(df)
+    t, spelled = _types(df), spellings(df, ["date"])
     cols = []
     for c, h in FEATURE_HEADERS.items():
         if c == "store":
             v = coerce(F.col(c), t[c], T.IntegerType())
         elif c == "date":
-            v = coerce(F.col(c), t[c], T.DateType())
+            v = coerce(F.col(c), t[c], T.DateType(), spelled.get(c, ISO))
         elif c == "is_holiday":
             v = F.col(c)
         elif c in MARKDOWNS:
@@ -95,8 +97,8 @@ def prepare(spark: SparkSession, source_dir: str, output_dir: str, include_synth
         out[name] = f"{output_dir.rstrip('/')}/{name}.csv"
         write_csv(frame, out[name])
     if include_synthetic:
-        typed_sales = cast_to_contract(sales, RAW_CONTRACTS["sales"])
-        typed_features = cast_to_contract(features, RAW_CONTRACTS["features"])
+        typed_sales = cast_to_contract(sales, RAW_CONTRACTS["sales"], date_spellings={})
+        typed_features = cast_to_contract(features, RAW_CONTRACTS["features"], date_spellings={})
         inv = synthetic_inventory(typed_sales, seed)
         weather = synthetic_weather(typed_features, seed)
         for name, frame, headers in (

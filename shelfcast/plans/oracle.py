@@ -268,13 +268,13 @@ where s.store is not null and s.dept is not null and s.date is not null and s.we
 
 CTES["dirty_sales"] = ("""
 select cast(store_id as varchar) "Store", cast(dept_id as varchar) "Dept",
-  case when r % 17 = 0 then 'bad' else cast(sales_date as varchar) end "Date",
+  case when r % 17 = 0 then 'bad' else strftime(sales_date, '%-m/%-d/%Y') end "Date",
   case when r % 13 = 0 then 'NA' else cast(weekly_sales as varchar) end "Weekly_Sales",
   case when r % 19 = 0 then 'yes' else cast(is_holiday as varchar) end "IsHoliday"
 from (select *, store_id * 31 + dept_id * 7 + cast(cast(sales_date - date '1995-01-02' as int) / 7 as int) r
       from a_sales) s""", ("a_sales",))
 CTES["dirty_features"] = ("""
-select cast(store_id as varchar) "Store", case when r % 17 = 0 then 'bad' else cast(feature_date as varchar) end "Date",
+select cast(store_id as varchar) "Store", case when r % 17 = 0 then 'bad' else strftime(feature_date, '%b %-d, %Y') end "Date",
   case when r % 11 = 0 then 'n/a' else cast(temperature as varchar) end "Temperature",
   cast(fuel_price as varchar) "Fuel_Price",
   case when r % 13 = 0 then 'NA' else cast(markdown1 as varchar) end "MarkDown1",
@@ -283,6 +283,21 @@ select cast(store_id as varchar) "Store", case when r % 17 = 0 then 'bad' else c
 from (select *, store_id * 31 + cast(cast(feature_date - date '1995-01-02' as int) / 7 as int) r from a_features) f""",
                           ("a_features",))
 
+# Spelled dates as the source file has them: column -> strftime format.
+SPELLED = {
+    "iso": "%Y-%m-%d", "us": "%-m/%-d/%Y", "us_padded": "%m/%d/%Y", "european": "%d/%m/%Y", "dotted": "%-d.%-m.%Y",
+    "named": "%b %-d, %Y", "named_full": "%B %-d, %Y", "dashed_name": "%-d-%b-%Y", "compact": "%Y%m%d",
+    "us_clock": "%-m/%-d/%Y %-H:%M",
+}
+_SPELLED_TEXT = ", ".join(
+    f"case when (r + {i}) % 17 = 0 then 'bad' when (r + {i}) % 19 = 0 then 'N/A' else strftime(sales_date, '{f}') end {c}"
+    for i, (c, f) in enumerate(SPELLED.items())
+)
+CTES["spelled_dates"] = (f"""
+select store_id, dept_id, sales_date, {_SPELLED_TEXT}
+from (select *, store_id * 31 + dept_id * 7 + cast(cast(sales_date - date '1995-01-02' as int) / 7 as int) r
+      from a_sales) s""", ("a_sales",))
+
 
 def int_sql(x: str) -> str:
     return f"try_cast(round(try_cast({x} as double)) as int)"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import forecast_reads as fr
 from ..operators import kpis, scoring
@@ -352,7 +353,7 @@ def _holdout_metrics(w: Warehouse) -> DataFrame:
 
 # -- prepare and synthetic sources ------------------------------------------
 @register("prepared_sales", f"""
-select {_o.int_sql('"Store"')} "Store", {_o.int_sql('"Dept"')} "Dept", try_cast("Date" as date) "Date",
+select {_o.int_sql('"Store"')} "Store", {_o.int_sql('"Dept"')} "Dept", cast(try_strptime("Date", '%m/%d/%Y') as date) "Date",
   try_cast("Weekly_Sales" as double) "Weekly_Sales", "IsHoliday" from dirty_sales""", "dirty_sales")
 def _prepared_sales(w: Warehouse) -> DataFrame:
     from ..operators.prepare import prepare_sales
@@ -362,7 +363,7 @@ def _prepared_sales(w: Warehouse) -> DataFrame:
 
 
 @register("prepared_features", f"""
-select {_o.int_sql('"Store"')} "Store", try_cast("Date" as date) "Date", try_cast("Temperature" as double) "Temperature",
+select {_o.int_sql('"Store"')} "Store", cast(try_strptime("Date", '%b %d, %Y') as date) "Date", try_cast("Temperature" as double) "Temperature",
   try_cast("Fuel_Price" as double) "Fuel_Price", coalesce(try_cast("MarkDown1" as double), 0.0) "MarkDown1",
   coalesce(try_cast("MarkDown2" as double), 0.0) "MarkDown2", coalesce(try_cast("MarkDown3" as double), 0.0) "MarkDown3",
   coalesce(try_cast("MarkDown4" as double), 0.0) "MarkDown4", 0.0 "MarkDown5", try_cast("CPI" as double) "CPI",
@@ -374,6 +375,38 @@ def _prepared_features(w: Warehouse) -> DataFrame:
     return prepare_features(dirty_features_source(w.spark, w.sf_dir))
 
 
+_READ_SPELLED = {c: f"cast(try_strptime({c}, '{f.replace('%-', '%')}') as date)" for c, f in _o.SPELLED.items()}
+
+
+@register("date_spellings", "select store_id, dept_id, sales_date, "
+          + ", ".join(f"{v} {c}" for c, v in _READ_SPELLED.items()) + " from spelled_dates", "spelled_dates")
+def _date_spellings(w: Warehouse) -> DataFrame:
+    from ..sources.adapter import SPELLED_DATES, spelled_dates_source
+    from ..sources.dates import parse_date, spellings
+
+    source = spelled_dates_source(w.spark, w.sf_dir)
+    chosen = spellings(source, SPELLED_DATES)
+    return source.select("store_id", "dept_id", "sales_date", *[parse_date(F.col(c), s).alias(c) for c, s in chosen.items()])
+
+
+_SPELLING_OF = {
+    "iso": "iso", "us": "month/day/year", "us_padded": "month/day/year", "european": "day/month/year",
+    "dotted": "day.month.year", "named": "mon day, year", "named_full": "month day, year",
+    "dashed_name": "day-mon-year", "compact": "yearmonthday", "us_clock": "month/day/year",
+}
+
+
+@register("date_votes", " union all ".join(
+    f"""select '{c}' column_name, '{_SPELLING_OF[c]}' spelling, count(*) filter ({c} <> 'N/A') n_filled,
+  count({v}) n_parsed, count(*) filter ({c} = 'bad') n_rejected from spelled_dates""" for c, v in _READ_SPELLED.items()),
+          "spelled_dates")
+def _date_votes(w: Warehouse) -> DataFrame:
+    from ..sources.adapter import SPELLED_DATES, spelled_dates_source
+    from ..sources.dates import vote_report
+
+    return vote_report(spelled_dates_source(w.spark, w.sf_dir), SPELLED_DATES)
+
+
 @register("synthetic_inventory")
 def _synthetic_inventory(w: Warehouse) -> DataFrame:
     from ..operators.synth import synthetic_inventory

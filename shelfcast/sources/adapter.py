@@ -193,26 +193,27 @@ def _weeks(date_col: str) -> F.Column:
 
 def dirty_sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales as a source CSV would deliver it: text columns, source headers,
-    'NA' sales, unparseable dates and 'yes' holiday words on some rows."""
+    dates as 2/5/2010, 'NA' sales, unparseable dates and 'yes' holiday words on
+    some rows."""
     s = sales_frame(spark, sf_dir)
     r = F.col("store_id") * 31 + F.col("dept_id") * 7 + _weeks("sales_date")
     return s.select(
         F.col("store_id").cast("string").alias("Store"),
         F.col("dept_id").cast("string").alias("Dept"),
-        F.when(r % DIRTY_DATE == 0, F.lit("bad")).otherwise(F.col("sales_date").cast("string")).alias("Date"),
+        F.when(r % DIRTY_DATE == 0, F.lit("bad")).otherwise(F.date_format("sales_date", "M/d/yyyy")).alias("Date"),
         F.when(r % DIRTY_NA == 0, F.lit("NA")).otherwise(F.col("weekly_sales").cast("string")).alias("Weekly_Sales"),
         F.when(r % DIRTY_WORD == 0, F.lit("yes")).otherwise(F.col("is_holiday").cast("string")).alias("IsHoliday"),
     )
 
 
 def dirty_features_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features as a source file: text columns, MarkDown5 absent, 'NA'
+    """Features as a source file: text columns, dates as Feb 5, 2010, MarkDown5 absent, 'NA'
     markdowns, 'n/a' temperatures and unparseable dates on some rows."""
     f = features_frame(spark, sf_dir)
     r = F.col("store_id") * 31 + _weeks("feature_date")
     return f.select(
         F.col("store_id").cast("string").alias("Store"),
-        F.when(r % DIRTY_DATE == 0, F.lit("bad")).otherwise(F.col("feature_date").cast("string")).alias("Date"),
+        F.when(r % DIRTY_DATE == 0, F.lit("bad")).otherwise(F.date_format("feature_date", "MMM d, yyyy")).alias("Date"),
         F.when(r % DIRTY_TEMP == 0, F.lit("n/a")).otherwise(F.col("temperature").cast("string")).alias("Temperature"),
         F.col("fuel_price").cast("string").alias("Fuel_Price"),
         F.when(r % DIRTY_NA == 0, F.lit("NA")).otherwise(F.col("markdown1").cast("string")).alias("MarkDown1"),
@@ -223,3 +224,24 @@ def dirty_features_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("unemployment").cast("string").alias("Unemployment"),
         F.col("is_holiday").cast("string").alias("IsHoliday"),
     )
+
+
+# Spellings of one date: column -> datetime pattern.
+SPELLED_DATES = {
+    "iso": "yyyy-MM-dd", "us": "M/d/yyyy", "us_padded": "MM/dd/yyyy", "european": "dd/MM/yyyy", "dotted": "d.M.yyyy",
+    "named": "MMM d, yyyy", "named_full": "MMMM d, yyyy", "dashed_name": "d-MMM-yyyy", "compact": "yyyyMMdd",
+    "us_clock": "M/d/yyyy H:mm",
+}
+
+
+def spelled_dates_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales rows' keys and their date in ten spellings, with words and
+    missing values on some rows."""
+    s = sales_frame(spark, sf_dir)
+    r = F.col("store_id") * 31 + F.col("dept_id") * 7 + _weeks("sales_date")
+    spelled = [
+        F.when((r + i) % DIRTY_DATE == 0, F.lit("bad")).when((r + i) % DIRTY_WORD == 0, F.lit("N/A"))
+        .otherwise(F.date_format("sales_date", p)).alias(c)
+        for i, (c, p) in enumerate(SPELLED_DATES.items())
+    ]
+    return s.select("store_id", "dept_id", "sales_date", *spelled)

@@ -39,7 +39,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, entity: str) -> DataFr
     )
     with_source = Contract(contract.name, contract.file_name,
                            T.StructType([*contract.columns.fields, T.StructField("source_file", T.StringType())]))
-    typed = cast_to_contract(src.select("*", F.col("_metadata.file_name").alias("source_file")), with_source)
+    typed = cast_to_contract(src.select("*", F.col("_metadata.file_name").alias("source_file")), with_source, date_spellings={})
     return typed.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
