@@ -1,25 +1,32 @@
 """Random-forest demand forecast with Spark MLlib.
 
-Training runs level-wise over the cluster (MLlib's RandomForestRegressor);
-the assembled training frame is checkpointed to the shared checkpoint
-folder because training, holdout scoring and batch scoring all read it.
+Each tree is an MLlib regression tree grown level by level over the cluster;
+the trees form one MLlib forest.  A tree's rows are exactly
+``subsampling_rate`` of the training rows: those with the smallest hashes of
+(row, tree), cut at a threshold found by ``selection.select_ranks``.  The
+training rows are stored once, dealt by key into partitions whose number
+follows from their count and sorted there, so the model is a function of the
+rows: not of the input's layout, nor of the cluster's size.  Missing numbers
+take the exact medians of the training part.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, RandomForestRegressionModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import interval_lower, interval_upper
 from ..session import cut_lineage
 from .features import CATEGORICAL, NUMERIC, TARGET, chronological_split, next_week_rows
+from .selection import exact_medians, select_ranks
 
 MODEL_NAME = "random_forest_baseline"  # fixed value
 FORECAST_COLUMNS = (
@@ -39,12 +46,13 @@ class ForestParams:
     max_depth: int = 16
     min_instances_per_node: int = 5
     subsampling_rate: float = 0.65
-    # 128 bins keep one bin per distinct store and department id (the
+    # 256 bins keep one bin per distinct store and department id (the
     # default 32 cannot); node statistics of up to 512 MB per pass bound the
     # memory of each concurrent task while keeping deep levels to few passes.
     max_bins: int = 256
-    partitions: int = 32  # of the training rows; raise it with the data, the model depends on it
     max_memory_mb: int = 512
+    rows_per_partition: int = 50_000  # of the stored training rows
+    concurrent_trees: int = 8  # trees grown at a time; no part of the result
 
 
 @dataclass
@@ -74,38 +82,88 @@ def _prepare(frame: DataFrame) -> DataFrame:
 
 
 def _fills(train: DataFrame) -> tuple[dict[str, float], dict[str, str]]:
-    """Columns with no value at all (Imputer cannot fit them) -> 0; the most
-    frequent store type for the categorical imputer.  Two small jobs."""
-    counts = train.agg(*[F.count(c).alias(c) for c in NUMERIC]).first().asDict()
-    zero = {c: 0.0 for c, n in counts.items() if n == 0}
+    """What missing values become: exact medians of the numeric columns (0 for
+    one without values), the most frequent store type."""
+    medians = {c: 0.0 if m is None else m for c, m in exact_medians(train, NUMERIC).items()}
     modes = {}
     for c in CATEGORICAL:
         top = train.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).first()
         modes[c] = top[c] if top is not None else "__missing__"
-    return zero, modes
+    return medians, modes
 
 
-def build_pipeline(params: ForestParams, zero: dict[str, float], modes: dict[str, str]) -> Pipeline:
-    imputed = [f"{c}__imp" for c in NUMERIC]
-    stages = [
-        Imputer(strategy="median", inputCols=list(NUMERIC), outputCols=imputed),
-        StringIndexer(inputCols=list(CATEGORICAL), outputCols=[f"{c}__idx" for c in CATEGORICAL], handleInvalid="keep"),
+def _fill(df: DataFrame, medians: dict[str, float], modes: dict[str, str]) -> DataFrame:
+    return df.fillna(medians).fillna(modes)
+
+
+def encoding_pipeline() -> Pipeline:
+    """Feature vectors: numbers as they are, one-hot store types (an unseen type is all zeros)."""
+    return Pipeline(stages=[
+        StringIndexer(inputCols=list(CATEGORICAL), outputCols=[f"{c}__idx" for c in CATEGORICAL], handleInvalid="keep",
+                      stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=[f"{c}__idx" for c in CATEGORICAL], outputCols=[f"{c}__vec" for c in CATEGORICAL],
                       dropLast=True, handleInvalid="keep"),
-        VectorAssembler(inputCols=imputed + [f"{c}__vec" for c in CATEGORICAL], outputCol="features"),
-        RandomForestRegressor(
-            featuresCol="features", labelCol=TARGET, predictionCol="prediction", numTrees=params.num_trees,
-            maxDepth=params.max_depth, minInstancesPerNode=params.min_instances_per_node,
-            subsamplingRate=params.subsampling_rate, featureSubsetStrategy="all", seed=params.seed,
-            maxBins=params.max_bins, maxMemoryInMB=params.max_memory_mb, cacheNodeIds=True,
-            checkpointInterval=10,
-        ),
-    ]
-    return Pipeline(stages=stages)
+        VectorAssembler(inputCols=[*NUMERIC, *[f"{c}__vec" for c in CATEGORICAL]], outputCol="features"),
+    ])
+
+
+def row_draw(tree: Column, seed: int) -> Column:
+    """The draw that decides whether a row (its stored hash) is in a tree's sample."""
+    return F.xxhash64("__row", F.lit(seed), tree)
 
 
-def _fill(df: DataFrame, zero: dict[str, float], modes: dict[str, str]) -> DataFrame:
-    return df.fillna(zero).fillna(modes) if zero or modes else df
+def sample_thresholds(rows: DataFrame, params: ForestParams) -> list[int]:
+    """The largest draw in each tree's sample: the rows up to it are exactly
+    ``round(subsampling_rate * n)``, at least one (equal rows share a draw)."""
+    trees = F.explode(F.sequence(F.lit(0), F.lit(params.num_trees - 1))).alias("i")
+    draws = rows.select("__row", trees).select("i", row_draw(F.col("i"), params.seed).alias("k"))
+    found = select_ranks(draws, params.num_trees, lambda _, n: [max(1, round(params.subsampling_rate * n)) - 1])
+    return [next(iter(by_rank.values())) for _, by_rank in found]
+
+
+def sample_report(frame: DataFrame, params: ForestParams | None = None) -> DataFrame:
+    """tree, training_rows and sampled_rows: the size of each tree's sample."""
+    params = params or ForestParams()
+    train_part = chronological_split(_prepare(frame), params.test_size).train
+    rows = cut_lineage(train_part.select(F.xxhash64(*train_part.columns).alias("__row")))
+    limits = list(enumerate(sample_thresholds(rows, params)))
+    limits = rows.sparkSession.createDataFrame(limits, "tree int, most long")  # a row for each tree
+    trees = F.explode(F.sequence(F.lit(0), F.lit(params.num_trees - 1))).alias("tree")
+    draws = rows.select("__row", trees).join(F.broadcast(limits), "tree")
+    return draws.groupBy("tree").agg(
+        F.count(F.lit(1)).alias("training_rows"),
+        F.count_if(row_draw(F.col("tree"), params.seed) <= F.col("most")).alias("sampled_rows"))
+
+
+def grow(rows: DataFrame, params: ForestParams) -> RandomForestRegressionModel:
+    """One MLlib forest of trees that are grown each on its own sample of ``rows``."""
+    thresholds = sample_thresholds(rows, params)
+
+    def tree(number: int) -> DecisionTreeRegressionModel:
+        sample = rows.where(row_draw(F.lit(number), params.seed) <= F.lit(thresholds[number])).select("features", TARGET)
+        return DecisionTreeRegressor(
+            featuresCol="features", labelCol=TARGET, maxDepth=params.max_depth, seed=params.seed,
+            minInstancesPerNode=params.min_instances_per_node, maxBins=params.max_bins,
+            maxMemoryInMB=params.max_memory_mb, cacheNodeIds=True, checkpointInterval=10,
+        ).fit(sample)
+
+    with ThreadPoolExecutor(params.concurrent_trees) as pool:
+        trees = list(pool.map(tree, range(params.num_trees)))
+    return as_forest(rows, trees)
+
+
+def as_forest(rows: DataFrame, trees: list[DecisionTreeRegressionModel]) -> RandomForestRegressionModel:
+    """The trees as one MLlib model, which averages them (and saves as one)."""
+    context = rows.sparkSession.sparkContext
+    package = context._jvm.org.apache.spark.ml.regression
+    array = context._gateway.new_array(package.DecisionTreeRegressionModel, len(trees))
+    for i, t in enumerate(trees):
+        array[i] = t._java_obj
+    uid = f"forest_{len(trees)}_{trees[0].numFeatures}"
+    model = package.RandomForestRegressionModel(uid, array, trees[0].numFeatures)
+    model.set("featuresCol", "features")
+    model.set("numTrees", len(trees))  # what the trees' sum is divided by
+    return RandomForestRegressionModel(model)
 
 
 def holdout_metrics(predictions: DataFrame) -> DataFrame:
@@ -125,15 +183,19 @@ def train(frame: DataFrame, params: ForestParams | None = None, trained_at: _dt.
     holdout, and return the model with its metrics (H1, H2, E4, D17)."""
     params = params or ForestParams()
     trained_at = (trained_at or _dt.datetime.now(_dt.timezone.utc)).replace(microsecond=0, tzinfo=None)
-    prepared = _prepare(frame)
-    # MLlib draws its bags per partition: the same rows in the same partitions
-    # and order whatever the cluster, stored in the checkpoint folder.
-    place = ["store", "dept", "date"]
-    prepared = cut_lineage(prepared.repartition(params.partitions, *place).sortWithinPartitions(*place, *[c for c in prepared.columns if c not in place]))
+    prepared = cut_lineage(_prepare(frame))
     split = chronological_split(prepared, params.test_size)
-    zero, modes = _fills(split.train)
-    model = build_pipeline(params, zero, modes).fit(_fill(split.train, zero, modes))
-    scored = model.transform(_fill(split.test, zero, modes))
+    medians, modes = _fills(split.train)
+    filled = _fill(split.train, medians, modes)
+    encoder = encoding_pipeline().fit(filled)
+    # The same rows in the same places whatever the input's layout: MLlib's own
+    # sampling (of split candidates) and its sums go by partition.
+    place = [F.col("__row"), *[F.col(c) for c in filled.columns]]
+    rows = encoder.transform(filled.withColumn("__row", F.xxhash64(*filled.columns)))
+    rows = rows.repartition(max(1, -(-split.train_rows // params.rows_per_partition)), "__row").sortWithinPartitions(*place)
+    forest = grow(cut_lineage(rows.select("__row", "features", TARGET)), params)
+    model = PipelineModel([*encoder.stages, forest])
+    scored = model.transform(_fill(split.test, medians, modes))
     m = holdout_metrics(scored).first().asDict()
     span = prepared.agg(F.min("date").alias("s"), F.max("date").alias("e")).first()
     metrics = {
@@ -151,7 +213,7 @@ def train(frame: DataFrame, params: ForestParams | None = None, trained_at: _dt.
         "mae": m["mae"],
         "rmse": m["rmse"],
         "wape": m["wape"],
-        "fill_zero": zero,
+        "fill_medians": medians,
         "fill_modes": modes,
     }
     return TrainedForecast(model, metrics)
@@ -190,14 +252,14 @@ def forecast_output(frame: DataFrame, trained: TrainedForecast, created_at: _dt.
     """Score every observed row (horizon 0) and one next-week row per
     (store, dept) (horizon 7); 2-place rounding and interval (H4, G2, B20)."""
     created_at = (created_at or _dt.datetime.now(_dt.timezone.utc)).replace(microsecond=0, tzinfo=None)
-    zero, modes = trained.metrics.get("fill_zero", {}), trained.metrics.get("fill_modes", {})
+    medians, modes = trained.metrics["fill_medians"], trained.metrics["fill_modes"]
     observed = _prepare(frame).withColumn("horizon_days", F.lit(0)).withColumn("actual_demand", F.round(TARGET, 2))
     future = (
         _prepare(next_week_rows(frame)).withColumn("horizon_days", F.lit(7))
         .withColumn("actual_demand", F.lit(None).cast("double"))
     )
     both = observed.unionByName(future)
-    scored = trained.model.transform(_fill(both, zero, modes))
+    scored = trained.model.transform(_fill(both, medians, modes))
     pred = F.round("prediction", 2)
     return scored.select(
         F.col("store").cast("int").alias("store"), F.col("dept").cast("int").alias("dept"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import require_columns
 from ..functions.scalar import sku
+from .selection import exact_medians
 
 LOW_INVENTORY_SHARE = 0.18
 COVERAGE_MEAN, COVERAGE_SD = 1.25, 0.28
@@ -110,15 +111,14 @@ _GAMMA = gamma_quantiles(PRECIP_SHAPE)
 def synthetic_weather(features: DataFrame, seed: int = 42) -> DataFrame:
     """One weather row per feature row (H6); raw weather contract.
 
-    Missing temperatures take the exact median temperature: one global
-    aggregate whose buffer holds the distinct temperature values, bounded by
-    the measurement's range and two-place precision, not by the row count.
+    Missing temperatures take the exact median temperature, found by a few
+    counting passes over the column (``selection.exact_medians``).
     """
     require_columns(features, ["store", "date", "temperature"], "features for weather generation")
     key = [F.col("store"), F.col("date")]
     temp = F.col("temperature").try_cast("double")
-    median = features.select(F.median(temp)).scalar()
-    filled = F.coalesce(temp, median)
+    median = exact_medians(features.select(temp.alias("temperature")), ["temperature"])["temperature"]
+    filled = F.coalesce(F.nanvl(temp, F.lit(None).cast("double")), F.lit(median).cast("double"))
     precip = F.round(
         F.least(F.greatest(F.lit(PRECIP_SCALE) * gamma_draw(uniform(seed, 11, *key)), F.lit(0.0)),
                 F.lit(PRECIP_MAX)), 2)

@@ -327,6 +327,43 @@ def _time_split_sizes(w: Warehouse) -> DataFrame:
     return features.split_summary(_tf(w))
 
 
+_NUMERIC = ("store", "dept", "temperature", "fuel_price", "markdown1", "markdown2", "markdown3", "markdown4", "markdown5", "cpi",
+            "unemployment", "is_holiday", "size", "year", "month", "week_of_year", "day_of_year")
+
+
+@register("feature_medians", " union all ".join(
+    f"select '{c}' column_name, count({c}) n, cast(median(cast({c} as double)) as double) median from tf" for c in _NUMERIC), "tf")
+def _feature_medians(w: Warehouse) -> DataFrame:
+    from ..operators.features import NUMERIC
+    from ..operators.selection import median_report
+
+    from ..session import cut_lineage
+
+    values = _tf(w).select(*[F.col(c).cast("double").alias(c) for c in NUMERIC])
+    return median_report(cut_lineage(values), NUMERIC)
+
+
+@register("raw_measure_medians", " union all ".join(
+    f"select '{c}' column_name, count({c}) n, median({c}) median from {t}" for t, c in (
+        ("raw_features", "temperature"), ("raw_sales", "weekly_sales"), ("raw_inventory", "available_inventory"))),
+          "raw_features", "raw_sales", "raw_inventory")
+def _raw_measure_medians(w: Warehouse) -> DataFrame:
+    from ..operators.selection import median_report
+
+    parts = [median_report(w.raw[t], [c]) for t, c in (
+        ("features", "temperature"), ("sales", "weekly_sales"), ("inventory", "available_inventory"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("forest_samples", """
+select cast(tree as int) tree, n training_rows, cast(round_even(0.65 * n, 0) as bigint) sampled_rows
+from (select least(greatest(1, cast(floor(count(*) * 0.8) as bigint)), count(*) - 1) n from tf) t, range(50) r(tree)""", "tf")
+def _forest_samples(w: Warehouse) -> DataFrame:
+    from ..operators import forest
+
+    return forest.sample_report(_tf(w))
+
+
 def _trained(w: Warehouse):
     """The forest trained once per warehouse on the chronological 80 %."""
     from ..operators import forest

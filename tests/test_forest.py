@@ -8,6 +8,28 @@ from shelfcast.plans.warehouse import Warehouse
 from conftest import SF_SMALL
 
 
+def test_samples_are_exact_and_differ(spark):
+    rows = spark.range(1001).select(F.xxhash64("id").alias("__row"))
+    params = forest.ForestParams(num_trees=4)
+    limits = forest.sample_thresholds(rows, params)
+    samples = [frozenset(r[0] for r in rows.where(forest.row_draw(F.lit(t), params.seed) <= limits[t]).collect()) for t in range(4)]
+    assert {len(x) for x in samples} == {round(0.65 * 1001)} and len(set(samples)) == 4
+    assert forest.sample_thresholds(rows.limit(1), params) and len(limits) == 4
+
+
+def test_predictions_do_not_depend_on_the_layout(spark):
+    w = Warehouse.from_testdata(spark, SF_SMALL)
+    frame = features.training_frame(w.raw["sales"], w.raw["stores"], w.raw["features"]).where("store < 6")
+    frame = spark.createDataFrame(frame.toPandas(), frame.schema)
+    params = forest.ForestParams(num_trees=3, max_depth=6, rows_per_partition=100)
+    got = []
+    for layout in (frame.repartition(2, "dept"), frame.repartition(4), frame.repartition(32, "date")):
+        trained = forest.train(layout, params)
+        out = forest.forecast_output(frame, trained).select("store", "dept", "forecast_date", "horizon_days", "predicted_demand")
+        got.append((sorted(map(tuple, out.collect())), trained.metrics["fill_medians"]))
+    assert got[0] == got[1] == got[2]
+
+
 def test_forest_beats_mean(spark, scratch):
     w = Warehouse.from_testdata(spark, SF_SMALL)
     frame = features.training_frame(w.raw["sales"], w.raw["stores"], w.raw["features"])
@@ -35,3 +57,6 @@ def test_forest_beats_mean(spark, scratch):
     forest.save(trained, f"{scratch}/model")
     again = forest.load(f"{scratch}/model")
     assert again.metrics["model_version"] == trained.metrics["model_version"]
+    some = frame.limit(20)
+    assert forest.forecast_output(some, again, again.trained_at).exceptAll(
+        forest.forecast_output(some, trained, trained.trained_at)).count() == 0
