@@ -9,7 +9,7 @@ a prefix holds one distinct key.  Counts are combined partially in each task,
 so a shuffle carries at most 2^``DIGIT_BITS`` rows a task and open rank, and no task
 ever holds a column's distinct values.
 
-``sortable`` maps doubles to keys in their order (the sign and the IEEE 754
+``with_sortable`` maps doubles to keys in their order (the sign and the IEEE 754
 bits, by arithmetic), so medians are those of the doubles themselves.
 """
 
@@ -27,20 +27,31 @@ _SMALLEST, _LARGEST = -1022, 1023  # binary exponents of normal doubles
 _INFINITE = 2047 << 52
 
 
-def sortable(value: Column) -> Column:
-    """A long in the order of the doubles; NULL for NULL and NaN, one key for both zeros."""
-    size = F.abs(value)
-    guess = F.greatest(F.lit(_SMALLEST), F.least(F.lit(_LARGEST), F.coalesce(F.floor(F.log2(size)), F.lit(_SMALLEST)).cast("int")))
-    two = F.lit(2.0)
+def with_sortable(df: DataFrame, value: str, key: str) -> DataFrame:
+    """``df`` with ``key``: a long in the order of the doubles of ``value``; rows of
+    NULL and NaN are left out, both zeros have one key.
+
+    The exponent and the scaled value are columns of their own, so that each
+    is computed once a row.
+    """
+    size = F.abs(F.col(value))
+    log = F.coalesce(F.log2(size), F.lit(float(_SMALLEST)))  # NULL for 0
+    guess = F.floor(F.greatest(F.lit(float(_SMALLEST)), F.least(F.lit(float(_LARGEST)), log))).cast("int")
+    part, e = F.col("__part"), F.col("__exponent")
     # The logarithm may be one off beside a power of two.
-    exponent = (
-        F.when((guess > _SMALLEST) & (F.pow(two, guess) > size), guess - 1)
-        .when((guess < _LARGEST) & (F.pow(two, guess + 1) <= size), guess + 1).otherwise(guess)
+    low = (part < 1) & (e > _SMALLEST)
+    normal = (
+        F.when(part >= 2, F.shiftleft((e + 1 - _SMALLEST).cast("long"), 52) + (part * F.lit(2.0**51)).cast("long"))
+        .when(low, F.shiftleft((e - 1 - _SMALLEST).cast("long"), 52) + (part * F.lit(2.0**53)).cast("long"))
+        .otherwise(F.shiftleft((e - _SMALLEST).cast("long"), 52) + (part * F.lit(2.0**52)).cast("long"))
+    )
+    sign = F.when(F.col(value) < 0, F.lit(-1)).otherwise(F.lit(1))
+    bits = F.when(size == F.lit(float("inf")), F.lit(_INFINITE)).otherwise(normal)
+    return (
+        df.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("__exponent", guess)
+        .withColumn("__part", size / F.pow(F.lit(2.0), e))  # exact: a power of two divides
+        .withColumn(key, sign * bits).drop("__exponent", "__part")
     )
-    mantissa = (size / F.pow(two, exponent) * F.lit(2.0**52)).cast("long")  # exact: a power of two divides
-    bits = F.shiftleft((exponent - _SMALLEST).cast("long"), 52) + mantissa
-    bits = F.when(size == F.lit(float("inf")), F.lit(_INFINITE)).otherwise(bits)
-    return F.when(value.isNotNull() & ~F.isnan(value), F.when(value < 0, -bits).otherwise(bits))
 
 
 def from_sortable(key: int) -> float:
@@ -89,7 +100,8 @@ def _count_digits(cells: DataFrame, before: int | None, shift: int, prefixes: li
         cells = cells.withColumn("prefix", F.shiftright("k", before)).join(F.broadcast(small), ["i", "prefix"], "left_semi")
     rows = cells.groupBy("i", F.shiftright("k", shift).alias("digit")).agg(F.count(F.lit(1)), F.min("k"), F.max("k"))
     out: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
-    for i, digit, n, low, high in rows.collect():  # at most 2^DIGIT_BITS rows a prefix
+    found = rows.toDF("i", "digit", "n", "low", "high").toPandas()  # at most 2^DIGIT_BITS rows a prefix
+    for i, digit, n, low, high in found.itertuples(index=False, name=None):
         out.setdefault((i, 0 if before is None else low >> before), []).append((digit, n, low, high))
     return out
 
@@ -110,7 +122,7 @@ def exact_medians(df: DataFrame, columns: Iterable[str]) -> dict[str, float | No
     columns = list(columns)
     if not columns:
         return {}
-    found = select_ranks(_cells(df, columns).select("i", sortable(F.col("v")).alias("k")), len(columns), _middle)
+    found = select_ranks(with_sortable(_cells(df, columns), "v", "k"), len(columns), _middle)
     return {c: sum(from_sortable(by_rank[r]) for r in sorted(_middle(0, n))) / len(_middle(0, n)) if n else None
             for c, (n, by_rank) in zip(columns, found, strict=True)}
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shelfcast.operators.selection import _SHIFTS, exact_medians, from_sortable, select_ranks, sortable
+from shelfcast.operators.selection import _SHIFTS, exact_medians, from_sortable, select_ranks, with_sortable
 
 
 def test_keys_keep_order_and_value(spark):
@@ -18,12 +18,12 @@ def test_keys_keep_order_and_value(spark):
     values += [math.ldexp(m, e) for e in range(-1074, 1024, 7) for m in (1.0, 1.5)]
     values += [math.nextafter(math.ldexp(1.0, e), t) for e in range(-1022, 1024, 5) for t in (0.0, math.inf)]
     values += [rng.uniform(-1e6, 1e6) for _ in range(500)]
-    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", sortable(F.col("v")).alias("k")).collect()
-    assert all(from_sortable(r.k) == r.v for r in got)
+    got = spark.createDataFrame([(v,) for v in values], "v double")
+    got = with_sortable(got, "v", "k").collect()
+    assert len(got) == len(values) and all(from_sortable(r.k) == r.v for r in got)
     by_value = sorted(got, key=lambda r: r.v)
     assert all(a.k <= b.k and (a.k < b.k or a.v == b.v) for a, b in zip(by_value, by_value[1:]))
-    missing = spark.createDataFrame([(None,), (math.nan,)], "v double").select(sortable(F.col("v")).alias("k")).collect()
-    assert [r.k for r in missing] == [None, None]
+    assert with_sortable(spark.createDataFrame([(None,), (math.nan,)], "v double"), "v", "k").count() == 0
 
 
 @settings(max_examples=12, deadline=None)
