@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..contracts import ML_CONTRACTS, RAW_CONTRACTS
 from ..operators import features, forest, marts, quality, scoring, staging
 from ..operators.prepare import prepare
-from ..sources import catalog
+from ..sources import catalog, ledger
 from ..sources.files import contract_read, validate_sources
 from .warehouse import Warehouse
 
@@ -38,6 +38,7 @@ class RefreshConfig:
     include_synthetic: bool = True
     seed: int = 42
     overwrite: bool = True
+    repeatable: bool = False  # raw loads by the load ledger
     skip_prepare: bool = False
     skip_load: bool = False
     skip_train: bool = False
@@ -63,10 +64,19 @@ def plan_steps(cfg: RefreshConfig) -> list[str]:
 
 
 def load_raw(spark: SparkSession, landing_dir: str, entities=tuple(RAW_CONTRACTS), overwrite: bool = True,
-             loaded_at: _dt.datetime | None = None) -> dict[str, int]:
-    """Validate every file first, then load each into raw.<entity> (A3-A5)."""
+             loaded_at: _dt.datetime | None = None, repeatable: bool = False) -> dict[str, int]:
+    """Validate every file first, then load each into raw.<entity> (A3-A5);
+    rows added by entity.  ``repeatable``: by the load ledger, so that files
+    already loaded add nothing and a failed load changes nothing."""
     paths = validate_sources(spark, landing_dir, list(entities))
     stamp = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
+    if repeatable:
+        return {
+            name: sum(ledger.load_files(
+                spark, catalog.RAW, name, RAW_CONTRACTS[name].table_schema, [path],
+                lambda p, c=RAW_CONTRACTS[name]: contract_read(spark, p, c, stamp), overwrite).values())
+            for name, path in paths.items()
+        }
     return {
         name: catalog.load(contract_read(spark, path, RAW_CONTRACTS[name], stamp), catalog.RAW, name, overwrite)
         for name, path in paths.items()
@@ -74,9 +84,17 @@ def load_raw(spark: SparkSession, landing_dir: str, entities=tuple(RAW_CONTRACTS
 
 
 def load_outputs(spark: SparkSession, output_dir: str, only: tuple[str, ...] = tuple(ML_CONTRACTS),
-                 overwrite: bool = True) -> dict[str, int]:
-    """Model output files -> ml tables: validate all, ensure, typed insert."""
+                 overwrite: bool = True, repeatable: bool = False) -> dict[str, int]:
+    """Model output files -> ml tables: validate all, ensure, typed insert
+    (A6-A8), or by the load ledger."""
     paths = validate_sources(spark, output_dir, list(only), ML_CONTRACTS)
+    if repeatable:
+        return {
+            name: sum(ledger.load_files(
+                spark, catalog.ML, name, ML_CONTRACTS[name].columns, [path],
+                lambda p, c=ML_CONTRACTS[name]: contract_read(spark, p, c), overwrite).values())
+            for name, path in paths.items()
+        }
     return {
         name: catalog.insert(contract_read(spark, path, ML_CONTRACTS[name]), catalog.ML, name,
                              ML_CONTRACTS[name].columns, overwrite)
@@ -183,7 +201,7 @@ def refresh(spark: SparkSession, cfg: RefreshConfig) -> dict[str, object]:
         if step == "prepare":
             results[step] = prepare(spark, cfg.source_dir, cfg.landing_dir, cfg.include_synthetic, cfg.seed)
         elif step == "load_raw":
-            results[step] = load_raw(spark, cfg.landing_dir, cfg.entities, cfg.overwrite, cfg.run_at)
+            results[step] = load_raw(spark, cfg.landing_dir, cfg.entities, cfg.overwrite, cfg.run_at, cfg.repeatable)
         elif step == "train":
             trained = train(spark, cfg)
             results[step] = {k: v for k, v in trained.metrics.items() if not isinstance(v, dict)}

@@ -412,6 +412,62 @@ def _prepared_features(w: Warehouse) -> DataFrame:
     return prepare_features(dirty_features_source(w.spark, w.sf_dir))
 
 
+def _loaded_twice(w: Warehouse) -> tuple[str, str]:
+    """Sales landed as three files and loaded by the ledger: two files, then all
+    three with a failure in the last, then all three, then all three again."""
+    import uuid
+
+    from ..contracts import RAW_CONTRACTS
+    from ..session import checkpoint_dir
+    from ..sources import ledger
+    from ..sources.files import contract_read, write_csv
+
+    if getattr(w, "_ledger_table", None) is None:
+        contract = RAW_CONTRACTS["sales"]
+        landing = f"{checkpoint_dir(w.spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+        paths = [f"{landing}/sales_{i}.csv" for i in range(3)]
+        for i, path in enumerate(paths):
+            write_csv(w.raw["sales"].where(F.col("store") % 3 == i).select(*contract.names), path)
+        name = f"sales_{uuid.uuid4().hex}"
+
+        def read(path: str) -> DataFrame:
+            return contract_read(w.spark, path, contract)
+
+        def torn(path: str) -> DataFrame:
+            if path != paths[2]:
+                return read(path)
+            stop = F.when(F.col("store") >= 0, F.raise_error(F.lit("the source broke off"))).cast("double")
+            return read(path).withColumn("weekly_sales", stop)
+
+        def load(files: list[str], reader) -> None:
+            ledger.load_files(w.spark, "raw_ledger", name, contract.table_schema, files, reader)
+
+        load(paths[:2], read)
+        try:
+            load(paths, torn)
+        except Exception as error:  # the planned failure, and no other
+            if "the source broke off" not in str(error):
+                raise
+        load(paths, read)
+        load(paths, read)
+        w._ledger_table = ("raw_ledger", name)
+    return w._ledger_table
+
+
+@register("repeatable_load", "select store, dept, date, weekly_sales, is_holiday from raw_sales", "raw_sales")
+def _repeatable_load(w: Warehouse) -> DataFrame:
+    db, name = _loaded_twice(w)
+    return w.spark.table(f"{db}.{name}").select("store", "dept", "date", "weekly_sales", "is_holiday")
+
+
+@register("load_ledger", """select 'sales_' || (store % 3) || '.csv' file_name, count(*) row_count
+from raw_sales group by store % 3""", "raw_sales")
+def _load_ledger(w: Warehouse) -> DataFrame:
+    from ..sources import ledger
+
+    return ledger.ledger(w.spark, *_loaded_twice(w)).select("file_name", "row_count")
+
+
 _READ_SPELLED = {c: f"cast(try_strptime({c}, '{f.replace('%-', '%')}') as date)" for c, f in _o.SPELLED.items()}
 
 
