@@ -10,7 +10,15 @@ rules; nothing here parses SQL text:
 2. before any job runs, the analyzed plan (subqueries included) is walked:
    every leaf must sit under one of the approved temp views, so base tables,
    catalog-qualified names and files are rejected wherever they appear;
-3. the row cap is always applied as a ``limit`` on the result.
+3. every expression must be of a class on an allow list: Spark's own
+   functions of the groups in ``ALLOWED_GROUPS`` and the parts that plans are
+   made of (``STRUCTURE``);
+4. the optimized plan may hold no join without an equality between its sides
+   (what would run as a nested loop or a Cartesian product, lateral joins
+   included), unless one side has at most one row, and no generator or list
+   of rows beyond ``MOST_GENERATED``;
+5. the result is capped unless the caller's statement has a LIMIT of its own,
+   wherever it stands.
 """
 
 from __future__ import annotations
@@ -55,8 +63,9 @@ def _seq(s) -> list:
 
 def referenced_views(df: DataFrame, allowed: set[str]) -> set[str]:
     """Walk the analyzed plan; return the approved views read, raise on any
-    other data source."""
+    other data source and on expressions outside the allow list."""
     seen: set[str] = set()
+    functions = allowed_functions(df.sparkSession)
     stack = [df._jdf.queryExecution().analyzed()]
     while stack:
         node = stack.pop()
@@ -69,7 +78,7 @@ def referenced_views(df: DataFrame, allowed: set[str]) -> set[str]:
                 raise GovernedSqlError(f"relation {ident} is not an approved mart")
             seen.add(name)
             continue
-        check_expressions(node)
+        check_expressions(node, functions)
         children = _seq(node.children()) + _seq(node.subqueries())
         if not children and kind not in HARMLESS_LEAVES:
             raise GovernedSqlError(f"the query reads {kind}, which is not an approved mart")
@@ -77,28 +86,118 @@ def referenced_views(df: DataFrame, allowed: set[str]) -> set[str]:
     return seen
 
 
-# Expressions that run code from outside Spark's own functions.
-FOREIGN_CODE = ("CallMethodViaReflection", "TryReflect", "ScalaUDF", "ScalaUDAF", "PythonUDF", "PythonUDAF", "PythonUDTF", "HiveSimpleUDF", "HiveGenericUDF")
+# Groups of Spark's function registry a query may call.
+ALLOWED_GROUPS = {
+    "agg_funcs", "bitwise_funcs", "conditional_funcs", "conversion_funcs", "datetime_funcs", "hash_funcs", "math_funcs",
+    "predicate_funcs", "string_funcs", "struct_funcs", "window_funcs", "generator_funcs",
+}
+# Functions of these groups that make values of any size out of nothing.
+UNBOUNDED = {"repeat", "space", "lpad", "rpad"}
+# Classes that plans are made of, besides functions.
+STRUCTURE = {
+    "Alias", "AttributeReference", "OuterReference", "LateralSubquery", "Literal", "Cast", "SortOrder", "ScalarSubquery",
+    "Exists", "ListQuery", "InSubquery", "AggregateExpression", "WindowExpression", "WindowSpecDefinition",
+    "SpecifiedWindowFrame", "CurrentRow$", "UnboundedPreceding$", "UnboundedFollowing$", "UnspecifiedFrame$", "CaseWhen", "If",
+    "In", "And", "Or", "Not", "GetStructField", "CreateArray", "CreateNamedStruct", "NamePlaceholder$", "GetArrayItem",
+    "PromotePrecision", "CheckOverflow", "TimeAdd", "DateAddInterval", "MultiAlias", "Grouping", "GroupingID",
+    "VirtualColumn$", "ExtractANSIIntervalDays", "TimestampAddInterval", "TimestampAddYMInterval", "DateAddYMInterval", "UpCast", "KnownNotNull", "LateralColumnAliasReference", "PredicateSubquery", "Collate", "ResolvedCollation",
+}
+# Code from outside Spark's own functions: not even inside what an allowed function is replaced by.
+FOREIGN_CODE = {
+    "CallMethodViaReflection", "TryReflect", "ScalaUDF", "ScalaUDAF", "ScalaAggregator", "PythonUDF", "PythonUDAF", "PythonUDTF",
+    "HiveSimpleUDF", "HiveGenericUDF", "HiveGenericUDTF", "HiveUDAFFunction",
+}
+MOST_GENERATED = 100
+
+_FUNCTIONS: dict[str, tuple[set[str], set[str]]] = {}
+
+
+def allowed_functions(spark: SparkSession) -> tuple[set[str], set[str]]:
+    """(classes a query may use, classes of all other registered functions), by
+    the groups of this Spark's registry; read once for an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _FUNCTIONS:
+        registry = spark._jsparkSession.sessionState().functionRegistry()
+        good, bad = set(STRUCTURE), set()
+        for name in _seq(registry.listFunction()):
+            info = registry.lookupFunction(name)
+            if info.isDefined():
+                kind = info.get().getClassName().rsplit(".", 1)[-1]
+                fits = info.get().getGroup() in ALLOWED_GROUPS and info.get().getName() not in UNBOUNDED
+                # A builder makes an expression of another class.
+                (good if fits else bad).update({kind, kind.removesuffix("Builder").removesuffix("Expression")})
+        _FUNCTIONS[app] = good, (bad - good) | FOREIGN_CODE
+    return _FUNCTIONS[app]
+
+
+def check_expressions(node, functions: tuple[set[str], set[str]]) -> None:
+    """Reject expressions of a plan node that aren't on the allow list.
+
+    Some functions stand for an expression of other classes (their only
+    child then); those may be of any class of Spark's that isn't a function
+    off the list or foreign code.
+    """
+    good, bad = functions
+    stack = [(e, False) for e in _seq(node.expressions())]
+    while stack:
+        e, inside = stack.pop()
+        kind = e.getClass().getSimpleName()
+        if kind in bad or kind not in good and not inside:
+            raise GovernedSqlError(f"the function {e.prettyName()} is not allowed")
+        replaced = inside or "replacement" in {m.getName() for m in e.getClass().getMethods()}
+        stack.extend((child, replaced) for child in _seq(e.children()))
+
+
+def _size(option) -> int | None:
+    return int(str(option.get())) if option.isDefined() else None
 
 
-def check_expressions(node) -> None:
-    """Reject foreign code in a plan node's expressions and joins without a condition."""
-    if node.getClass().getSimpleName() == "Join" and node.condition().isEmpty():
-        raise GovernedSqlError("a join needs a condition")
-    stack = _seq(node.expressions())
+def check_plan(df: DataFrame) -> None:
+    """Reject joins without an equality between their sides, and generators or
+    made-up rows beyond ``MOST_GENERATED``, in the optimized plan."""
+    equi = df.sparkSession._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys
+    stack = [df._jdf.queryExecution().optimizedPlan()]
     while stack:
-        e = stack.pop()
-        if e.getClass().getSimpleName() in FOREIGN_CODE:
-            raise GovernedSqlError(f"the function {e.prettyName()} is not allowed")
-        stack.extend(_seq(e.children()))
+        node = stack.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "Join" and not equi.unapply(node).isDefined():
+            sides = [_size(side.maxRows()) for side in (node.left(), node.right())]
+            if not any(n is not None and n <= 1 for n in sides):
+                raise GovernedSqlError("a join needs an equality between its sides")
+        elif kind in ("LateralJoin", "CartesianProduct"):
+            raise GovernedSqlError("a lateral join needs an equality between its sides")
+        elif kind == "Generate":
+            check_generator(node.generator())
+        elif kind == "Range" and (_size(node.maxRows()) or 0) > MOST_GENERATED:
+            raise GovernedSqlError(f"more than {MOST_GENERATED} made-up rows")
+        stack.extend(_seq(node.children()) + _seq(node.subqueries()))
+
+
+def check_generator(generator) -> None:
+    """A generator must make a number of rows that its text fixes, at most ``MOST_GENERATED``."""
+    kind, inputs = generator.getClass().getSimpleName(), _seq(generator.children())
+    rows = None
+    if kind == "Stack" and inputs[0].getClass().getSimpleName() == "Literal":
+        rows = int(str(inputs[0].value()))
+    elif len(inputs) == 1 and inputs[0].getClass().getSimpleName() == "CreateArray":
+        rows = inputs[0].children().size()
+    elif len(inputs) == 1 and inputs[0].getClass().getSimpleName() == "Literal" and inputs[0].value() is not None:
+        rows = inputs[0].value().numElements()
+    if rows is None or rows > MOST_GENERATED:
+        raise GovernedSqlError(f"the generator {generator.prettyName()} needs a fixed list of at most {MOST_GENERATED} values")
 
 
 def has_own_limit(df: DataFrame) -> bool:
-    """Whether a LIMIT of the caller bounds the rows (only projections stand above it)."""
-    node = df._jdf.queryExecution().analyzed()
-    while node.getClass().getSimpleName() in ("Project", "SubqueryAlias", "WithCTE") and node.children().size():
-        node = node.children().last()
-    return node.getClass().getSimpleName() == "GlobalLimit"
+    """Whether the caller's statement has a LIMIT anywhere (the marts' own plans aside)."""
+    stack = [df._jdf.queryExecution().analyzed()]
+    while stack:
+        node = stack.pop()
+        kind = node.getClass().getSimpleName()
+        if kind in ("GlobalLimit", "LocalLimit"):
+            return True
+        if kind != "View":
+            stack.extend(_seq(node.children()) + _seq(node.subqueries()))
+    return False
 
 
 def governed_session(spark: SparkSession, marts: dict[str, DataFrame]) -> SparkSession:
@@ -124,7 +223,7 @@ def governed_session(spark: SparkSession, marts: dict[str, DataFrame]) -> SparkS
 
 def governed_sql(iso: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     """Run caller SQL under the rules above; a lazy DataFrame, capped when the
-    caller gives no LIMIT."""
+    caller's statement has no LIMIT."""
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise GovernedSqlError("empty statement")
@@ -135,6 +234,7 @@ def governed_sql(iso: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMIT
     views = referenced_views(df, set(APPROVED_MARTS))
     if not views:
         raise GovernedSqlError("the query must read at least one approved mart")
+    check_plan(df)
     return df if has_own_limit(df) else df.limit(int(row_limit))
 
 

@@ -718,6 +718,17 @@ def _governed_store_sales(w: Warehouse) -> DataFrame:
     return governed_sql(_governed_session(w), GOVERNED_STORE_SALES_SQL, row_limit=100)
 
 
+GOVERNED_ROWS_SQL = """select store_id, dept_id, sales_date, weekly_sales from fact_sales
+where is_holiday order by weekly_sales desc, store_id, dept_id, sales_date limit 5000"""
+
+
+@register("governed_holiday_rows", GOVERNED_ROWS_SQL, "fact_sales")
+def _governed_holiday_rows(w: Warehouse) -> DataFrame:
+    from ..operators.governed import governed_sql
+
+    return governed_sql(_governed_session(w), GOVERNED_ROWS_SQL)
+
+
 @register("result_preview", f"""
 select store_id, store_type, store_size, {_o.sround('total_sales', 4)} total_sales,
   {_o.sround('avg_weekly_sales', 4)} avg_weekly_sales, sales_records
