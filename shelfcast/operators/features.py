@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import truthy
-from ..functions.scalar import calendar_columns
+from ..functions.scalar import calendar_columns, money_sum
 from ..plans.groups import latest_per_group
 from ..plans.joins import small_side
 
@@ -74,6 +74,19 @@ def next_week_rows(frame: DataFrame) -> DataFrame:
     return moved.select(*frame.columns)
 
 
+def next_week_from(sales: DataFrame, stores: DataFrame, features: DataFrame) -> DataFrame:
+    """``next_week_rows`` of the training frame, of stored tables.
+
+    Each group's latest date comes from the sales alone, so only the rows at
+    it are joined with features and stores.
+    """
+    able = sales.dropna(subset=[*KEYS, "date", TARGET])
+    top = able.groupBy(*KEYS).agg(F.max("date").alias("__top"))
+    top = top.select(*[F.col(k).alias(f"__{k}") for k in KEYS], "__top")
+    latest = [F.col(k) == F.col(f"__{k}") for k in KEYS] + [F.col("date") == F.col("__top")]
+    return next_week_rows(training_frame(able.join(small_side(top), latest, "left_semi"), stores, features))
+
+
 @dataclass
 class Split:
     train: DataFrame
@@ -166,6 +179,16 @@ def chronological_split(frame: DataFrame, test_size: float = 0.2, min_rows: int
     return Split(train, test, k, n - k)
 
 
+def split_report(frame: DataFrame, test_size: float = 0.2, min_rows: int = 10) -> DataFrame:
+    """What is on each side of ``chronological_split``: rows, dates, and sums of
+    the keys and of the target."""
+    split = chronological_split(frame, test_size, min_rows)
+    sides = [part.select(F.lit(name).alias("side"), "date", *KEYS, TARGET) for name, part in (("train", split.train), ("test", split.test))]
+    return sides[0].unionByName(sides[1]).groupBy("side").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.sum(F.col("store") * 1000 + F.col("dept")).alias("key_sum"), money_sum(TARGET).alias("total_sales"))
+
+
 def split_summary(frame: DataFrame, test_size: float = 0.2, min_rows: int = 10) -> DataFrame:
     """Sizes and date spans of the two parts, one row (E4 report).
 

@@ -8,10 +8,10 @@ number of partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import EXECUTIVE_RISK_THRESHOLD, money_avg, money_sum
+from ..functions.scalar import EXECUTIVE_RISK_THRESHOLD, money, money_avg, money_sum
 from ..plans.joins import small_side
 
 
@@ -31,15 +31,32 @@ def executive_metrics(fact_sales: DataFrame, fact_demand: DataFrame) -> DataFram
     )
     ratio = F.try_divide(F.col("observed_demand"), F.nullif(F.col("available_inventory"), F.lit(0.0)))
     high = F.col("available_inventory").isNotNull() & (ratio > EXECUTIVE_RISK_THRESHOLD)
-    return j.agg(
-        F.coalesce(money_sum("weekly_sales"), F.lit(0.0)).alias("total_sales"),
-        F.count(F.lit(1)).alias("sales_records"),
+    totals = _totals(j, F.count_if(high).alias("__high"))
+    return totals.agg(
+        F.coalesce(F.sum("__money").cast("double"), F.lit(0.0)).alias("total_sales"), *_counts(),
+        F.coalesce(F.sum("__high"), F.lit(0)).alias("high_or_critical_risk_count"),
+    )
+
+
+def _totals(sales: DataFrame, *more: Column) -> DataFrame:
+    """One row a (store, department): exact money, rows, first and last date.
+
+    Distinct stores and departments are then counted over these rows: over
+    the sales themselves each row would be expanded once for either count.
+    """
+    return sales.groupBy("store_id", "dept_id").agg(
+        F.sum(money("weekly_sales")).alias("__money"), F.count(F.lit(1)).alias("__rows"),
+        F.min("sales_date").alias("__first"), F.max("sales_date").alias("__last"), *more)
+
+
+def _counts() -> list[Column]:
+    return [
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("sales_records"),
         F.countDistinct("store_id").alias("store_count"),
         F.countDistinct("dept_id").alias("dept_count"),
-        F.min("sales_date").alias("start_date"),
-        F.max("sales_date").alias("end_date"),
-        F.count_if(high).alias("high_or_critical_risk_count"),
-    )
+        F.min("__first").alias("start_date"),
+        F.max("__last").alias("end_date"),
+    ]
 
 
 def sales_trend(fact_sales: DataFrame) -> DataFrame:
@@ -100,11 +117,4 @@ def top_departments(fact_sales: DataFrame, n: int = 10) -> DataFrame:
 
 def sales_totals(fact_sales: DataFrame) -> DataFrame:
     """Global totals of the sales fact."""
-    return fact_sales.agg(
-        money_sum("weekly_sales").alias("total_sales"),
-        F.count(F.lit(1)).alias("sales_records"),
-        F.countDistinct("store_id").alias("store_count"),
-        F.countDistinct("dept_id").alias("dept_count"),
-        F.min("sales_date").alias("start_date"),
-        F.max("sales_date").alias("end_date"),
-    )
+    return _totals(fact_sales).agg(F.sum("__money").cast("double").alias("total_sales"), *_counts())

@@ -309,7 +309,19 @@ from (select *, row_number() over (partition by store, dept order by date desc,
 def _next_week_rows(w: Warehouse) -> DataFrame:
     from ..operators import features
 
-    return features.next_week_rows(_tf(w))
+    return features.next_week_from(w.raw["sales"], w.raw["stores"], w.raw["features"])
+
+
+@register("time_split_rows", f"""
+select side, count(*) n_rows, min(date) first_date, max(date) last_date,
+  cast(sum(store * 1000 + dept) as bigint) key_sum, {msum('weekly_sales')} total_sales
+from (select *, case when row_number() over (order by date, store, dept, weekly_sales)
+        <= (select least(greatest(1, cast(floor(count(*) * 0.8) as bigint)), count(*) - 1) from tf)
+        then 'train' else 'test' end side from tf) s group by side""", "tf")
+def _time_split_rows(w: Warehouse) -> DataFrame:
+    from ..operators import features
+
+    return features.split_report(_tf(w))
 
 
 @register("time_split_sizes", """

@@ -48,30 +48,26 @@ class Warehouse:
         w.materialize = materialize
         return w
 
-    _SHARED: dict[tuple[str, str], "Warehouse"] = {}
+    _SHARED: dict[tuple[str, str], tuple[tuple, "Warehouse"]] = {}
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
         """One materialised test-data warehouse per (Spark application, folder).
 
-        Raw, model-output and mart layers are checkpointed into the shared
-        checkpoint folder the first time they are used and read by every
-        later query, as the stored tables of a refreshed warehouse are: plans
-        over them stay shallow, and a lost executor re-reads stored files
-        instead of recomputing the lineitem joins.
+        Raw, model-output and mart layers are stored the first time they are
+        used, as Parquet tables with column statistics (``store_layer``), and
+        read by every later query, as the tables of a refreshed warehouse
+        are.  When the folder's files change, the layers are derived anew.
         """
-        from ..session import cut_lineage
-
-        try:
-            app = spark.sparkContext.applicationId
-        except Exception:  # sessions without a local SparkContext handle
-            app = str(id(spark))
-        key = (app, sf_dir)
-        w = cls._SHARED.get(key)
-        if w is None:
-            w = cls.from_testdata(spark, sf_dir, materialize=cut_lineage)
-            cls._SHARED[key] = w
-        return w
+        from ..session import file_listing, store_layer
+
+        key = (spark.sparkContext.applicationId, sf_dir)
+        listing = file_listing(spark, sf_dir)
+        held = cls._SHARED.get(key)
+        if held is None or held[0] != listing:
+            held = (listing, cls.from_testdata(spark, sf_dir, materialize=store_layer))
+            cls._SHARED[key] = held
+        return held[1]
 
     @classmethod
     def from_catalog(cls, spark: SparkSession) -> "Warehouse":
