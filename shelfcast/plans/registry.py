@@ -480,6 +480,64 @@ def _load_ledger(w: Warehouse) -> DataFrame:
     return ledger.ledger(w.spark, *_loaded_twice(w)).select("file_name", "row_count")
 
 
+def _landed_torn(w: Warehouse) -> tuple[str, str]:
+    """The sales as a landed CSV of raw lines, some cut short, read into the
+    contract: (folder of the rows read, folder of the rows set aside)."""
+    import uuid
+
+    from ..contracts import RAW_CONTRACTS
+    from ..session import checkpoint_dir
+    from ..sources.files import contract_read
+
+    if getattr(w, "_torn", None) is None:
+        base = f"{checkpoint_dir(w.spark).rstrip('/')}/torn-{uuid.uuid4().hex}"
+        contract = RAW_CONTRACTS["sales"]
+        cells = [F.col(c).cast("string") for c in contract.names]
+        short = (F.col("store") * 31 + F.col("dept") * 7 + F.dayofyear("date")) % 29 == 0
+        lines = w.raw["sales"].select(F.when(short, F.concat_ws(",", *cells[:3])).otherwise(F.concat_ws(",", *cells)))
+        # One column of whole lines, named by the header line; no character of theirs separates or quotes.
+        raw_lines = lines.toDF(",".join(contract.names)).write.option("header", True).option("sep", "\u0001")
+        raw_lines.csv(f"{base}/sales.csv")
+        read = contract_read(w.spark, f"{base}/sales.csv", contract, quarantine=f"{base}/aside")
+        read.write.parquet(f"{base}/read")
+        w._torn = (f"{base}/read", f"{base}/aside")
+    return w._torn
+
+
+@register("staged_files", "select store, dept, date, weekly_sales, is_holiday from raw_sales", "raw_sales")
+def _staged_files(w: Warehouse) -> DataFrame:
+    """The sales' landing file, staged twice byte for byte, and read from there."""
+    import uuid
+
+    from ..contracts import RAW_CONTRACTS
+    from ..session import checkpoint_dir
+    from ..sources.files import contract_read, write_csv
+    from ..sources.staging import stage_files
+
+    if getattr(w, "_staged", None) is None:
+        base, contract = f"{checkpoint_dir(w.spark).rstrip('/')}/staging-{uuid.uuid4().hex}", RAW_CONTRACTS["sales"]
+        write_csv(w.raw["sales"].select(*contract.names), f"{base}/landing/sales.csv")
+        copied = [stage_files(w.spark, [f"{base}/landing/sales.csv"], f"{base}/bucket/raw") for _ in range(2)]
+        if copied != [["sales.csv"], []]:
+            raise RuntimeError(f"staging isn't repeatable: {copied}")
+        w._staged = f"{base}/bucket/raw/sales.csv"
+    return contract_read(w.spark, w._staged, RAW_CONTRACTS["sales"]).select(*RAW_CONTRACTS["sales"].names)
+
+
+_SHORT = "(store * 31 + dept * 7 + dayofyear(date)) % 29 = 0"
+
+
+@register("landed_rows", f"select store, dept, date, weekly_sales, is_holiday from raw_sales where not ({_SHORT})", "raw_sales")
+def _landed_rows(w: Warehouse) -> DataFrame:
+    return w.spark.read.parquet(_landed_torn(w)[0]).select("store", "dept", "date", "weekly_sales", "is_holiday")
+
+
+@register("quarantined_rows", f"""select store || ',' || dept || ',' || strftime(date, '%Y-%m-%d') record,
+  '3 fields instead of 5' reason from raw_sales where {_SHORT}""", "raw_sales")
+def _quarantined_rows(w: Warehouse) -> DataFrame:
+    return w.spark.read.parquet(_landed_torn(w)[1]).select("record", "reason")
+
+
 _READ_SPELLED = {c: f"cast(try_strptime({c}, '{f.replace('%-', '%')}') as date)" for c, f in _o.SPELLED.items()}
 
 

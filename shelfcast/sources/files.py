@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import RAW_CONTRACTS, Contract, cast_to_contract
+from .quarantine import read_csv_checked, set_aside
 
 
 class MissingSourceError(FileNotFoundError):
@@ -40,21 +41,30 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def contract_read(spark: SparkSession, path: str, contract: Contract, loaded_at=None,
-                  rejected: Observation | None = None) -> DataFrame:
+                  rejected: Observation | None = None, quarantine: str | None = None) -> DataFrame:
     """Read one landing file into its contract.
 
+    With ``quarantine`` (a folder) rows that don't have their header's number
+    of fields are written there and left out; without it they are read as
+    far as they go.
+
     Rename loosely spelled headers, require the contract's columns, drop
     the rest, type tolerantly, dates by a vote over their spellings; raw
     contracts also get ``source_file`` (the file name from the scan's
     metadata) and ``loaded_at`` (one UTC wall time per load).  ``rejected``
     counts dates that aren't read, when the frame is written.
     """
-    df = read_csv_strings(spark, path)
+    if quarantine is None:
+        df = read_csv_strings(spark, path)
+        df = df.select("*", F.col("_metadata.file_name").alias("source_file"))
+    else:
+        df, bad = read_csv_checked(spark, path)
+        set_aside(bad, quarantine)
     if not contract.with_load_columns:
         return cast_to_contract(df, contract, path, rejected=rejected)
     ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.current_timestamp().cast("timestamp_ntz")
     return cast_to_contract(
-        df.select("*", F.col("_metadata.file_name").alias("source_file")), _with_source(contract), path, rejected=rejected
+        df, _with_source(contract), path, rejected=rejected
     ).withColumn("loaded_at", ts)
 
 
