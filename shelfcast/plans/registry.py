@@ -861,3 +861,6 @@ left join (select risk_category, count(*) n from demand_scored group by risk_cat
   on c.risk_category = k.risk_category order by risk_order""", "demand_scored")
 def _risk_distribution_proxy(w: Warehouse) -> DataFrame:
     return scoring.risk_distribution(scoring.stockout_queue(None, w.fact_demand))
+
+
+from . import registry_files as _registry_files  # noqa: E402,F401 - registers its queries
