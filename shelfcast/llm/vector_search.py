@@ -98,9 +98,16 @@ class KdTree:
         return (gap * gap).sum(axis=1)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component to
+    [0.5, 1): exact, and no square under- or overflows.  Cosines stay as they are."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int = K,
            confidence: float = CONFIDENCE) -> list[tuple[int, int, float]]:
     """(query id, vector id, cosine) of each query's ``k`` best found."""
+    vectors, queries = scaled(vectors), scaled(queries)
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     units = vectors / norms[:, None]
     matrix = projection(vectors.shape[1])
@@ -144,6 +151,7 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
             confidence: float = CONFIDENCE) -> DataFrame:
     """(query_id, rank, vec_id, score) for (vec_id, v) tables of vectors and queries."""
+    queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))  # a repeated query id: its smallest vector
     n_vectors, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n_vectors // shard_rows)), max(1, -(-n_queries // block_rows))
     of = F.pmod(F.xxhash64("vec_id"), F.lit(shards))
