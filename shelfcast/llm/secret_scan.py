@@ -168,7 +168,20 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
             if -b > end:  # else inside an earlier one
                 end = -b
                 out.append((a, KINDS.index(RUNS[order][0].kind), end))
-    return [x for x in out if not any(y[0] <= x[0] and x[2] <= y[2] for y in base)]
+    return _outside(out, base)
+
+
+def _outside(spans: list[Span], base: list[Span]) -> list[Span]:
+    """The spans that no base span holds; both lists are by start, so one pass
+    with the farthest end of the base spans begun so far."""
+    kept, at, farthest = [], 0, 0
+    for x in spans:
+        while at < len(base) and base[at][0] <= x[0]:
+            farthest = max(farthest, base[at][2])
+            at += 1
+        if farthest < x[2]:
+            kept.append(x)
+    return kept
 
 
 def _text(spans: list[Span]) -> str:
