@@ -156,7 +156,10 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     if not counts:
         return fit([])
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_lang / n))])
-    drawn = labelled.where(uniform(F.col("doc_id"), seed=SEED) < F.element_at(share, F.col("lang"))).select("lang", "text")
+    # Each row has its own draw, also among rows without an id or with equal ones.
+    own = uniform(F.col("doc_id"), F.xxhash64("text"), F.col("__row"), seed=SEED)
+    drawn = labelled.withColumn("__row", F.monotonically_increasing_id()).where(
+        own < F.element_at(share, F.col("lang"))).select("lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
