@@ -41,12 +41,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from .common import read_table, shared_path, stored
+from .common import read_table, shared_path, stored, uniform
 from .wordcache import encoder
 
 LENGTH = 2048
 WINDOW_SEQUENCES = 16
 CHUNK_IDS = 2_000_000
+SEED = 10
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -151,7 +152,10 @@ def dealt(encoded: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
     places = stored(own.select(
         F.col("part").alias("__p"), F.col("source").alias("__s"), F.sum("own").over(by_source).alias("__all"),
         F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("__before")), "pack-places")
-    at = (F.col("__before") + F.col("before")) / F.col("__all")
+    # Each source's range begins at a place of its own: else the first documents of
+    # all sources, however many there are, would meet in the first chunk.
+    turn = uniform(F.col("source"), seed=SEED)
+    at = F.pmod((F.col("__before") + F.col("before")) / F.col("__all") + turn, F.lit(1.0))
     joined = encoded.join(small_side(places), (F.col("part") == F.col("__p")) & F.col("source").eqNullSafe(F.col("__s")))
     return joined.withColumn("chunk", F.least(F.floor(at * chunks), F.lit(chunks - 1)).cast("long")).drop("__p", "__s", "__all", "__before")
 
