@@ -45,10 +45,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows get a number as the stage's input is stored, so each has its own copies.
     """
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
-    copies = stored(mix(rows, "__row").where("copies > 0").select(F.col("__row").alias("__of"), "copies"), "pipeline-copies")
-    taken = rows.join(small_side(copies), F.col("__row") == F.col("__of"))
-    return taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("__copy")).drop("__copy")
+    row, of, taken = (_free(name, docs) for name in ("__row", "__of", "__taken"))
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    mixed = mix(rows.select("doc_id", "text", "source", row), row).where("copies > 0")
+    copies = stored(mixed.select(F.col(row).alias(of), F.col("copies").cast("int").alias(taken)), "pipeline-copies")
+    repeated = rows.join(small_side(copies), F.col(row) == F.col(of))
+    return repeated.withColumn(of, F.explode(F.array_repeat(F.lit(1), F.col(taken)))).select(*docs.columns)
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` doesn't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
