@@ -138,10 +138,7 @@ def score(spark: SparkSession, cfg: RefreshConfig, trained: forest.TrainedForeca
 
 def _save_mart(df: DataFrame, name: str, buckets: int) -> int:
     if buckets and name in FACT_DATE:
-        catalog.ensure_database(df.sparkSession, catalog.MARTS)
-        (df.write.mode("overwrite").format("parquet").bucketBy(buckets, "store_id", "dept_id")
-         .sortBy(FACT_DATE[name]).saveAsTable(f"{catalog.MARTS}.{name}"))
-        return df.sparkSession.table(f"{catalog.MARTS}.{name}").count()
+        return catalog.load(df, catalog.MARTS, name, True, (buckets, ("store_id", "dept_id"), FACT_DATE[name]))
     return catalog.materialise(df, catalog.MARTS, name)
 
 

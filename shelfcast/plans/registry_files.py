@@ -19,12 +19,12 @@ from pyspark.sql import types as T
 from ..contracts import ML_CONTRACTS, RAW_CONTRACTS, coerce
 from ..functions.scalar import local_time_text, sku
 from ..operators import forecast_reads as fr
-from ..operators import scoring
+from ..operators import marts, quality, scoring, staging
 from ..session import checkpoint_dir
-from ..sources import catalog
+from ..sources import catalog, metrics
 from ..sources.files import contract_read, lower_columns, read_canonical, validate_sources, write_csv, write_outputs
 from .oracle import msum, wape_sql
-from .registry import register
+from .registry import _HEALTH, _INV, register
 from .warehouse import Warehouse
 
 
@@ -137,6 +137,45 @@ def _materialised_demand(w: Warehouse) -> DataFrame:
     return catalog.table(w.spark, "marts_io", _once(w, "materialised_demand", make))
 
 
+# -- inventory from what the loads recorded (I5, I6, C7) ---------------------------------
+def _catalog(w: Warehouse) -> dict[str, str]:
+    """The warehouse's layers as databases of their own: tables loaded, staging as views."""
+
+    def make() -> dict[str, str]:
+        databases = {layer: f"{layer}_{uuid.uuid4().hex[:8]}" for layer in catalog.LAYERS}
+        for name, df in w.layer_tables().items():
+            layer, table = name.split(".")
+            if layer != catalog.STAGING:
+                catalog.load(df, databases[layer], table, overwrite=True)
+        for view in staging.STAGING:
+            catalog.create_view(w.spark, databases[catalog.STAGING], view, staging.view_sql(view, databases[catalog.RAW]))
+        catalog.create_view(w.spark, databases[catalog.STAGING], "int_sales_features",
+                            marts.INT_SALES_FEATURES_SQL.format(db=databases[catalog.STAGING]))
+        return databases
+
+    return _once(w, "catalog", make)
+
+
+@register("catalog_inventory", f"select table_schema, table_name, table_type, row_count from ({_INV[0]}) i", *_INV[1])
+def _catalog_inventory(w: Warehouse) -> DataFrame:
+    return catalog.inventory(w.spark, _catalog(w)).select("table_schema", "table_name", "table_type", "row_count")
+
+
+@register("catalog_health", f"select object_name, object_type, row_count, status from ({_HEALTH}) h", *_INV[1])
+def _catalog_health(w: Warehouse) -> DataFrame:
+    return quality.pipeline_health(catalog.inventory(w.spark, _catalog(w))).select("object_name", "object_type", "row_count", "status")
+
+
+@register("catalog_drift", f"""select table_schema || '.' || table_name object_name, row_count recorded_rows, row_count actual_rows,
+  false drifted from ({_INV[0]}) i where table_type = 'BASE TABLE'""", *_INV[1])
+def _catalog_drift(w: Warehouse) -> DataFrame:
+    databases = _catalog(w)
+    tables = [f"{databases[layer]}.{t.name}" for layer in (catalog.RAW, catalog.ML, catalog.MARTS)
+              for t in w.spark.catalog.listTables(databases[layer])]
+    name = F.upper(F.regexp_replace("table_name", "^([a-z]+)_[0-9a-f]{8}[.]", "$1."))
+    return metrics.drift(w.spark, tables).select(name.alias("object_name"), "recorded_rows", "actual_rows", "drifted")
+
+
 # -- model marts with their timestamps (B14, B15) --------------------------------------
 for _name in ("fact_forecast", "fact_stockout_risk", "fact_anomalies"):
     register(f"mart_{_name}", f"select * from {_name}", _name)(lambda w, n=_name: w.table(n))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import catalog
+from . import catalog, metrics
 
 KEY = "load_key"
 
@@ -81,7 +81,7 @@ def ensure(spark: SparkSession, db: str, name: str, schema: T.StructType) -> Non
     """The partitioned table, created when absent; an existing one must have the columns."""
     catalog.ensure_database(spark, db)
     if not catalog.object_exists(spark, db, name):
-        spark.sql(f"CREATE TABLE {db}.{name} ({catalog.ddl(schema)}, `{KEY}` STRING) USING parquet PARTITIONED BY (`{KEY}`)")
+        spark.sql(f"CREATE TABLE {db}.{name} ({catalog.ddl(schema)}, `{KEY}` STRING) USING parquet PARTITIONED BY (`{KEY}`) {metrics.EMPTY}")
     have = spark.table(f"{db}.{name}").columns
     missing = [c for c in (*schema.names, KEY) if c not in have]
     if missing:
@@ -109,12 +109,13 @@ def load_files(spark: SparkSession, db: str, name: str, schema: T.StructType, pa
     files = {f.key: f for f in fingerprint(spark, paths)}
     held = set(published(spark, db, name))
     new = {k: f for k, f in files.items() if k not in held}
-    location, rows = _location(spark, db, name), {}
+    location, rows, bounds = _location(spark, db, name), {}, []
     for key, file in new.items():
         seen = Observation(f"rows of {key}")
-        frame = read(file.path).select(*[F.col(c.name).cast(c.dataType) for c in schema.fields])
-        frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{location}/{KEY}={key}")
+        frame = read(file.path).select(*[F.col(c.name).cast(c.dataType).alias(c.name) for c in schema.fields])
+        metrics.observed(frame, seen).write.mode("overwrite").parquet(f"{location}/{KEY}={key}")
         rows[key] = int(seen.get["rows"])
+        bounds += [seen.get["first"], seen.get["last"]]
     if new:
         spark.sql(f"ALTER TABLE {db}.{name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (`{KEY}` = '{k}')" for k in new))
     gone = sorted(held - set(files)) if replace else []
@@ -122,6 +123,15 @@ def load_files(spark: SparkSession, db: str, name: str, schema: T.StructType, pa
         spark.sql(f"ALTER TABLE {db}.{name} DROP IF EXISTS " + ", ".join(f"PARTITION (`{KEY}` = '{k}')" for k in gone))
     if new or gone:
         spark.catalog.refreshTable(f"{db}.{name}")
+    if gone:  # what is left is counted: files unchanged since an earlier load, and the new ones
+        left = spark.table(f"{db}.{name}")
+        date = metrics.date_column(left)
+        bound = F.col(date).cast("string") if date else F.lit(None).cast("string")
+        n, first, last = left.agg(F.count(F.lit(1)), F.min(bound), F.max(bound)).first()
+        metrics.record(spark, f"{db}.{name}", n, first, last, replaced=True)
+    elif new:
+        known = sorted(b for b in bounds if b)
+        metrics.record(spark, f"{db}.{name}", sum(rows.values()), *(known[:1] + known[-1:] or [None, None]), replaced=False)
     return rows
 
 
