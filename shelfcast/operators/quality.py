@@ -245,6 +245,20 @@ def layer_summary(health: DataFrame) -> DataFrame:
     return g.select("*", label.alias("stage_status"), order.alias("__o")).orderBy("__o").drop("__o")
 
 
+def stage_statuses(summary: DataFrame) -> DataFrame:
+    """A label for every stage, in order; "Not found" for one without objects."""
+    stages = summary.sparkSession.createDataFrame([(k, v) for k, v in STAGE_ORDER.items()], "stage string, stage_order int")
+    found = summary.select(F.col("pipeline_stage").alias("stage"), "stage_status")
+    return stages.join(found, "stage", "left").select(
+        F.col("stage").alias("pipeline_stage"), F.coalesce("stage_status", F.lit("Not found")).alias("stage_status"), "stage_order",
+    ).orderBy("stage_order")
+
+
+def rows_by_layer(summary: DataFrame) -> DataFrame:
+    """Stages with rows, for the chart."""
+    return summary.where(F.col("row_count") > 0).select("pipeline_stage", "row_count")
+
+
 def pipeline_kpis(health: DataFrame) -> DataFrame:
     """Latest refresh, ready / review / total objects, base tables, rows."""
     return health.agg(

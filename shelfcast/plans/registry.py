@@ -735,6 +735,30 @@ def _layer_summary(w: Warehouse) -> DataFrame:
     return q.layer_summary(q.pipeline_health(_inventory(w)))
 
 
+_STAGES = ", ".join(f"('{k}', {v})" for k, v in _quality.STAGE_ORDER.items())
+
+
+@register("stage_statuses", f"""
+select s.stage pipeline_stage, s.stage_order, case when count(h.object_name) = 0 then 'Not found'
+  when count_if(h.status <> 'Ready') = 0 then 'Ready' else cast(count_if(h.status <> 'Ready') as varchar) || ' to review' end stage_status
+from (values {_STAGES}) s(stage, stage_order)
+left join (select * from ({_HEALTH}) x where table_schema in ('RAW', 'MARTS')) h on h.pipeline_stage = s.stage
+group by s.stage, s.stage_order""", *_INV[1])
+def _stage_statuses(w: Warehouse) -> DataFrame:
+    """Labels where only the raw and mart objects are looked at."""
+    q = _q()
+    seen = q.pipeline_health(_inventory(w)).where(F.col("table_schema").isin("RAW", "MARTS"))
+    return q.stage_statuses(q.layer_summary(seen))
+
+
+@register("rows_by_layer", f"""
+select pipeline_stage, cast(sum(row_count) as bigint) row_count from ({_HEALTH}) h
+group by pipeline_stage having sum(row_count) > 0""", *_INV[1])
+def _rows_by_layer(w: Warehouse) -> DataFrame:
+    q = _q()
+    return q.rows_by_layer(q.layer_summary(q.pipeline_health(_inventory(w))))
+
+
 @register("pipeline_kpis", f"""
 select max(last_altered) latest_refresh, cast(count_if(status = 'Ready') as bigint) ready_objects,
   cast(count_if(status <> 'Ready') as bigint) review_objects, count(*) expected_objects,
