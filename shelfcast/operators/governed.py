@@ -109,12 +109,13 @@ FOREIGN_CODE = {
 }
 MOST_GENERATED = 100
 
-_FUNCTIONS: dict[str, tuple[set[str], set[str]]] = {}
+_FUNCTIONS: dict[str, tuple] = {}
 
 
-def allowed_functions(spark: SparkSession) -> tuple[set[str], set[str]]:
-    """(classes a query may use, classes of all other registered functions), by
-    the groups of this Spark's registry; read once for an application."""
+def allowed_functions(spark: SparkSession) -> tuple:
+    """(classes a query may use, classes of all other registered functions, the
+    type of functions that stand for another expression), by the groups of this
+    Spark's registry; read once for an application."""
     app = spark.sparkContext.applicationId
     if app not in _FUNCTIONS:
         registry = spark._jsparkSession.sessionState().functionRegistry()
@@ -126,25 +127,26 @@ def allowed_functions(spark: SparkSession) -> tuple[set[str], set[str]]:
                 fits = info.get().getGroup() in ALLOWED_GROUPS and info.get().getName() not in UNBOUNDED
                 # A builder makes an expression of another class.
                 (good if fits else bad).update({kind, kind.removesuffix("Builder").removesuffix("Expression")})
-        _FUNCTIONS[app] = good, (bad - good) | FOREIGN_CODE
+        replaceable = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.expressions.RuntimeReplaceable")
+        _FUNCTIONS[app] = good, (bad - good) | FOREIGN_CODE, replaceable
     return _FUNCTIONS[app]
 
 
-def check_expressions(node, functions: tuple[set[str], set[str]]) -> None:
+def check_expressions(node, functions: tuple) -> None:
     """Reject expressions of a plan node that aren't on the allow list.
 
     Some functions stand for an expression of other classes (their only
     child then); those may be of any class of Spark's that isn't a function
     off the list or foreign code.
     """
-    good, bad = functions
+    good, bad, replaceable = functions
     stack = [(e, False) for e in _seq(node.expressions())]
     while stack:
         e, inside = stack.pop()
         kind = e.getClass().getSimpleName()
         if kind in bad or kind not in good and not inside:
             raise GovernedSqlError(f"the function {e.prettyName()} is not allowed")
-        replaced = inside or "replacement" in {m.getName() for m in e.getClass().getMethods()}
+        replaced = inside or replaceable.isInstance(e)
         stack.extend((child, replaced) for child in _seq(e.children()))
 
 
