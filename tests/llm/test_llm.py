@@ -174,6 +174,19 @@ def test_passages_of_large_groups(spark):
     assert few == many and len(few) == 30
 
 
+
+def test_passage_ranges_do_not_overlap(spark):
+    rng = random.Random(9)
+    passage = words(rng, 100)
+    docs = spark.createDataFrame([(i, words(rng, 30) + " " + passage + " " + words(rng, 30)) for i in range(30)], "doc_id long, text string")
+    keyed = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), "text")
+    for g in (1000, 2):  # one range each, not one for every string of 400 bytes or every part
+        assert {len(r.spans) for r in passage_dedup.repeated_spans(keyed, group=g).collect()} == {1}
+    ranges = spark.createDataFrame([([(5, 9), (0, 2), (9, 12), (3, 4), (6, 7)],), ([],)], "r array<struct<a:int,b:int>>")
+    got = [[tuple(x) for x in r.m] for r in ranges.select(passage_dedup.merged(F.col("r")).alias("m")).collect()]
+    assert got == [[(0, 2), (3, 4), (5, 12)], []]
+
+
 def test_suffix_order():
     rng = random.Random(1)
     for _ in range(60):
