@@ -14,16 +14,15 @@ often: 4 of 5 shared miss all 18 with a chance of 1e-4.
 
 Documents equal word for word are one node.  In each bucket the node of
 greatest support (the sizes of all its buckets), its pivot, is compared with
-every other one, which also gives each row's distance from the pivot.
-Shingle-set distance (1 - Jaccard) is a metric, so two rows of a bucket whose
-distances from its pivot differ by more than 0.2 can't be a link, nor can two
-whose numbers of shingles differ by more than a fifth.  What neither bound
-excludes is compared in rounds: in each round every bucket that still holds
-two classes compares some more of its rows, drawn by hash, with all rows of
-other classes, and lays them aside; classes are joined after each round.
-Rounds go on until no bucket holds two classes, so two documents that agree
-in a sketch end in one class, are compared, or are excluded by a bound.
-A link is missed only if the two agree in no sketch.
+every other one.
+
+Rows that met the same pivot are a group.  Groups that still hold two classes
+are dealt into blocks of bounded size, and every two blocks of a group are
+compared by one matrix product, which counts the shared shingles of all their
+rows.  Of the pairs of other classes that share enough, those that join
+classes not yet joined are verified as well, so of a large group at most one
+pair a row and block is kept.  Documents that agree in a sketch end in one
+class or share too little; a link is missed only if the two agree in no sketch.
 
 A pair is verified on whole texts: the words are aligned within a band of
 diagonals, and runs of aligned words give the shared shingles in order; 0.8
@@ -55,7 +54,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from .common import LAST_ID, read_table, stored, uniform
+from .common import LAST_ID, read_table, stored
 from .components import components
 
 WORDS = 5
@@ -66,7 +65,9 @@ SHORT = 20
 SHORT_SKETCHES = 6
 MINIMA = 3
 MAX_BAND = 64
-GROWTH = 4  # rows drawn in a bucket: GROWTH in round 1, GROWTH ** 2 in round 2, ...
+BLOCK_ROWS = 1000
+BLOCK_SHINGLES = 1_000_000  # of a block, about
+PRODUCT_CELLS = 4_000_000  # of a matrix of rows by shingles
 SLICE_CHARS = 4_000_000
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -337,12 +338,80 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         compare, "a binary, b binary, dist double, ok boolean")
 
 
-def _labelled(rows: DataFrame, linked: DataFrame) -> DataFrame:
-    """``rows`` with the class so far of each node, of buckets with two classes or more."""
-    labels = components(linked)
-    rows = rows.drop("label").join(small_side(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = rows.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"))
-    return rows.drop("size").join(open_.where("l0 <> l1").select("bucket", "size"), "bucket")
+def shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of the ``left`` sets shares with each of the ``right`` ones."""
+    sets = left + right
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, code, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = df[code] > 1  # the others are shared with nobody
+    row, code = row[kept], np.unique(code[kept], return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    out = np.zeros((len(left), len(right)), np.float32)  # whole numbers below 2 ** 24
+    width = max(1, PRODUCT_CELLS // len(sets))
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+        part = slice(*np.searchsorted(code, [first, first + width]))
+        cells = np.zeros((len(sets), width), np.float32)
+        cells[row[part], code[part] - first] = 1
+        out += cells[: len(left)] @ cells[len(left):].T
+    return out.astype(np.int64)
+
+
+def joining_pairs(sets: list[np.ndarray], label: list[bytes], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Linked pairs of a ``left`` and a ``right`` row that join the classes of all such pairs."""
+    size = np.array([len(x) for x in sets])
+    most = shared_shingles([sets[i] for i in left], [sets[i] for i in right])
+    both = size[left][:, None] + size[right][None, :] - most
+    name = np.unique(np.array([x.hex() for x in label]), return_inverse=True)[1]
+    linked = (most >= SIMILARITY * both) & (name[left][:, None] != name[right][None, :])
+    root, out = list(range(len(sets))), []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(*(at.tolist() for at in np.nonzero(linked)), strict=True):
+        x, y = top(name[left[i]]), top(name[right[j]])
+        if x != y:
+            root[x] = y
+            out.append((int(left[i]), int(right[j])))
+    return out
+
+
+def block_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): the pairs within the groups of (pivot, node, n, label) rows that join classes, from all pairs compared
+    block by block."""
+    group = rows.groupBy("pivot").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.greatest(
+        F.ceil(F.count("*") / F.lit(BLOCK_ROWS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
+    rows = rows.join(group.where("l0 <> l1").select("pivot", "blocks"), "pivot")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
+            block = np.array([r["block"] for r in held])
+            left, right = (np.flatnonzero(block == key[k]) for k in (1, 2))
+            found = joining_pairs([_parts(r["text"])[1] for r in held], [r["label"] for r in held], left, right)
+            pairs = [sorted((held[x]["node"], held[y]["node"])) for x, y in found]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+        key, held = None, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (own := (r["pivot"], r["i"], r["j"])) != key:
+                    if held:
+                        yield done()
+                    key, held = own, []
+                held.append(r)
+        if held:
+            yield done()
+
+    text = texts.select(F.col("node").alias("__node"), "text")
+    return rows.join(text, F.col("node") == F.col("__node")).drop("__node").repartition("pivot", "i", "j").sortWithinPartitions(
+        "pivot", "i", "j").mapInArrow(compare, "a binary, b binary").distinct()
 
 
 def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
@@ -362,27 +431,12 @@ def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:
     texts = stored(texts.select("node", "text"), "near-texts")
 
     # Every row against its bucket's pivot; the pivot is done then.
-    rows = rows.where("node <> pivot").withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
-    met = stored(verified(rows.select("a", "b").distinct(), texts), "near-verified")
-    rows = rows.join(met, ["a", "b"]).select("bucket", "node", "n", "dist")
-    turn = 1
-    while True:
-        rows = stored(_labelled(rows, met.where("ok")), "near-rows")
-        if not rows.limit(1).count():
-            return met.where("ok").select("a", "b")
-        drawn = uniform(F.col("node"), F.col("bucket"), seed=9) * F.col("size") < float(GROWTH**turn)
-        # A later draw of a bucket holds every earlier one, less what was laid aside.
-        centre = rows.where(drawn).select(
-            "bucket", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("dist").alias("cdist"), F.col("label").alias("clabel"))
-        pair = rows.join(centre, "bucket").where(
-            (F.col("label") != F.col("clabel"))
-            & (F.least("n", "cn") >= SIMILARITY * F.greatest("n", "cn"))
-            & (F.abs(F.col("dist") - F.col("cdist")) <= 1 - SIMILARITY + 1e-9))
-        new = pair.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
-        new = new.join(met.select("a", "b"), ["a", "b"], "left_anti")
-        met = stored(met.unionByName(verified(new, texts)), "near-met")
-        rows = rows.where(~drawn)
-        turn += 1
+    rows = rows.where("node <> pivot").select("pivot", "node", "n").distinct()
+    pairs = rows.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    met = stored(verified(pairs, texts), "near-verified").where("ok").select("a", "b")
+    labelled = rows.join(small_side(components(met)), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    joins = stored(block_pairs(stored(labelled, "near-labelled"), texts), "near-joins")
+    return met.unionByName(stored(verified(joins, texts), "near-joined").where("ok").select("a", "b"))
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -264,6 +264,31 @@ def test_moved_and_repeated_blocks_share_a_sketch():
     assert missed == 0
 
 
+def test_near_duplicates_of_a_large_loose_group(spark, monkeypatch):
+    """Edits of one text, most pairs of which share too little: the classes of all pairs, few pairs aligned, in any blocks."""
+    rng = random.Random(31)
+    base, texts = words(rng, 120).split(), []
+    for _ in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            own[rng.randrange(len(own))] = words(rng, 1)
+        texts.append(" ".join(own))
+    sets = [set(near_dedup._parts(t)[1].tolist()) for t in texts]
+    label = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x & y) >= 0.8 * len(x | y):
+                label = [min(label[i], label[j]) if n in (label[i], label[j]) else n for n in label]
+    aligned, verified = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, texts: aligned.append(pairs.count()) or verified(pairs, texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rows in (1000, 40):
+        monkeypatch.setattr(near_dedup, "BLOCK_ROWS", rows, raising=False)
+        aligned.clear()
+        assert {r.doc_id: r["__class"] for r in near_dedup.classes(docs).collect()} == dict(enumerate(label))
+        assert sum(aligned) < 12 * len(texts)  # all pairs are 75 a text
+
+
 def test_near_duplicates_moved_and_repeated(spark):
     rng, texts = random.Random(6), []
     for _ in range(40):  # a text, its halves swapped, a passage of it three times more
