@@ -175,6 +175,20 @@ def test_passages_of_large_groups(spark):
 
 
 
+def test_passages_bring_only_texts_that_may_hold_one(spark, monkeypatch):
+    """Tables too large for a broadcast: other documents stay out of the joins, the results are the same."""
+    rng = random.Random(8)
+    passage = words(rng, 100)
+    texts = [words(rng, 150) for _ in range(60)] + [words(rng, 30) + " " + passage + " " + words(rng, 30) for _ in range(3)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, passage), (70, None)], "doc_id long, text string")
+    small = sorted(map(tuple, passage_dedup.remove_repeats(docs).collect()), key=str)
+    monkeypatch.setattr(passage_dedup, "BROADCAST_BYTES", 0)
+    brought, inner = [], passage_dedup._held
+    monkeypatch.setattr(passage_dedup, "_held", lambda d, k: brought.append(inner(d, k).where("__may").count()) or inner(d, k))
+    assert sorted(map(tuple, passage_dedup.remove_repeats(docs).collect()), key=str) == small
+    assert sum(r[2] > 0 for r in small) == 4 and len(brought) == 3 and max(brought) == 4
+
+
 def test_passage_ranges_do_not_overlap(spark):
     rng = random.Random(9)
     passage = words(rng, 100)
