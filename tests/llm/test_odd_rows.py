@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfcast.llm import language_id, packing, secret_scan, vector_search
+from shelfcast.llm import language_id, packing, passage_dedup, secret_scan, vector_search
 
 
 def test_a_repeated_query_has_each_neighbour_once(spark):
@@ -91,3 +91,22 @@ def test_mix_stage_keeps_clashing_columns(spark):
     out = corpus_pipeline.mix_sources(spark, docs, "")
     assert out.columns == docs.columns and out.count() > 0
     assert out.where("copies <> doc_id or `__row` <> 'x' or `__copy` <> 'y' or `__of` <> 'z'").count() == 0
+
+
+def test_symbols_are_ranked_and_spans_merged_in_one_pass():
+    rng = np.random.default_rng(4)
+    for symbols, kind in ((3, np.uint8), (700, np.uint16)):
+        bwt = rng.integers(0, symbols, 2000).astype(kind)
+        symbol, place = rng.integers(0, symbols, 300), rng.integers(0, len(bwt) + 1, 300)
+        got = passage_dedup._rank(bwt, symbol, place)
+        assert got.tolist() == [int((bwt[:p] == s).sum()) for s, p in zip(symbol, place, strict=True)]
+    segment, start = np.array([2, 2, 2, 5, 5, 7]), np.array([0, 10, 21, 21, 25, 3])
+    assert [x.tolist() for x in passage_dedup._spans(segment, start, 10)] == [[2, 2, 5, 7], [0, 21, 21, 3], [20, 31, 35, 13]]
+    assert [len(x) for x in passage_dedup._spans(segment[:0], start[:0], 10)] == [0, 0, 0]
+
+
+def test_anchors_do_not_depend_on_kept_powers(monkeypatch):
+    data = np.random.default_rng(6).integers(97, 103, 3000).astype(np.uint8)
+    kept = passage_dedup.anchors(data)
+    monkeypatch.setattr(passage_dedup, "KEPT_POWERS", 0)
+    assert all(np.array_equal(a, b) for a, b in zip(kept, passage_dedup.anchors(data), strict=True))
