@@ -54,8 +54,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from .common import LAST_ID, read_table, stored
+from .common import LAST_ID, giving_back, read_table, stored
 from .components import components
+from .lexis import slices
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -68,7 +69,7 @@ MAX_BAND = 64
 BLOCK_ROWS = 1000
 BLOCK_SHINGLES = 1_000_000  # of a block, about
 PRODUCT_CELLS = 4_000_000  # of a matrix of rows by shingles
-SLICE_CHARS = 4_000_000
+SLICE_BYTES = 1_000_000  # of text, sketched at a time
 
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -195,31 +196,23 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     words, null without words, ``n`` the number of its different shingles."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [t or "" for t in b["text"].to_pylist()]
-            begin = 0
-            while begin < len(texts):
-                end, chars = begin, 0
-                while end < len(texts) and (chars < SLICE_CHARS or end == begin):
-                    chars += len(texts[end])
-                    end += 1
-                hashes, count = word_hashes(texts[begin:end])
-                found, total = shingles(hashes, count)
-                keys = (a + b for a, b in zip(sketches(found, total).tolist(), set_sketches(found, total), strict=True))
-                stop = np.cumsum(count)
-                node = [
-                    hashlib.blake2b(hashes[e - n: e].tobytes(), digest_size=16).digest() if n else None
-                    for e, n in zip(stop, count, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([
-                    *(b[c].slice(begin, end - begin) for c in ("row", "d", "t", "o")), pa.array(node, pa.binary()),
-                    pa.array([len(np.unique(found[e - m: e])) for e, m in zip(np.cumsum(total), total, strict=True)], pa.int64()),
-                    pa.array([next(keys) if n else None for n in count], pa.list_(pa.int64())),
-                ], names=["row", "d", "t", "o", "node", "n", "keys"])
-                begin = end
+        for b in slices(batches, limit=SLICE_BYTES):
+            hashes, count = word_hashes(b["text"].to_pylist())
+            found, total = shingles(hashes, count)
+            keys = (a + b for a, b in zip(sketches(found, total).tolist(), set_sketches(found, total), strict=True))
+            stop = np.cumsum(count)
+            node = [
+                hashlib.blake2b(hashes[e - n: e].tobytes(), digest_size=16).digest() if n else None
+                for e, n in zip(stop, count, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([
+                *(b[c] for c in ("row", "d", "t", "o")), pa.array(node, pa.binary()),
+                pa.array([len(np.unique(found[e - m: e])) for e, m in zip(np.cumsum(total), total, strict=True)], pa.int64()),
+                pa.array([next(keys) if n else None for n in count], pa.list_(pa.int64())),
+            ], names=["row", "d", "t", "o", "node", "n", "keys"])
 
     return docs.select("row", "d", "t", "o", "text").mapInArrow(
-        sketch, "row long, d long, t long, o long, node binary, n long, keys array<long>")
+        giving_back(sketch), "row long, d long, t long, o long, node binary, n long, keys array<long>")
 
 
 # -- verification ---------------------------------------------------------
@@ -335,7 +328,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(
-        compare, "a binary, b binary, dist double, ok boolean")
+        giving_back(compare), "a binary, b binary, dist double, ok boolean")
 
 
 def shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -411,7 +404,7 @@ def block_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
 
     text = texts.select(F.col("node").alias("__node"), "text")
     return rows.join(text, F.col("node") == F.col("__node")).drop("__node").repartition("pivot", "i", "j").sortWithinPartitions(
-        "pivot", "i", "j").mapInArrow(compare, "a binary, b binary").distinct()
+        "pivot", "i", "j").mapInArrow(giving_back(compare), "a binary, b binary").distinct()
 
 
 def links(nodes: DataFrame, texts_of: DataFrame) -> DataFrame:

@@ -41,12 +41,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from .common import read_table, shared_path, stored, uniform
+from .common import giving_back, read_table, shared_path, small_batches, stored, uniform
+from .lexis import slices
 from .wordcache import encoder
 
 LENGTH = 2048
 WINDOW_SEQUENCES = 16
 CHUNK_IDS = 2_000_000
+SLICE_BYTES = 1_000_000  # of text, encoded at a time
 SEED = 10
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
@@ -115,32 +117,38 @@ def sequences(pieces: list[Piece], length: int) -> list[tuple[int, int, int, int
     return out
 
 
+def encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, part: int, end_id: int = END_ID) -> Iterator[pa.RecordBatch]:
+    """The ids of a partition's documents, about ``SLICE_BYTES`` of text at a time."""
+    row = 0
+    so_far: dict[str | None, int] = {}
+    end = np.array([end_id], np.uint16)
+    for b in slices(batches, limit=SLICE_BYTES):
+        texts = encoder(vocabulary, False).encode(b["text"].to_pylist())
+        before, n = [], []
+        for source, x in zip(b["source"].to_pylist(), texts, strict=True):
+            n.append(len(x) + 1)
+            before.append(so_far.get(source, 0))
+            so_far[source] = before[-1] + n[-1]
+        ids = [np.concatenate([x, end]).astype("<u2").tobytes() for x in texts]
+        rows = range(row, row + b.num_rows)
+        row += b.num_rows
+        yield pa.RecordBatch.from_arrays([
+            pa.array([part] * b.num_rows, pa.int64()), pa.array(rows, pa.int64()), b["doc_id"], b["source"],
+            pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
+        ], names=[f.split()[0] for f in ENCODED_SCHEMA.split(", ")])
+
+
 def write_encoded(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_ID) -> None:
     """Encode ``docs`` (doc_id, text, source) at ``path``; ``before`` counts the source's ids earlier in the partition."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, row = TaskContext.get().partitionId(), 0
-        so_far: dict[str | None, int] = {}
-        end = np.array([end_id], np.uint16)
-        for b in batches:
-            encoded = encoder(vocabulary, False).encode(b["text"].to_pylist())
-            before, n = [], []
-            for source, x in zip(b["source"].to_pylist(), encoded, strict=True):
-                n.append(len(x) + 1)
-                before.append(so_far.get(source, 0))
-                so_far[source] = before[-1] + n[-1]
-            ids = [np.concatenate([x, end]).astype("<u2").tobytes() for x in encoded]
-            rows = range(row, row + b.num_rows)
-            row += b.num_rows
-            yield pa.RecordBatch.from_arrays([
-                pa.array([part] * b.num_rows, pa.int64()), pa.array(rows, pa.int64()), b["doc_id"], b["source"],
-                pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
-            ], names=[f.split()[0] for f in ENCODED_SCHEMA.split(", ")])
+        return encoded(batches, vocabulary, TaskContext.get().partitionId(), end_id)
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"))
-    plain.mapInArrow(encode, ENCODED_SCHEMA).write.option("compression", "none").parquet(path)
+    with small_batches(docs.sparkSession):
+        plain.mapInArrow(giving_back(encode), ENCODED_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 def dealt(encoded: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
@@ -219,7 +227,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, window_sequence
                     pa.array([sources[c[0]] for c in cut], pa.string()),
                 ], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
 
-    return ready.mapInArrow(pieces, PIECE_SCHEMA)
+    return ready.mapInArrow(giving_back(pieces), PIECE_SCHEMA)
 
 
 def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:

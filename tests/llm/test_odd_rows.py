@@ -1,15 +1,18 @@
 """Repeated ids, missing ids, tiny numbers, many sources and clashing columns."""
 
+import collections
 import math
 import random
 import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from shelfcast.llm import language_id, packing, passage_dedup, secret_scan, vector_search
+from shelfcast.llm import common, language_id, packing, passage_dedup, secret_scan, vector_search
 
 
 def test_a_repeated_query_has_each_neighbour_once(spark):
@@ -110,3 +113,39 @@ def test_anchors_do_not_depend_on_kept_powers(monkeypatch):
     kept = passage_dedup.anchors(data)
     monkeypatch.setattr(passage_dedup, "KEPT_POWERS", 0)
     assert all(np.array_equal(a, b) for a, b in zip(kept, passage_dedup.anchors(data), strict=True))
+
+
+def test_documents_are_encoded_slice_by_slice():
+    """Of a batch of any size a worker holds the ids and words of one slice."""
+    path = public_tokenizers.path(packing.VOCABULARY)
+    texts = [f"The quick brown fox number {i} jumps. " * 3000 for i in range(30)] + [None, ""]
+    sources = ["a" if i % 3 else None for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array(sources)], names=["doc_id", "text", "source"])
+    got = list(packing.encoded(iter([batch, batch]), path, 7))
+    assert max(sum(len(texts[d] or "") for d in b["doc_id"].to_pylist()) for b in got) <= packing.SLICE_BYTES
+    rows = pa.Table.from_batches(got).to_pylist()
+    assert [r["row"] for r in rows] == list(range(2 * len(texts))) and {r["part"] for r in rows} == {7}
+    tokenizer, before = Tokenizer.from_file(path), collections.Counter()
+    for r, text, source in zip(rows, texts * 2, sources * 2, strict=True):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+        assert np.frombuffer(r["ids"], "<u2").tolist() == ids and (r["source"], r["n"], r["before"]) == (source, len(ids), before[source])
+        before[source] += len(ids)
+
+
+def test_a_worker_gives_back_after_the_last_batch(monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append("given back"))
+    for x in common.giving_back(lambda batches: (2 * b for b in batches))(iter([1, 2])):
+        seen.append(x)
+    assert seen == [2, 4, "given back"]
+
+
+def test_stored_tables_send_python_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    text = F.repeat(F.col("id").cast("string"), F.lit(20_000))
+    sizes = spark.range(100, 600, 1, 1).select(text.alias("text")).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long")
+    got = [r.n for r in common.stored(sizes, "sizes").collect()]
+    assert sum(got) > 5 * common.BATCH_BYTES and max(got) < 1.2 * common.BATCH_BYTES and spark.conf.get(key) == before
