@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,25 @@ LINE = 200
 PUNCTUATION = '.,;:!?*&$%#|)]"'  # what may end a word; no apostrophe
 # Letters whose lower case is the same everywhere and that nothing composes with.
 PLAIN_LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
-# White space beside white space: a split there would cut a piece in two.
-WIDE_SPACE = regex.compile(r"[\s\x1c-\x1f\x85]{2}")
+# White space beside white space: a split there would cut a piece in two (Arrow's pattern: its own \\s is ASCII).
+WIDE_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
 SAFE_SPACE = regex.compile(r"(?<![\s\x1c-\x1f\x85]) (?![\s\x1c-\x1f\x85])")
 
 
+def _strings(a: pa.Array) -> list[str]:
+    """Python strings of an array without nulls, by way of NumPy: several times as fast as one by one."""
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
+def _put(a: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``a`` with ``more`` behind its first ``used`` values; it grows by doubling."""
+    end = used + len(more)
+    if end > len(a):
+        a = np.concatenate([a[:used], np.zeros(2 * end - used, a.dtype)])
+    a[used:end] = more
+    return a
+
+
 _LOADED: dict[tuple[str, bool], WordCache] = {}
 
 
@@ -67,6 +82,7 @@ class WordCache:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint16)
+        self.used = 0  # of flat
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self._codes(["", "\n"])
@@ -75,7 +91,7 @@ class WordCache:
         """(ids in a row, ids per piece) from the tokenizer."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((x for i in ids for x in i), np.uint16, int(count.sum())), count
+        return np.fromiter(chain.from_iterable(ids), np.uint16, int(count.sum())), count
 
     def _line(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words of letters, encoded as one line of words and cut at their edges."""
@@ -88,22 +104,27 @@ class WordCache:
 
     def _codes(self, pieces: list[str]) -> np.ndarray:
         """The number of each piece; new ones are encoded."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if new:
-            if self.lower:
-                words, rest = [p for p in new if p.isalpha()], [p for p in new if not p.isalpha()]
-            else:
-                words = [p for p in new if p[:1] == " " and p[1:].isalpha()]
-                rest = [p for p in new if not (p[:1] == " " and p[1:].isalpha())]
+        codes = list(map(self.known.get, pieces))  # None: new
+        at = [i for i, c in enumerate(codes) if c is None]
+        if at:
+            words: list[str] = []
+            rest: list[str] = []
+            new = dict.fromkeys([pieces[i] for i in at])
+            for p in new:
+                letters = p.isalpha() if self.lower else p[:1] == " " and p[1:].isalpha()
+                (words if letters else rest).append(p)
             done = [self._line(words[i: i + LINE]) for i in range(0, len(words), LINE)]
             done += [self._batch(rest)] if rest else []
             base = len(self.known)
             self.known.update(zip(words + rest, range(base, base + len(new)), strict=True))
             count = np.concatenate([d[1] for d in done])
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
-            self.flat = np.concatenate([self.flat, *(d[0] for d in done)])
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            self.start = _put(self.start, base, self.used + np.cumsum(count) - count)
+            self.count = _put(self.count, base, count)
+            self.flat = _put(self.flat, self.used, np.concatenate([d[0] for d in done]))
+            self.used += int(count.sum())
+            for i in at:
+                codes[i] = self.known[pieces[i]]
+        return np.array(codes, np.int64)
 
     def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the pieces in a row, running count of ids after each piece)."""
@@ -124,10 +145,10 @@ class WordCache:
         sizes = pc.utf8_length(heads).to_numpy()
         cut = np.flatnonzero(sizes != pc.utf8_length(words).to_numpy())
         tails = np.full(len(words), self.known[""])
-        tails[cut] = self._codes([w[n:] for w, n in zip(words.take(pa.array(cut)).to_pylist(), sizes[cut], strict=True)])
+        tails[cut] = self._codes([w[n:] for w, n in zip(_strings(words.take(pa.array(cut))), sizes[cut].tolist(), strict=True)])
         coded = heads.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        codes = self._codes([space + h for h in distinct] if space else distinct)
+        distinct = pc.binary_join_element_wise(space, coded.dictionary, "") if space else coded.dictionary
+        codes = self._codes(_strings(distinct))
         return codes[coded.indices.to_numpy()], tails
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
@@ -137,9 +158,6 @@ class WordCache:
         part: list[int] = []
         chars = 0
         for i, t in enumerate(texts):
-            if not self.lower and WIDE_SPACE.search(t):
-                out[i] = self._wide(t)
-                continue
             part.append(i)
             chars += len(t)
             if chars > SLICE_CHARS:
@@ -160,6 +178,16 @@ class WordCache:
         if len(self.known) > REMEMBERED:
             self._forget()
         own = pa.array([texts[i] for i in part], pa.string())
+        if not self.lower:
+            wide = pc.match_substring_regex(own, WIDE_SPACE)
+            if pc.any(wide).as_py():
+                for i, w in zip(part, wide.to_pylist(), strict=True):
+                    if w:
+                        out[i] = self._wide(texts[i])
+                part = [i for i, w in zip(part, wide.to_pylist(), strict=True) if not w]
+                own = own.filter(pc.invert(wide))
+                if not part:
+                    return
         if self.lower:  # white space is dropped: a line end is a space
             lines, lines_of = pc.replace_substring(own, "\n", " "), np.ones(len(own), np.int64)
         else:

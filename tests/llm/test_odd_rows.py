@@ -8,11 +8,14 @@ import time
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from shelfcast.llm import common, language_id, packing, passage_dedup, secret_scan, vector_search
+from shelfcast.llm import common, language_id, packing, passage_dedup, secret_scan, vector_search, wordcache
+from shelfcast.llm.wordcache import WordCache
 
 
 def test_a_repeated_query_has_each_neighbour_once(spark):
@@ -149,3 +152,26 @@ def test_stored_tables_send_python_small_batches(spark):
         lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long")
     got = [r.n for r in common.stored(sizes, "sizes").collect()]
     assert sum(got) > 5 * common.BATCH_BYTES and max(got) < 1.2 * common.BATCH_BYTES and spark.conf.get(key) == before
+
+
+def test_remembered_pieces_are_copied_seldom():
+    """Small slices of new words each copied all the ids met before."""
+    encoder, arrays = WordCache(public_tokenizers.path(packing.VOCABULARY), False), []
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    for i in range(300):
+        word = "".join(chr(97 + int(d)) for d in str(7919 * i))
+        text = f"{word}x y{word} and {word}, 1{word}."
+        assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
+        if not arrays or arrays[-1] is not encoder.flat:
+            arrays.append(encoder.flat)
+    assert len(arrays) < 20
+
+
+def test_wide_space_is_told_as_by_the_regex_library():
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    got = pc.match_substring_regex(pa.array([c + c for c in points]), wordcache.WIDE_SPACE).to_pylist()
+    assert got == [bool(regex.search(r"[\s\x1c-\x1f\x85]{2}", c + c)) for c in points]
+    texts = ["a  b c", "plain words", "", None, "x\u3000\u3000y"]
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    got = WordCache(public_tokenizers.path(packing.VOCABULARY), False).encode(texts)
+    assert [x.tolist() for x in got] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
